@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from auditlens.plans import cleaning  # noqa: F401  (registers)
+from auditlens.plans import cleaning, profiling, quality  # noqa: F401  (they register)
 from auditlens.plans.registry import ORACLES, QUERIES
 
 
