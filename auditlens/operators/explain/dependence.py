@@ -18,9 +18,6 @@ from auditlens.operators.encode import limits_map, modes
 from auditlens.operators.ordering import hash_sample, quantile_map
 from auditlens.operators.profile import bounded_distinct_counts
 
-GRID = "feature string, grid_pos int, num double, text string"
-
-
 def grid_rows(
     df: DataFrame,
     features: list[str],
@@ -92,8 +89,8 @@ def overwritten(df: DataFrame, features: list[str], schema) -> DataFrame:
     types = {f.name: f.dataType for f in schema.fields}
     made = {}
     for c in features:
-        new = F.col("num").cast(types[c]) if is_numeric(types[c]) else F.col("text")
-        made[c] = F.when(F.col("feature") == c, new).otherwise(F.col(c))
+        new, old = (F.col("num"), F.col(c).cast("double")) if is_numeric(types[c]) else (F.col("text"), F.col(c))
+        made[c] = F.when(F.col("feature") == c, new).otherwise(old)
     return df.withColumns(made)
 
 

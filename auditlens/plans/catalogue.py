@@ -2,7 +2,16 @@
 
 from __future__ import annotations
 
-from auditlens.plans import cleaning, profiling, quality  # noqa: F401  (they register)
+from auditlens.plans import (  # noqa: F401  (they register)
+    cleaning,
+    comparing,
+    encoding,
+    explaining,
+    fairness,
+    modelling,
+    profiling,
+    quality,
+)
 from auditlens.plans.registry import ORACLES, QUERIES
 
 

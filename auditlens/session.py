@@ -16,6 +16,7 @@ def local_session(cores: str = "8", name: str = "auditlens", memory: str = "12g"
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .getOrCreate()
     )
