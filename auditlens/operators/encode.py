@@ -13,11 +13,11 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from auditlens.functions.expr import cubic_basis
-from auditlens.operators.ordering import quantile_map
+from auditlens.operators.ordering import fit_quantiles
 from auditlens.operators.profile import bounded_distinct_counts
 
 ONE_HOT_LIMIT = 40
@@ -25,12 +25,12 @@ ONE_HOT_LIMIT = 40
 
 def impute_median(df: DataFrame, cols: list[str], train: DataFrame) -> DataFrame:
     """Fill missing numbers with the exact median of ``train``."""
-    medians = quantile_map(train, cols, [0.5])
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), medians[c][0]) for c in cols})
+    medians = fit_quantiles(train, cols, [0.5])
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(medians[c][0])) for c in cols})
 
 
-def modes(train: DataFrame, cols: list[str]) -> Column:
-    """Scalar subquery: map column -> most frequent value, the smallest one on ties."""
+def fit_modes(train: DataFrame, cols: list[str]) -> dict[str, str | None]:
+    """Most frequent value per column, the smallest one on ties."""
     pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in cols])
     best = (
         train.select(F.inline(pairs))
@@ -40,27 +40,21 @@ def modes(train: DataFrame, cols: list[str]) -> Column:
         .groupBy("feature")
         .agg(F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("value"))
     )
-    return best.agg(F.map_from_entries(F.collect_list(F.struct("feature", "value")))).scalar()
+    found = {r["feature"]: r["value"] for r in best.collect()}
+    return {c: found.get(c) for c in cols}
 
 
 def impute_most_frequent(df: DataFrame, cols: list[str], train: DataFrame) -> DataFrame:
-    mode = modes(train, cols)
-    return df.withColumns({c: F.coalesce(F.col(c), mode[c]) for c in cols})
+    mode = fit_modes(train, cols)
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(mode[c])) for c in cols})
 
 
 def standardise(df: DataFrame, cols: list[str], train: DataFrame) -> DataFrame:
     """(x - mean) / population standard deviation of ``train``; a constant is only centred."""
     fit = train.agg(
-        F.struct(
-            *[F.avg(c).alias(f"m_{c}") for c in cols],
-            *[F.stddev_pop(c).alias(f"s_{c}") for c in cols],
-        )
-    ).scalar()
-    scaled = {}
-    for c in cols:
-        spread = fit[f"s_{c}"]
-        scaled[c] = (F.col(c) - fit[f"m_{c}"]) / F.when(spread == 0, F.lit(1.0)).otherwise(spread)
-    return df.withColumns(scaled)
+        *[F.avg(c).alias(f"m_{c}") for c in cols], *[F.stddev_pop(c).alias(f"s_{c}") for c in cols]
+    ).first()
+    return df.withColumns({c: (F.col(c) - F.lit(fit[f"m_{c}"])) / F.lit(fit[f"s_{c}"] or 1.0) for c in cols})
 
 
 def fit_categories(train: DataFrame, cols: list[str], limit: int = ONE_HOT_LIMIT) -> dict[str, list[str]]:
@@ -96,25 +90,22 @@ def align(df: DataFrame, trained: list[str], keep: list[str]) -> DataFrame:
     return df.select(*keep, *[F.col(f"`{c}`") if c in have else F.lit(0).alias(c) for c in trained])
 
 
-def spline_columns(df: DataFrame, cols: list[str], limits: Column, splines: int = 8) -> DataFrame:
-    """Add ``<column>_s<j>``: cubic B-splines on uniform knots between the trained limits.
+Limits = dict[str, tuple[float, float]]
+
 
-    ``limits`` is a map column -> array(lo, hi).
-    """
+def spline_columns(df: DataFrame, cols: list[str], limits: Limits, splines: int = 8) -> DataFrame:
+    """Add ``<column>_s<j>``: cubic B-splines on uniform knots between the trained limits."""
     made = {}
     for c in cols:
-        for j, b in enumerate(cubic_basis(F.col(c), limits[c][0], limits[c][1], splines)):
+        for j, b in enumerate(cubic_basis(F.col(c), *limits[c], splines)):
             made[f"{c}_s{j}"] = b
     return df.withColumns(made)
 
 
-def limits_map(train: DataFrame, cols: list[str]) -> Column:
-    """Scalar subquery: map column -> array(min, max)."""
-    parts = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        parts += [F.lit(c), F.array(F.min(x), F.max(x))]
-    return train.agg(F.create_map(*parts)).scalar()
+def fit_limits(train: DataFrame, cols: list[str]) -> Limits:
+    """Minimum and maximum per column, one pass."""
+    row = train.agg(*[f(F.col(c).cast("double")) for c in cols for f in (F.min, F.max)]).first()
+    return {c: (row[2 * i], row[2 * i + 1]) for i, c in enumerate(cols)}
 
 
 def vector_stages(numeric: list[str], text: list[str], out: str = "features") -> list:
@@ -159,7 +150,7 @@ def auto_encode(
     df: DataFrame, numeric: list[str], text: list[str], keep: list[str], limit: int = ONE_HOT_LIMIT, topics: int = 30
 ) -> DataFrame:
     """Numbers pass, texts below ``limit`` values are one-hot encoded, the others get topics."""
-    counts = {r["feature"]: r["n_distinct"] for r in bounded_distinct_counts(df, text, limit).collect()} if text else {}
+    counts = bounded_distinct_counts(df, text, limit) if text else {}
     narrow = [c for c in text if counts[c] < limit]
     wide = [c for c in text if c not in narrow]
     out = df

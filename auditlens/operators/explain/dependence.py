@@ -1,7 +1,7 @@
 """Partial dependence, individual curves and their grids.
 
 One plan for all features, grid values and groups: every row is repeated for the grid
-(|features| x |grid| at most, a scalar subquery of proven size), one column is overwritten,
+(a literal array of |features| x |grid| entries at most), one column is overwritten,
 the row is scored and falls into a partial aggregate at once. Nothing is shuffled but the
 curve points.
 """
@@ -9,16 +9,29 @@ curve points.
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlens.functions.expr import even_grid, is_numeric
-from auditlens.operators.encode import limits_map, modes
-from auditlens.operators.ordering import hash_sample, quantile_map
-from auditlens.operators.profile import bounded_distinct_counts
+from auditlens.functions.expr import is_numeric
+from auditlens.operators.encode import fit_limits, fit_modes
+from auditlens.operators.ordering import fit_quantiles, hash_sample
+from auditlens.operators.profile import bounded_distinct_counts, distinct_values
 
-def grid_rows(
+
+class GridPoint(NamedTuple):
+    feature: str
+    grid_pos: int
+    num: float | None
+    text: str | None
+
+
+GRID_SCHEMA = "feature string, grid_pos int, num double, text string"
+
+
+def fit_grid(
     df: DataFrame,
     features: list[str],
     few: int = 10,
@@ -26,8 +39,8 @@ def grid_rows(
     points: int = 20,
     percentiles: tuple[float, float] | None = None,
     plotting: tuple[float, float] = (1.0, 1.0),
-) -> DataFrame:
-    """Rows (feature, grid_pos, num, text).
+) -> list[GridPoint]:
+    """The grid of every feature, at most len(features) x max(first, few, points) entries.
 
     Texts and numbers with at most ``few`` distinct values: the sorted values, the ``first``
     of them. Other numbers: ``points`` even steps over the range, or between ``percentiles``.
@@ -35,53 +48,49 @@ def grid_rows(
     types = {f.name: f.dataType for f in df.schema.fields}
     numeric = [c for c in features if is_numeric(types[c])]
     text = [c for c in features if c not in numeric]
-    parts = []
-    for c in text:
-        values = df.select(F.col(c).alias("text")).filter(F.col("text").isNotNull()).distinct().orderBy("text")
-        if first:
-            values = values.limit(first)
-        order = Window.partitionBy("feature").orderBy("text")
-        parts.append(
-            values.withColumn("feature", F.lit(c)).select(
-                "feature",
-                (F.row_number().over(order) - 1).alias("grid_pos"),
-                F.lit(None).cast("double").alias("num"),
-                "text",
+    sizes = bounded_distinct_counts(df, numeric, few) if numeric else {}
+    small = [c for c in numeric if sizes[c] <= few]
+    wide = [c for c in numeric if sizes[c] > few]
+    values: dict[str, list] = {c: [] for c in text + small}
+    if text:
+        tops = []
+        for c in text:
+            known = df.filter(F.col(c).isNotNull()).select(F.lit(c).alias("feature"), F.col(c).alias("value"))
+            known = known.distinct().orderBy("value")
+            tops.append(known.limit(first) if first else known)
+        for r in reduce(DataFrame.unionByName, tops).collect():
+            values[r["feature"]].append(r["value"])
+    if small:
+        for r in distinct_values(df, small).collect():
+            values[r["feature"]].append(r["num"])
+    grid = []
+    for c in text + small:
+        for i, v in enumerate(sorted(values[c])[:first]):
+            grid.append(GridPoint(c, i, None, v) if c in text else GridPoint(c, i, float(v), None))
+    if wide:
+        ends = fit_quantiles(df, wide, list(percentiles), plotting=plotting) if percentiles else fit_limits(df, wide)
+        for c in wide:
+            grid += [GridPoint(c, i, float(v), None) for i, v in enumerate(np.linspace(*ends[c], points))]
+    return grid
+
+
+def grid_frame(spark: SparkSession, grid: list[GridPoint]) -> DataFrame:
+    return spark.createDataFrame(grid, GRID_SCHEMA)
+
+
+def grid_array(grid: list[GridPoint]) -> Column:
+    """The grid as one literal array of structs."""
+    return F.array(
+        *[
+            F.struct(
+                F.lit(p.feature).alias("feature"),
+                F.lit(p.grid_pos).alias("grid_pos"),
+                F.lit(p.num).cast("double").alias("num"),
+                F.lit(p.text).cast("string").alias("text"),
             )
-        )
-    if numeric:
-        sizes = bounded_distinct_counts(df, numeric, few)
-        size = sizes.agg(F.map_from_entries(F.collect_list(F.struct("feature", "n_distinct")))).scalar()
-        pairs = F.array(
-            *[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("num")) for c in numeric]
-        )
-        order = Window.partitionBy("feature").orderBy("num")
-        small = (
-            df.select(F.inline(pairs))
-            .filter((size[F.col("feature")] <= few) & F.col("num").isNotNull())
-            .groupBy("feature", "num")
-            .agg(F.count("*").alias("_n"))
-            .withColumn("grid_pos", F.row_number().over(order) - 1)
-        )
-        if first:
-            small = small.filter(F.col("grid_pos") < first)
-        if percentiles:
-            ends = quantile_map(df, numeric, list(percentiles), plotting=plotting)
-        else:
-            ends = limits_map(df, numeric)
-        names = F.array(*[F.lit(c) for c in numeric])
-        wide = sizes.select("feature", "n_distinct").filter(F.col("n_distinct") > few)
-        wide = wide.filter(F.array_contains(names, F.col("feature"))).withColumn("_e", ends[F.col("feature")])
-        wide = wide.select("feature", F.posexplode(even_grid(F.col("_e")[0], F.col("_e")[1], points)))
-        no_text = F.lit(None).cast("string").alias("text")
-        parts.append(small.select("feature", "grid_pos", "num", no_text))
-        parts.append(wide.select("feature", F.col("pos").alias("grid_pos"), F.col("col").alias("num"), no_text))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def grid_array(grid: DataFrame) -> Column:
-    """The grid as one array: |features| x |grid| entries."""
-    return grid.agg(F.collect_list(F.struct("feature", "grid_pos", "num", "text"))).scalar()
+            for p in grid
+        ]
+    )
 
 
 def overwritten(df: DataFrame, features: list[str], schema) -> DataFrame:
@@ -98,7 +107,7 @@ def partial_dependence(
     df: DataFrame,
     scorer,
     features: list[str],
-    grid: DataFrame | None = None,
+    grid: list[GridPoint] | None = None,
     keys: list[str] = (),
     least: int = 0,
 ) -> DataFrame:
@@ -106,7 +115,7 @@ def partial_dependence(
     over all rows or per group with at least ``least`` rows. Missing curve points go together
     with their grid value."""
     keys = list(keys)
-    grid = grid_rows(df, features) if grid is None else grid
+    grid = fit_grid(df, features) if grid is None else grid
     needed = list(dict.fromkeys([*keys, *scorer.inputs, *features]))
     spread = df.select(*needed, F.inline(grid_array(grid)))
     scored = scorer.score(overwritten(spread, features, df.schema))
@@ -122,26 +131,10 @@ def dependence_at_mean(df: DataFrame, scorer, features: list[str], points: int =
     types = {f.name: f.dataType for f in df.schema.fields}
     numeric = [c for c in scorer.inputs if is_numeric(types[c])]
     text = [c for c in scorer.inputs if c not in numeric]
-    mode = modes(df, text) if text else None
-    ends = limits_map(df, features)
-    centre = df.agg(*[F.avg(c).alias(c) for c in numeric]).withColumns({c: mode[c] for c in text})
-    entries = F.flatten(
-        F.array(
-            *[
-                F.transform(
-                    even_grid(ends[c][0], ends[c][1], points),
-                    lambda v, i, c=c: F.struct(
-                        F.lit(c).alias("feature"),
-                        i.alias("grid_pos"),
-                        v.alias("num"),
-                        F.lit(None).cast("string").alias("text"),
-                    ),
-                )
-                for c in features
-            ]
-        )
-    )
-    spread = centre.withColumn("_entries", entries).select(*scorer.inputs, F.inline("_entries"))
+    mode = fit_modes(df, text) if text else {}
+    grid = fit_grid(df, features, few=0, points=points)
+    centre = df.agg(*[F.avg(c).alias(c) for c in numeric]).withColumns({c: F.lit(mode[c]) for c in text})
+    spread = centre.select(*scorer.inputs, F.inline(grid_array(grid)))
     scored = scorer.score(overwritten(spread, features, centre.schema))
     return scored.select("feature", "grid_pos", F.col("num").alias("grid_value"), F.col("score").alias("value"))
 
@@ -152,8 +145,8 @@ CURVE_PLOTTING = (0.4, 0.4)
 CURVE_POINTS = 100
 
 
-def curve_grid(df: DataFrame, features: list[str], points: int = CURVE_POINTS) -> DataFrame:
-    return grid_rows(
+def curve_grid(df: DataFrame, features: list[str], points: int = CURVE_POINTS) -> list[GridPoint]:
+    return fit_grid(
         df, features, few=points - 1, first=None, points=points, percentiles=CURVE_PERCENTILES, plotting=CURVE_PLOTTING
     )
 
@@ -194,7 +187,7 @@ def group_dependence(
     df: DataFrame, scorer, features: list[str], group: str, points: int = 10, few: int = 8, first: int = 12, least: int = 30
 ) -> DataFrame:
     """Partial dependence inside each protected group, one grid for all groups."""
-    grid = grid_rows(df, features, few=few, first=first, points=points)
+    grid = fit_grid(df, features, few=few, first=first, points=points)
     inside = df.filter(F.col(group).isNotNull())
     return partial_dependence(inside, scorer, features, grid, keys=[group], least=least)
 

@@ -11,14 +11,15 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from auditlens.functions.expr import hash_unit, is_numeric
-from auditlens.operators.ordering import QUARTILES, bucket_index, quantile_map
+from auditlens.operators.ordering import QUARTILES, bucket_index, fit_quantiles
 
 SAMPLES = 5000
+TEXT_LIMIT = 1000
 SHOWN = 10
 
 
@@ -46,14 +47,14 @@ def _bin_stats(train: DataFrame, numeric: list[str], text: list[str], edges):
             F.max("x").alias("hi"),
         )
     )
-    from pyspark.sql import Window
-
     order = Window.partitionBy("feature").orderBy("code")
     upto = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0))
     total = F.sum("n").over(Window.partitionBy("feature"))
     shares = bins.withColumn("upto", upto / total)
     item = F.struct("upto", "code", "mean", "std", "lo", "hi")
     per = shares.groupBy("feature").agg(F.array_sort(F.collect_list(item)).alias("bins"))
+    too_many = F.raise_error(F.lit("too many text values for local explanations, encode them first"))
+    per = per.withColumn("bins", F.when(F.size("bins") <= TEXT_LIMIT, F.col("bins")).otherwise(too_many))
     return per.agg(F.map_from_entries(F.collect_list(F.struct("feature", "bins")))).scalar()
 
 
@@ -92,7 +93,7 @@ def local_explanations(
     types = {f.name: f.dataType for f in train.schema.fields}
     numeric = [c for c in features if is_numeric(types[c])]
     text = [c for c in features if c not in numeric]
-    edges = quantile_map(train, numeric, QUARTILES)
+    edges = fit_quantiles(train, numeric, QUARTILES)
     stats = _bin_stats(train, numeric, text, edges)
     base = instances.select(
         id_col,

@@ -24,12 +24,13 @@ def additive_attributions(df: DataFrame, scorer: AdditiveScorer, id_col: str, re
     Wide rows (id, base_value, phi_<feature>...), one per input row, no shuffle.
     """
     terms = scorer.terms({c: F.col(c) for c in scorer.inputs})
-    means = reference.agg(F.struct(*[F.avg(t).alias(f) for f, t in terms.items()])).scalar()
-    base = F.lit(scorer.intercept)
-    for f in terms:
-        base = base + means[f]
+    means = reference.agg(*[F.avg(t).alias(f) for f, t in terms.items()]).first()
+    base = scorer.intercept + sum(means)
     return df.select(
-        id_col, base.alias("base_value"), *[(t - means[f]).alias(f"phi_{f}") for f, t in terms.items()], *scorer.inputs
+        id_col,
+        F.lit(base).alias("base_value"),
+        *[(t - F.lit(means[f])).alias(f"phi_{f}") for f, t in terms.items()],
+        *scorer.inputs,
     )
 
 

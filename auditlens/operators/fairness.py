@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from auditlens.functions.expr import is_numeric, ratio
 from auditlens.functions.tails import chi2_p, student_p
 from auditlens.operators.metrics import roc_auc, roc_curve
-from auditlens.operators.ordering import QUARTILES, bucket_index, quantile_map, with_quartiles
+from auditlens.operators.ordering import QUARTILES, bucket_index, fit_quantiles, with_quartiles
 from auditlens.operators.profile import bounded_distinct_counts
 
 # Names looked for first, columns never protected, quartile labels, bin edges
@@ -29,9 +29,9 @@ def protected_candidates(df: DataFrame, cols: list[str], least: int = 2, most: i
     """Columns with ``least`` to ``most`` distinct values in table order, the first one marked."""
     allowed = [c for c in cols if c not in NEVER_PROTECTED]
     counts = bounded_distinct_counts(df, allowed, most)
-    fits = counts.filter((F.col("n_distinct") >= least) & (F.col("n_distinct") <= most))
-    first = fits.agg(F.min("position")).scalar()
-    return fits.withColumn("chosen", F.col("position") == first)
+    fits = [(c, i, counts[c]) for i, c in enumerate(allowed) if least <= counts[c] <= most]
+    rows = [(*fit, i == 0) for i, fit in enumerate(fits)]
+    return df.sparkSession.createDataFrame(rows, "feature string, position int, n_distinct long, chosen boolean")
 
 
 def choose_protected(df: DataFrame, wanted: str | None = None, least: int = 2, most: int = 10) -> str:
@@ -55,16 +55,16 @@ def with_groups(df: DataFrame, col: str, minority: list[str] | None = None, out:
     if minority:
         return df.withColumn(out, F.when(value.isin(minority), "minority").otherwise("majority"))
     few = df.select(value.alias("v")).filter(F.col("v").isNotNull()).distinct().orderBy("v").limit(3)
-    values = few.agg(F.sort_array(F.collect_list("v"))).scalar()
-    split = F.when(value == values[0], "minority").otherwise("majority")
-    return df.withColumn(out, F.when(F.size(values) == 2, split).otherwise(value))
+    values = [r["v"] for r in few.collect()]
+    if len(values) == 2:
+        value = F.when(value.isNotNull(), F.when(value == values[0], "minority").otherwise("majority"))
+    return df.withColumn(out, value)
 
 
 def with_protected(df: DataFrame, col: str, minority: list[str] | None = None, out: str = "group") -> DataFrame:
     """Quartiles of a number with more than ten distinct values, else groups of its values."""
     if is_numeric(df.schema[col].dataType):
-        wide = bounded_distinct_counts(df, [col], 10).first()["n_distinct"] > 10
-        if wide:
+        if bounded_distinct_counts(df, [col], 10)[col] > 10:
             return with_quartiles(df, col, QUARTILE_LABELS, out)
     return with_groups(df, col, minority, out)
 
@@ -253,15 +253,14 @@ def candidate_statistics(df: DataFrame, features: list[str], group: str = "group
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     numeric = [c for c in features if is_numeric(types[c])]
-    sizes = bounded_distinct_counts(df, numeric, 10) if numeric else None
-    size = sizes.agg(F.map_from_entries(F.collect_list(F.struct("feature", "n_distinct")))).scalar() if numeric else None
-    edges = quantile_map(df, numeric, QUARTILES) if numeric else None
+    sizes = bounded_distinct_counts(df, numeric, 10) if numeric else {}
+    wide = [c for c in numeric if sizes[c] > 10]
+    edges = fit_quantiles(df, wide, QUARTILES) if wide else {}
     entries = []
     for c in features:
         text = F.col(c).cast("string")
-        if c in numeric:
-            bucket = F.concat(F.lit("q"), bucket_index(F.col(c).cast("double"), edges[c]).cast("string"))
-            text = F.when(size[c] > 10, bucket).otherwise(text)
+        if c in wide:
+            text = F.concat(F.lit("q"), bucket_index(F.col(c).cast("double"), edges[c]).cast("string"))
         entries.append(F.struct(F.lit(c).alias("feature"), text.alias("value")))
     rows = df.select(group, "y_hat", F.inline(F.array(*entries))).filter(F.col("value").isNotNull())
     return independence_statistics(decision_cells(rows, ["feature", "value"], group), ["feature", "value"])

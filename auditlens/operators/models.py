@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auditlens.functions.expr import cubic_basis
-from auditlens.operators.encode import feature_names, limits_map, vector_stages
+from auditlens.operators.encode import feature_names, fit_limits, vector_stages
 from auditlens.operators.metrics import regression_fit
 from auditlens.operators.scorers import ExprScorer
 from auditlens.session import fresh_path
@@ -146,8 +146,7 @@ class AdditiveModel:
 def design_terms(cols, numeric, categories, limits, splines) -> list[Column]:
     out = [F.lit(1.0)]
     for c in numeric:
-        lo, hi = limits[c]
-        out += cubic_basis(cols[c].cast("double"), F.lit(float(lo)), F.lit(float(hi)), splines)
+        out += cubic_basis(cols[c].cast("double"), *limits[c], splines)
     for c, values in categories.items():
         out += [F.when(cols[c] == v, 1.0).otherwise(0.0) for v in values]
     return out
@@ -210,8 +209,7 @@ def fit_additive(
     The cross products are computed once for all penalties, and all candidates are scored in
     one pass over the test rows. Returns the best model and rows (penalty, r2).
     """
-    spread = train.select(limits_map(train, numeric).alias("m")).limit(1).first()["m"]
-    limits = {c: tuple(spread[c]) for c in numeric}
+    limits = fit_limits(train, numeric)
     cols = {c: F.col(c) for c in [*numeric, *categories]}
     terms = design_terms(cols, numeric, categories, limits, splines)
     gram = cross_products(train, terms, label)

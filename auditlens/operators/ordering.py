@@ -146,38 +146,38 @@ def _position(rows: Column, p: float, plotting: tuple[float, float]) -> Column:
     return F.least(F.greatest(raw, F.lit(0.0)), rows - 1.0)
 
 
-def quantile_map(df: DataFrame, cols: list[str], probs: list[float], **options) -> Column:
-    """Scalar subquery: map from column name to its quantile array (``len(cols)`` entries)."""
-    edges = exact_quantiles(df, cols, probs, **options)
-    return edges.agg(F.map_from_entries(F.collect_list(F.struct("feature", "q")))).scalar()
+def fit_quantiles(df: DataFrame, cols: list[str], probs: list[float], **options) -> dict[str, list[float]]:
+    """Fit step: the quantiles of each column (len(cols) x len(probs) numbers reach the driver).
+    A column without values yields NULLs."""
+    found = {r["feature"]: r["q"] for r in exact_quantiles(df, cols, probs, **options).collect()}
+    return {c: list(found.get(c, [None] * len(probs))) for c in cols}
 
 
 QUARTILES = [0.0, 0.25, 0.5, 0.75, 1.0]
 
 
-def bucket_index(value, edges: Column, buckets: int = 4) -> Column:
+def bucket_index(value: Column, edges: list[float]) -> Column:
     """1-based right-closed bucket of ``value``; the lowest value is inside bucket 1.
 
     An edge equal to the one before it is dropped. Both sides are rounded to 9 digits.
     """
     x = F.round(value, 9)
     index = F.lit(1)
-    for j in range(1, buckets):
-        edge, previous = F.round(edges[j], 9), F.round(edges[j - 1], 9)
-        index = index + ((edge > previous) & (x > edge)).cast("int")
-    return F.when(F.col(value).isNotNull() if isinstance(value, str) else value.isNotNull(), index)
+    for previous, edge in zip(edges, edges[1:-1]):
+        if edge is not None and round(edge, 9) > round(previous, 9):
+            index = index + (x > F.lit(round(edge, 9))).cast("int")
+    return F.when(value.isNotNull(), index)
 
 
 def with_quartiles(df: DataFrame, col: str, labels: list[str], out: str, index_out: str | None = None) -> DataFrame:
-    """Label every row with the quartile of ``col``. Two passes over ``df``, no shuffle of rows."""
-    edges = quantile_map(df, [col], QUARTILES)[col]
-    marked = df.withColumn("_edges", edges)
-    marked = marked.withColumn("_bucket", bucket_index(F.col(col).cast("double"), F.col("_edges")))
+    """Label every row with the quartile of ``col``: a fit of the edges, then a projection."""
+    edges = fit_quantiles(df, [col], QUARTILES)[col]
+    marked = df.withColumn("_bucket", bucket_index(F.col(col).cast("double"), edges))
     names = F.array(*[F.lit(x) for x in labels])
     marked = marked.withColumn(out, F.when(F.col("_bucket").isNotNull(), F.get(names, F.col("_bucket") - 1)))
     if index_out:
         marked = marked.withColumn(index_out, F.col("_bucket"))
-    return marked.drop("_edges", "_bucket")
+    return marked.drop("_bucket")
 
 
 def stratified_cut(

@@ -68,39 +68,21 @@ def distinct_values(df: DataFrame, cols: list[str]) -> DataFrame:
     return domain_counts(df, cols).filter(F.col("text").isNotNull() | F.col("num").isNotNull())
 
 
-def bounded_distinct_counts(df: DataFrame, cols: list[str], cap: int) -> DataFrame:
-    """Rows (feature, position, n_distinct): exact up to ``cap``, otherwise some number above it.
+def bounded_distinct_counts(df: DataFrame, cols: list[str], cap: int) -> dict[str, int]:
+    """Distinct non-missing values per column: exact up to ``cap``, otherwise some number above it.
 
     A sketch of all columns rules out the wide ones first, so their values are never
-    shuffled; the exact count runs over columns that may be small.
+    shuffled; the exact count runs over the columns that may be small. One number per column
+    reaches the driver.
     """
     loose = max(100, 4 * cap)
-    sketch = df.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in cols])
-    rough = sketch.select(F.create_map(*[x for c in cols for x in (F.lit(c), F.col(c))])).scalar()
-    pairs = F.array(
-        *[
-            F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value"))
-            for c in cols
-        ]
-    )
-    exact = (
-        df.select(F.inline(pairs))
-        .withColumn("_rough", rough[F.col("feature")])
-        .filter((F.col("_rough") <= loose) & F.col("value").isNotNull())
-        .groupBy("feature", "value")
-        .agg(F.lit(1).alias("_one"))
-        .groupBy("feature")
-        .agg(F.count("*").alias("_exact"))
-    )
-    names = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(c).alias("feature")) for i, c in enumerate(cols)])
-    listed = sketch.select(F.inline(names))
-    return listed.join(F.broadcast(exact), "feature", "left").select(
-        "feature",
-        "position",
-        F.coalesce(F.col("_exact"), F.when(rough[F.col("feature")] > loose, rough[F.col("feature")]), F.lit(0)).alias(
-            "n_distinct"
-        ),
-    )
+    rough = df.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in cols]).first().asDict()
+    small = [c for c in cols if rough[c] <= loose]
+    if small:
+        exact = {c: 0 for c in small}
+        exact.update((r["feature"], r["n_distinct"]) for r in distinct_counts(df, small).collect())
+        rough.update(exact)
+    return rough
 
 
 def table_profile(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -170,22 +152,20 @@ def value_range(df: DataFrame, cols: list[str]) -> DataFrame:
     )
 
 
-def _limits(df: DataFrame, col: str):
-    return df.agg(F.struct(F.min(col).cast("double").alias("lo"), F.max(col).cast("double").alias("hi"))).scalar()
-
-
 def histogram(df: DataFrame, col: str, bins: int, keys: list[str] = ()) -> DataFrame:
     """Counts and densities over ``bins`` equal bins shared by all groups. Densities add up
     to one within each group."""
     keys = list(keys)
-    edges = _limits(df, col)
+    lo, hi = df.agg(F.min(col).cast("double"), F.max(col).cast("double")).first()
+    if lo is None:
+        lo = hi = 0.0
     counts = (
         df.filter(F.col(col).isNotNull())
-        .withColumn("bin", uniform_bin(F.col(col), edges["lo"], edges["hi"], bins))
+        .withColumn("bin", uniform_bin(F.col(col), lo, hi, bins))
         .groupBy(*keys, "bin")
         .agg(F.count("*").alias("n"))
     )
-    width = F.when(edges["hi"] > edges["lo"], (edges["hi"] - edges["lo"]) / bins).otherwise(F.lit(1.0))
+    width = (hi - lo) / bins if hi > lo else 1.0
     if keys:
         totals = counts.groupBy(*keys).agg(F.sum("n").alias("_t"))
         counts = counts.join(totals, keys)
@@ -195,9 +175,9 @@ def histogram(df: DataFrame, col: str, bins: int, keys: list[str] = ()) -> DataF
     return counts.select(
         *keys,
         "bin",
-        (edges["lo"] + F.col("bin") * width).alias("bin_start"),
+        (F.lit(lo) + F.col("bin") * F.lit(width)).alias("bin_start"),
         "n",
-        (F.col("n") / (total * width)).alias("density"),
+        (F.col("n") / (total * F.lit(width))).alias("density"),
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from auditlens.functions import expr as X
 from auditlens.operators import clean, split
-from auditlens.operators.ordering import hash_sample, quantile_map
+from auditlens.operators.ordering import fit_quantiles, hash_sample
 from auditlens.operators.scorers import heuristic_score
 from auditlens.plans.frames import audited, rounded, scored
 from auditlens.plans.registry import query
@@ -165,8 +165,8 @@ def clean_fill_constant(spark, sf_dir):
 )
 def clean_fill_median(spark, sf_dir):
     df = loans(spark, sf_dir)
-    middle = quantile_map(df, ["dti"], [0.5])
-    return rounded(df.select(ID, F.coalesce(F.col("dti"), middle["dti"][0]).alias("dti")))
+    middle = fit_quantiles(df, ["dti"], [0.5])["dti"][0]
+    return rounded(df.select(ID, F.coalesce(F.col("dti"), F.lit(middle)).alias("dti")))
 
 
 @query("clean_binary_label", on_loans("SELECT loan_id, CASE WHEN target >= 0.5 THEN 1 ELSE 0 END AS label FROM ok"))
@@ -245,12 +245,12 @@ def clean_clip(spark, sf_dir):
 )
 def score_heuristic(spark, sf_dir):
     df = loans(spark, sf_dir)
-    middle = quantile_map(df, ["annual_inc"], [0.5])
+    middle = fit_quantiles(df, ["annual_inc"], [0.5])["annual_inc"][0]
     filled = df.select(
         ID,
         (F.coalesce(F.col("dti"), F.lit(0.0)) / 50).alias("dti"),
         F.coalesce(F.col("open_acc"), F.lit(0)).alias("delinq_2yrs"),
-        F.coalesce(F.col("annual_inc"), middle["annual_inc"][0]).alias("annual_inc"),
+        F.coalesce(F.col("annual_inc"), F.lit(middle)).alias("annual_inc"),
     )
     return rounded(filled.select(ID, heuristic_score().alias("score")), 9)
 

@@ -106,13 +106,13 @@ def _spline_sql(j: int) -> str:
 @query(
     "encode_spline_basis",
     on_loans(
-        "WITH m AS (SELECT min(dti) AS lo, max(dti) AS hi FROM ok), t AS (SELECT loan_id, dti, (dti-lo)/((hi-lo)/5.0::DOUBLE) AS t FROM ok, m) "
-        f"SELECT loan_id, {', '.join(f'{r(_spline_sql(j))} AS dti_s{j}' for j in range(8))} FROM t"
+        "WITH m AS (SELECT min(dti) AS lo, max(dti) AS hi FROM ok), kn AS (SELECT loan_id, (dti-lo)/((hi-lo)/5.0::DOUBLE) AS t FROM ok, m) "
+        f"SELECT loan_id, {', '.join(f'{r(_spline_sql(j))} AS dti_s{j}' for j in range(8))} FROM kn"
     ),
 )
 def encode_spline_basis(spark, sf_dir):
     df = complete_loans(spark, sf_dir)
-    limits = encode.limits_map(df, ["dti"])
+    limits = encode.fit_limits(df, ["dti"])
     return rounded(encode.spline_columns(df.select(ID, "dti"), ["dti"], limits).drop("dti"))
 
 

@@ -68,7 +68,7 @@ GRID_SQL = (
 
 @query("explain_dependence_grid", on_loans(f"WITH g AS ({GRID_SQL}) SELECT feature, grid_pos, {r('num')} AS num, text FROM g"))
 def explain_dependence_grid(spark, sf_dir):
-    return rounded(dependence.grid_rows(complete_loans(spark, sf_dir), FEATURES))
+    return rounded(dependence.grid_frame(spark, dependence.fit_grid(complete_loans(spark, sf_dir), FEATURES)))
 
 
 CURVES = curve_sql(even_sql(SCORER_NUMERIC, 20) + " UNION ALL " + text_sql("grade", 15), "ok")
