@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -108,25 +110,36 @@ def uniform_bin(value, lo, hi, bins: int) -> Column:
     return F.when(hi == lo, F.lit(0)).otherwise(F.least(F.greatest(raw, F.lit(0)), F.lit(bins - 1)))
 
 
-def cubic_basis(value, lo, hi, splines: int) -> list[Column]:
+def cubic_basis(value, lo: float, hi: float, splines: int) -> list[Column]:
     """The ``splines`` cubic B-splines on uniform knots over [lo, hi], as closed forms.
 
     With segment width h and t = (value - lo) / h, spline j is the standard cubic bump
     centred at knot j - 1; values outside the range are held at the border.
     """
-    segments = splines - 3
-    value, lo, hi = _col(value), _col(lo), _col(hi)
-    width = F.when(hi > lo, (hi - lo) / segments).otherwise(F.lit(1.0))
-    t = (F.least(F.greatest(value, lo), hi) - lo) / width
+    scale = (splines - 3) / (hi - lo) if hi > lo else 0.0
+    value = _col(value)
+    held = F.least(F.greatest(value, F.lit(lo)), F.lit(hi))
+    t = F.when(value.isNotNull(), (held - F.lit(lo)) * F.lit(scale))
     out = []
     for j in range(splines):
         d = F.abs(t - F.lit(float(j - 1)))
-        near = (F.lit(4.0) - 6.0 * d * d + 3.0 * d * d * d) / 6.0
-        far = (2.0 - d) * (2.0 - d) * (2.0 - d) / 6.0
-        out.append(F.when(d < 1.0, near).when(d < 2.0, far).otherwise(F.lit(0.0)))
+        near = (F.lit(4.0) - 6.0 * d * d + 3.0 * d * d * d) * F.lit(1 / 6)
+        far = (2.0 - d) * (2.0 - d) * (2.0 - d) * F.lit(1 / 6)
+        out.append(F.when(d < 1.0, near).when(d < 2.0, far).when(d.isNotNull(), F.lit(0.0)))
     return out
 
 
+def constant_rows(rows: list[dict], schema: str) -> Column:
+    """A constant array<struct> column. Spark folds the parsing away, and one literal is far
+    quicker to plan than thousands of nested ones."""
+    return F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema_fields(schema)}>>")
+
+
+def schema_fields(schema: str) -> str:
+    """'a int, b string' -> 'a: int, b: string'."""
+    return ", ".join(": ".join(f"`{n}`" if i == 0 else n for i, n in enumerate(f.split(None, 1))) for f in schema.split(", "))
+
+
 def _col(c) -> Column:
     if isinstance(c, Column):
         return c

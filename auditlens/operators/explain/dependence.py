@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlens.functions.expr import is_numeric
+from auditlens.functions.expr import constant_rows, is_numeric
 from auditlens.operators.encode import fit_limits, fit_modes
 from auditlens.operators.ordering import fit_quantiles, hash_sample
 from auditlens.operators.profile import bounded_distinct_counts, distinct_values
@@ -79,18 +79,8 @@ def grid_frame(spark: SparkSession, grid: list[GridPoint]) -> DataFrame:
 
 
 def grid_array(grid: list[GridPoint]) -> Column:
-    """The grid as one literal array of structs."""
-    return F.array(
-        *[
-            F.struct(
-                F.lit(p.feature).alias("feature"),
-                F.lit(p.grid_pos).alias("grid_pos"),
-                F.lit(p.num).cast("double").alias("num"),
-                F.lit(p.text).cast("string").alias("text"),
-            )
-            for p in grid
-        ]
-    )
+    """The grid as one constant array of structs."""
+    return constant_rows([p._asdict() for p in grid], GRID_SCHEMA)
 
 
 def overwritten(df: DataFrame, features: list[str], schema) -> DataFrame:

@@ -8,14 +8,15 @@ rows are solved.
 from __future__ import annotations
 
 import math
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from auditlens.functions.expr import hash_unit, is_numeric
+from auditlens.functions.expr import is_numeric
 from auditlens.operators.ordering import QUARTILES, bucket_index, fit_quantiles
 
 SAMPLES = 5000
@@ -23,9 +24,20 @@ TEXT_LIMIT = 1000
 SHOWN = 10
 
 
-def _bin_stats(train: DataFrame, numeric: list[str], text: list[str], edges):
-    """Scalar subquery: map feature -> bins (code, cumulative share, mean, std, lo, hi, text),
-    4 entries per number and one per text value."""
+class Bin(NamedTuple):
+    """One quartile of a number or one text value, with its cumulative share."""
+
+    code: str
+    upto: float
+    mean: float | None
+    std: float | None
+    lo: float | None
+    hi: float | None
+
+
+def fit_bins(train: DataFrame, numeric: list[str], text: list[str], edges) -> dict[str, list[Bin]]:
+    """Shares and moments per bin: 4 rows per number and one per text value reach the driver,
+    at most ``TEXT_LIMIT`` of these."""
     null = F.lit(None).cast("double")
     entries = [
         F.struct(
@@ -35,43 +47,51 @@ def _bin_stats(train: DataFrame, numeric: list[str], text: list[str], edges):
         )
         for c in numeric
     ] + [F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("code"), null.alias("x")) for c in text]
-    bins = (
+    most = 4 * len(numeric) + TEXT_LIMIT
+    rows = (
         train.select(F.inline(F.array(*entries)))
         .filter(F.col("code").isNotNull())
         .groupBy("feature", "code")
-        .agg(
-            F.count("*").alias("n"),
-            F.avg("x").alias("mean"),
-            F.stddev_pop("x").alias("std"),
-            F.min("x").alias("lo"),
-            F.max("x").alias("hi"),
-        )
+        .agg(F.count("*").alias("n"), F.avg("x"), F.stddev_pop("x"), F.min("x"), F.max("x"))
+        .limit(most + 1)
+        .collect()
     )
-    order = Window.partitionBy("feature").orderBy("code")
-    upto = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    total = F.sum("n").over(Window.partitionBy("feature"))
-    shares = bins.withColumn("upto", upto / total)
-    item = F.struct("upto", "code", "mean", "std", "lo", "hi")
-    per = shares.groupBy("feature").agg(F.array_sort(F.collect_list(item)).alias("bins"))
-    too_many = F.raise_error(F.lit("too many text values for local explanations, encode them first"))
-    per = per.withColumn("bins", F.when(F.size("bins") <= TEXT_LIMIT, F.col("bins")).otherwise(too_many))
-    return per.agg(F.map_from_entries(F.collect_list(F.struct("feature", "bins")))).scalar()
-
-
-def _draw(bins, u):
-    """The first bin whose cumulative share exceeds ``u``."""
-    return F.get(F.filter(bins, lambda b: b["upto"] > u), 0)
-
-
-def _inside(b, u):
+    if len(rows) > most:
+        raise ValueError("too many text values for local explanations, encode them first")
+    out: dict[str, list[Bin]] = {}
+    for c in [*numeric, *text]:
+        mine = sorted((r for r in rows if r["feature"] == c), key=lambda r: r["code"])
+        total, seen = sum(r["n"] for r in mine), 0
+        out[c] = []
+        for r in mine:
+            seen += r["n"]
+            out[c].append(Bin(r["code"], seen / total, *list(r)[3:]))
+    return out
+
+
+def _draw(bins: list[Bin], u, pick):
+    """The value ``pick(bin)`` of the first bin whose cumulative share exceeds ``u``."""
+    out = pick(bins[-1])
+    for b in reversed(bins[:-1]):
+        out = F.when(u < F.lit(b.upto), pick(b)).otherwise(out)
+    return out
+
+
+def _inside(b: Bin, u):
     """Draw within a bin: a normal cut to [lo, hi], by the logistic approximation of its
     distribution function (scale 1.702), which inverts in closed form."""
-    scale = F.when(b["std"] > 0, b["std"]).otherwise(F.lit(1.0)) / 1.702
-    cdf = lambda v: 1.0 / (1.0 + F.exp(-(v - b["mean"]) / scale))
-    low, high = cdf(b["lo"]), cdf(b["hi"])
-    p = low + u * (high - low)
-    value = b["mean"] + scale * F.log(p / (1.0 - p))
-    return F.when(b["std"] > 0, F.least(F.greatest(value, b["lo"]), b["hi"])).otherwise(b["mean"])
+    if not b.std:
+        return F.lit(b.mean)
+    scale = b.std / 1.702
+    low, high = (1.0 / (1.0 + math.exp(-(v - b.mean) / scale)) for v in (b.lo, b.hi))
+    p = F.lit(low) + u * F.lit(high - low)
+    value = F.lit(b.mean) + F.lit(scale) * F.log(p / (1.0 - p))
+    return F.least(F.greatest(value, F.lit(b.lo)), F.lit(b.hi))
+
+
+def _unit(*parts):
+    """Reproducible draw from [0, 1)."""
+    return F.shiftrightunsigned(F.xxhash64(*parts), 11) / F.lit(float(2**53))
 
 
 def local_explanations(
@@ -94,7 +114,7 @@ def local_explanations(
     numeric = [c for c in features if is_numeric(types[c])]
     text = [c for c in features if c not in numeric]
     edges = fit_quantiles(train, numeric, QUARTILES)
-    stats = _bin_stats(train, numeric, text, edges)
+    bins = fit_bins(train, numeric, text, edges)
     base = instances.select(
         id_col,
         *[F.col(c).alias(f"x_{c}") for c in features],
@@ -102,22 +122,26 @@ def local_explanations(
             (bucket_index(F.col(c).cast("double"), edges[c]).cast("string") if c in numeric else F.col(c)).alias(f"own_{c}")
             for c in features
         ],
-        stats.alias("_stats"),
     )
     drawn = base.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(samples - 1))))
     drawn = drawn.withColumns(
-        {f"b_{c}": _draw(F.col("_stats")[c], hash_unit(id_col, "_s", F.lit(c), F.lit(seed))) for c in features}
+        {
+            f"u_{kind}_{i}": _unit(id_col, "_s", F.lit(kind), F.lit(i), F.lit(seed))
+            for i, c in enumerate(features)
+            for kind in (("bin", "in") if c in numeric else ("bin",))
+        }
     )
     first = F.col("_s") == 0
     made = {}
-    for c in features:
-        b = F.col(f"b_{c}")
-        made[f"z_{c}"] = F.when(first | (b["code"] == F.col(f"own_{c}")), 1.0).otherwise(0.0)
+    for i, c in enumerate(features):
+        u, v = F.col(f"u_bin_{i}"), F.col(f"u_in_{i}")
+        code = _draw(bins[c], u, lambda b: F.lit(b.code))
+        made[f"z_{c}"] = F.when(first | (code == F.col(f"own_{c}")), 1.0).otherwise(0.0)
         if c in numeric:
-            value = _inside(b, hash_unit(id_col, "_s", F.lit(c), F.lit(seed), F.lit("in")))
+            value = _draw(bins[c], u, lambda b, v=v: _inside(b, v))
             made[c] = F.when(first, F.col(f"x_{c}").cast("double")).otherwise(value)
         else:
-            made[c] = F.when(first, F.col(f"x_{c}")).otherwise(b["code"])
+            made[c] = F.when(first, F.col(f"x_{c}")).otherwise(code)
     scored = scorer.score(drawn.withColumns(made).select(id_col, *made))
     z = [F.col(f"z_{c}") for c in features]
     apart = sum((1.0 - v for v in z), F.lit(0.0))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auditlens.functions.expr import decide, hash_long, ratio
+from auditlens.functions.expr import constant_rows, decide, hash_long, ratio
 from auditlens.operators.metrics import weighted_f1
 
 BUCKET_ROWS = 2000
@@ -37,39 +37,30 @@ def shuffled_scores(
     hashed = df.select(id_col, label, *inputs, hash_long(id_col, F.lit(seed)).alias("_h")).withColumn(
         "_bucket", F.pmod(F.col("_h"), buckets)
     )
-    runs = F.array(
-        F.struct(F.lit(None).cast("string").alias("feature"), F.lit(0).alias("repeat")),
-        *[
-            F.struct(F.lit(f).alias("feature"), F.lit(r).alias("repeat"))
-            for f in features
-            for r in range(1, repeats + 1)
-        ],
+    every = [{"feature": f, "repeat": r} for f in features for r in range(1, repeats + 1)]
+    runs = constant_rows([{"feature": None, "repeat": 0}, *every], "feature string, repeat int")
+    gathered = hashed.groupBy("_bucket").agg(
+        F.array_sort(F.collect_list(F.struct("_h", id_col, label, *inputs))).alias("_rows")
     )
-    gathered = (
-        hashed.groupBy("_bucket")
-        .agg(F.array_sort(F.collect_list(F.struct("_h", id_col, label, *inputs))).alias("_rows"))
-        .withColumn("_m", F.size("_rows").cast("long"))
+    size = F.size("_rows")
+    step = F.when(
+        F.col("feature").isNotNull() & (size > 1),
+        1 + F.pmod(hash_long("_bucket", "feature", "repeat", F.lit(seed)), size - 1),
+    ).otherwise(F.lit(0))
+    run = gathered.select("_bucket", "_rows", F.inline(runs)).withColumn("_step", step.cast("int"))
+    rotated = F.concat(
+        F.slice("_rows", F.col("_step") + 1, F.size("_rows")), F.slice("_rows", F.lit(1), F.col("_step"))
     )
-    step = lambda r: F.when(
-        r["feature"].isNotNull() & (F.col("_m") > 1),
-        1 + F.pmod(hash_long("_bucket", r["feature"], r["repeat"], F.lit(seed)), F.col("_m") - 1),
-    ).otherwise(F.lit(0).cast("long"))
-    gathered = gathered.withColumn(
-        "_runs",
-        F.transform(
-            runs, lambda r: F.struct(r["feature"].alias("feature"), r["repeat"].alias("repeat"), step(r).alias("_step"))
-        ),
-    )
-    placed = gathered.select("_rows", "_m", "_runs", F.posexplode("_rows").alias("_pos", "_row"))
-    run = placed.select("_rows", "_m", "_pos", "_row", F.inline("_runs"))
-    run = run.withColumn("_donor", F.get("_rows", ((F.col("_pos") + F.col("_step")) % F.col("_m")).cast("int")))
-    shifted = [
-        (F.when(F.col("feature") == c, F.col("_donor")[c]).otherwise(F.col("_row")[c]) if c in features else F.col("_row")[c]).alias(c)
-        for c in inputs
-    ]
-    return scorer.score(run.select("feature", "repeat", F.col("_row")[label].alias(label), *shifted)).select(
-        "feature", "repeat", label, "score"
+    # the bucket itself is not kept beside its rows: they would each carry a copy
+    pairs = run.select(
+        "feature", "repeat", F.inline(F.arrays_zip(F.col("_rows").alias("_row"), rotated.alias("_donor")))
     )
+    shifted = []
+    for c in inputs:
+        own, given = F.col(f"_row.{c}"), F.col(f"_donor.{c}")
+        shifted.append((F.when(F.col("feature") == c, given).otherwise(own) if c in features else own).alias(c))
+    mixed = pairs.select("feature", "repeat", F.col(f"_row.{label}").alias(label), *shifted)
+    return scorer.score(mixed).select("feature", "repeat", label, "score")
 
 
 def _importance(metric: DataFrame) -> DataFrame:

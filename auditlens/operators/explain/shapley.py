@@ -7,7 +7,7 @@ import random
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from auditlens.functions.expr import hash_long, ratio
+from auditlens.functions.expr import constant_rows, hash_long, ratio
 from auditlens.operators.ordering import hash_sample
 from auditlens.operators.scorers import AdditiveScorer
 
@@ -62,12 +62,13 @@ def sampled_attributions(
     for i, order in enumerate(orders):
         for k in range(len(order) + 1):
             taken = set(order[:k])
-            fields = [F.lit(i).alias("_o"), F.lit(share if k == 0 else 0.0).alias("_b")]
+            entry = {"_o": i, "_b": share if k == 0 else 0.0}
             for f in features:
                 at = order.index(f)
-                fields.append(F.lit(f in taken).alias(f"in_{f}"))
-                fields.append(F.lit(share * ((at == k - 1) - (at == k))).alias(f"w_{f}"))
-            entries.append(F.struct(*fields))
+                entry[f"in_{f}"] = f in taken
+                entry[f"w_{f}"] = share * ((at == k - 1) - (at == k))
+            entries.append(entry)
+    schema = ", ".join(["_o int", "_b double", *[f"in_{f} boolean, w_{f} double" for f in features]])
     rows = reference.agg(F.array_sort(F.collect_list(F.struct(F.col(id_col).alias("_id"), *features)))).scalar()
     start = df.select(
         id_col,
@@ -75,7 +76,7 @@ def sampled_attributions(
         hash_long(id_col, F.lit(seed)).alias("_h"),
         rows.alias("_bg"),
     )
-    walk = start.select("*", F.inline(F.array(*entries))).withColumn(
+    walk = start.select("*", F.inline(constant_rows(entries, schema))).withColumn(
         "_r", F.get("_bg", F.pmod(F.col("_h") + F.col("_o") * 7919, F.size("_bg")).cast("int"))
     )
     mixed = walk.select(

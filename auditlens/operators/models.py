@@ -9,7 +9,6 @@ from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, Rando
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from auditlens.functions.expr import cubic_basis
 from auditlens.operators.encode import feature_names, fit_limits, vector_stages
 from auditlens.operators.metrics import regression_fit
 from auditlens.operators.scorers import ExprScorer
@@ -130,38 +129,71 @@ class AdditiveModel:
         self.penalty = penalty
         self.coefficients = coefficients
 
-    def terms(self, cols: dict[str, Column]) -> list[Column]:
-        return design_terms(cols, self.numeric, self.categories, self.limits, self.splines)
-
     def predict(self, cols: dict[str, Column]) -> Column:
-        total = F.lit(0.0)
-        for weight, term in zip(self.coefficients, self.terms(cols)):
-            total = total + F.lit(float(weight)) * term
+        """On every knot segment the weighted splines add up to one cubic, so a number costs
+        one CASE and three multiplications."""
+        weights = [float(w) for w in self.coefficients]
+        total, at = F.lit(weights[0]), 1
+        for c in self.numeric:
+            lo, hi = self.limits[c]
+            segments = self.splines - 3
+            x = cols[c].cast("double")
+            t = (F.least(F.greatest(x, F.lit(lo)), F.lit(hi)) - F.lit(lo)) * F.lit(segments / (hi - lo) if hi > lo else 0.0)
+            curve = None
+            for k in range(segments):
+                a, b, d, e = SEGMENT @ weights[at + k : at + k + 4]
+                u = t - F.lit(float(k))
+                cubic = F.lit(float(a)) + u * (F.lit(float(b)) + u * (F.lit(float(d)) + u * F.lit(float(e))))
+                if k == segments - 1:
+                    curve = cubic if curve is None else curve.otherwise(cubic)
+                else:
+                    below = t < F.lit(float(k + 1))
+                    curve = F.when(below, cubic) if curve is None else curve.when(below, cubic)
+            total = total + F.when(x.isNotNull(), curve)
+            at += self.splines
+        for c, values in self.categories.items():
+            term = F.lit(0.0)
+            for v in reversed(values):
+                term = F.when(cols[c] == v, F.lit(weights[at + values.index(v)])).otherwise(term)
+            total = total + term
+            at += len(values)
         return total
 
     def scorer(self) -> ExprScorer:
         return ExprScorer([*self.numeric, *self.categories], self.predict)
 
 
-def design_terms(cols, numeric, categories, limits, splines) -> list[Column]:
-    out = [F.lit(1.0)]
-    for c in numeric:
-        out += cubic_basis(cols[c].cast("double"), *limits[c], splines)
-    for c, values in categories.items():
-        out += [F.when(cols[c] == v, 1.0).otherwise(0.0) for v in values]
-    return out
+# Powers of the position inside a segment (rows: 1, u, u^2, u^3) of the four splines alive there.
+SEGMENT = np.array([[1, 4, 1, 0], [-3, 0, 3, 0], [3, -6, 3, 0], [-1, 3, -3, 1]]) / 6.0
 
 
-def cross_products(df: DataFrame, terms: list[Column], label: str) -> np.ndarray:
+def cross_products(df: DataFrame, numeric, categories, limits, splines: int, label: str) -> np.ndarray:
     """[X y]'[X y] over all rows, one pass.
 
-    Each task adds up matrix products of its Arrow batches and emits one small matrix; Spark
-    sums them cell by cell. Only the (p+1)^2 cells reach the driver.
+    Each task builds the design of its Arrow batches, adds up their matrix products and emits
+    one small matrix; Spark sums them cell by cell. Only the (p+1)^2 cells reach the driver.
     """
-    size = len(terms) + 1
-    rows = df.select(F.array(*terms, F.col(label).cast("double")).alias("v")).filter(
-        ~F.exists("v", lambda x: x.isNull() | F.isnan(x))
-    )
+    size = 2 + splines * len(numeric) + sum(len(v) for v in categories.values())
+    powers = SEGMENT
+
+    def design(batch):
+        blocks = [np.ones((len(batch), 1))]
+        for c in numeric:
+            lo, hi = limits[c]
+            segments = splines - 3
+            scale = segments / (hi - lo) if hi > lo else 0.0
+            t = (np.clip(batch[c].to_numpy(dtype=float), lo, hi) - lo) * scale
+            k = np.minimum(t.astype(int), segments - 1)
+            alive = np.vander(t - k, 4, increasing=True) @ powers
+            block = np.zeros((len(batch), splines))
+            for j in range(4):
+                block[np.arange(len(batch)), k + j] = alive[:, j]
+            blocks.append(block)
+        for c, values in categories.items():
+            text = batch[c].to_numpy()
+            blocks += [(text == v).astype(float)[:, None] for v in values]
+        blocks.append(batch[label].to_numpy(dtype=float)[:, None])
+        return np.hstack(blocks)
 
     def gram(batches):
         import pandas as pd
@@ -169,10 +201,11 @@ def cross_products(df: DataFrame, terms: list[Column], label: str) -> np.ndarray
         total = np.zeros((size, size))
         for batch in batches:
             if len(batch):
-                block = np.stack(batch["v"].to_numpy())
+                block = design(batch)
                 total += block.T @ block
         yield pd.DataFrame({"cell": np.arange(size * size), "value": total.ravel()})
 
+    rows = df.select(*numeric, *categories, label).na.drop("any", subset=[*numeric, label])
     cells = rows.mapInPandas(gram, "cell int, value double").groupBy("cell").agg(F.sum("value").alias("value"))
     out = np.zeros(size * size)
     for r in cells.collect():
@@ -211,13 +244,12 @@ def fit_additive(
     """
     limits = fit_limits(train, numeric)
     cols = {c: F.col(c) for c in [*numeric, *categories]}
-    terms = design_terms(cols, numeric, categories, limits, splines)
-    gram = cross_products(train, terms, label)
+    gram = cross_products(train, numeric, categories, limits, splines, label)
     xx, xy = gram[:-1, :-1], gram[:-1, -1]
-    penalty = _penalty_matrix(numeric, categories, splines, len(terms))
+    penalty = _penalty_matrix(numeric, categories, splines, len(xy))
     candidates = []
     for lam in penalties:
-        weights = np.linalg.solve(xx + lam * penalty + 1e-6 * np.eye(len(terms)), xy)
+        weights = np.linalg.solve(xx + lam * penalty + 1e-6 * np.eye(len(xy)), xy)
         candidates.append(AdditiveModel(numeric, categories, limits, splines, lam, weights))
     scored = test.select(
         F.col(label).alias("_y"),

@@ -17,7 +17,7 @@ from auditlens.plans.registry import query
 from auditlens.plans.sql import on_loans, r
 from auditlens.sources.loans import NUMERIC, STRINGS, complete_loans
 
-TOP = 4
+TOP = 3
 TOPS_SQL = f"""{PHI_SQL}, ta AS (SELECT feature FROM ai ORDER BY round(importance, 9) DESC, feature LIMIT {TOP}),
 rk AS ({RANKING_SQL}), tb AS (SELECT feature FROM rk WHERE NOT isnan(correlation) ORDER BY round(correlation, 9) DESC, feature LIMIT {TOP})"""
 
@@ -104,8 +104,8 @@ def compare_fidelity_verdict(spark, sf_dir):
         f"""WITH {TOPS_SQL}, {LINES_SQL}, p AS (SELECT max(r2) FILTER (WHERE model IN ('line dti','line annual_inc')) AS a,
         max(r2) FILTER (WHERE model IN ('line int_rate','line pct_protected')) AS b FROM ms)
         SELECT {r('a')} AS first_best_r2, {r('b')} AS second_best_r2,
-        (SELECT string_agg(feature, ',' ORDER BY feature) FROM ta WHERE feature IN (SELECT feature FROM tb)) AS common_features,
-        (SELECT string_agg(feature, ',' ORDER BY feature) FROM tb WHERE feature NOT IN (SELECT feature FROM ta)) AS second_specific,
+        coalesce((SELECT string_agg(feature, ',' ORDER BY feature) FROM ta WHERE feature IN (SELECT feature FROM tb)), '') AS common_features,
+        coalesce((SELECT string_agg(feature, ',' ORDER BY feature) FROM tb WHERE feature NOT IN (SELECT feature FROM ta)), '') AS second_specific,
         {r('b-a')} AS fidelity_gap, CASE WHEN b-a > 0 THEN 'second' ELSE 'first' END AS recommendation FROM p"""
     ),
 )

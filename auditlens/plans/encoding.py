@@ -96,7 +96,7 @@ def encode_aligned_columns(spark, sf_dir):
 
 
 def _spline_sql(j: int) -> str:
-    d = f"abs(t-{j - 1}.0::DOUBLE)"
+    d = f"abs(t-({j - 1}.0::DOUBLE))"
     return (
         f"CASE WHEN {d} < 1 THEN (4.0::DOUBLE-6.0::DOUBLE*{d}*{d}+3.0::DOUBLE*{d}*{d}*{d})/6 "
         f"WHEN {d} < 2 THEN (2.0::DOUBLE-{d})*(2.0::DOUBLE-{d})*(2.0::DOUBLE-{d})/6 ELSE 0.0::DOUBLE END"
@@ -107,13 +107,13 @@ def _spline_sql(j: int) -> str:
     "encode_spline_basis",
     on_loans(
         "WITH m AS (SELECT min(dti) AS lo, max(dti) AS hi FROM ok), kn AS (SELECT loan_id, (dti-lo)/((hi-lo)/5.0::DOUBLE) AS t FROM ok, m) "
-        f"SELECT loan_id, {', '.join(f'{r(_spline_sql(j))} AS dti_s{j}' for j in range(8))} FROM kn"
+        f"SELECT loan_id, {', '.join(f'{r(_spline_sql(j), 9)} AS dti_s{j}' for j in range(8))} FROM kn"
     ),
 )
 def encode_spline_basis(spark, sf_dir):
     df = complete_loans(spark, sf_dir)
     limits = encode.fit_limits(df, ["dti"])
-    return rounded(encode.spline_columns(df.select(ID, "dti"), ["dti"], limits).drop("dti"))
+    return rounded(encode.spline_columns(df.select(ID, "dti"), ["dti"], limits).drop("dti"), 9)
 
 
 @query("encode_column_transformer")

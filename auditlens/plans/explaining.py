@@ -359,12 +359,12 @@ def explain_attribution_statistics(spark, sf_dir):
         f"""WITH {PHI_SQL}, k AS (SELECT *, row_number() OVER (PARTITION BY loan_id ORDER BY round(abs(phi), 9) DESC, feature) AS rk, count(*) OVER (PARTITION BY loan_id) AS sz FROM ph),
         l AS (SELECT loan_id, CASE WHEN sz > 4 AND rk >= 4 THEN 4 ELSE rk END AS step, CASE WHEN sz > 4 AND rk >= 4 THEN 'other features' ELSE feature END AS label,
           sum(phi) AS phi, max(base_value) AS base_value FROM k GROUP BY ALL)
-        SELECT loan_id, CAST(step AS INTEGER) AS step, label, {r('phi')} AS phi, {r('base_value')} AS base_value,
-        {r('base_value + sum(phi) OVER (PARTITION BY loan_id ORDER BY step)')} AS running_total FROM l"""
+        SELECT loan_id, CAST(step AS INTEGER) AS step, label, {r('phi', 9)} AS phi, {r('base_value', 9)} AS base_value,
+        {r('base_value + sum(phi) OVER (PARTITION BY loan_id ORDER BY step)', 9)} AS running_total FROM l"""
     ),
 )
 def explain_waterfall(spark, sf_dir):
-    return rounded(shapley.waterfall(long_phi(spark, sf_dir), ID, shown=4))
+    return rounded(shapley.waterfall(long_phi(spark, sf_dir), ID, shown=4), 9)
 
 
 @query(
