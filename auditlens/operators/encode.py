@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from auditlens.functions.expr import cubic_basis
-from auditlens.operators.ordering import fit_quantiles
+from auditlens.operators.ordering import fit_quantiles, with_lookup
 from auditlens.operators.profile import bounded_distinct_counts
 
 ONE_HOT_LIMIT = 40
@@ -143,7 +143,7 @@ def topic_features(df: DataFrame, col: str, topics: int = 30, iterations: int =
         counted.unpersist()
     weights = model.transform(counted).select(col, vector_to_array("_topics").alias("_w"))
     weights = weights.select(col, *[F.col("_w")[i].alias(f"{col}_topic_{i}") for i in range(topics)])
-    return df.join(weights, col, "left")
+    return with_lookup(df, weights, [col], "left")
 
 
 def auto_encode(

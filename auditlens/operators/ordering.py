@@ -6,6 +6,9 @@ two levels: totals per bin (few rows, map-side combined), then a window inside e
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,16 +33,18 @@ def running_totals(
 ) -> DataFrame:
     """Add ``cum_<m>`` (inclusive, in order) and ``tot_<m>`` (whole key) for every measure.
 
-    ``df`` must be aggregated: one row per (keys, order_col), no NULL keys, and ``bin_col``
-    a monotone function of ``order_col``. The largest task sorts one (keys, bin).
+    ``df`` must be aggregated, one row per (keys, order_col), and ``bin_col`` a monotone
+    function of ``order_col``. The largest task sorts one (keys, bin). The join is null-safe:
+    NULL keys stay, and no pushed-down null filter keeps Spark from reusing the aggregate's
+    shuffle for both sides.
     """
     direction = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
     before = Window.partitionBy(*keys).orderBy(direction(bin_col)).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
     per_bin = df.groupBy(*keys, bin_col).agg(*[F.sum(m).alias(f"_s_{m}") for m in measures])
+    on = [*keys, bin_col]
     offsets = per_bin.select(
-        *keys,
-        bin_col,
+        *[F.col(k).alias(f"_k_{k}") for k in on],
         *[F.coalesce(F.sum(f"_s_{m}").over(before), F.lit(0)).alias(f"_o_{m}") for m in measures],
         *[F.sum(f"_s_{m}").over(whole).alias(f"tot_{m}") for m in measures],
     )
@@ -48,7 +53,8 @@ def running_totals(
         .orderBy(direction(order_col))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return df.join(offsets, [*keys, bin_col]).select(
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in on))
+    return df.join(offsets, same).select(
         *df.columns,
         *[(F.col(f"_o_{m}") + F.sum(m).over(inside)).alias(f"cum_{m}") for m in measures],
         *[F.col(f"tot_{m}") for m in measures],
@@ -76,13 +82,39 @@ def long_values(df: DataFrame, cols: list[str], keys: list[str] = (), keep: list
     return out.filter(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
+SKETCH_SIZE = 4000  # KLL parameter: rank error far below 0.1 %, 80 kB per column
+BRACKET = 0.002  # half width of a bracket in rank, several times that error
+CUTS = 9  # boundaries per bracket: its values are ranked in CUTS - 1 separate windows
+SALTS = 256
+
+
+def _sketches(data: DataFrame, by: list[str], cuts: list[float]) -> DataFrame:
+    """Rows (by, _n, _min, _max, _e): count, range and approximate quantiles at ``cuts``.
+
+    Sketches merge in two steps, so no task has to take in one per input partition.
+    """
+    parts = data.groupBy(*by, (F.spark_partition_id() % SALTS).alias("_salt")).agg(
+        F.count("*").alias("_n"),
+        F.min("value").alias("_min"),
+        F.max("value").alias("_max"),
+        F.kll_sketch_agg_double("value", SKETCH_SIZE).alias("_k"),
+    )
+    whole = parts.groupBy(*by).agg(
+        F.sum("_n").alias("_n"),
+        F.min("_min").alias("_min"),
+        F.max("_max").alias("_max"),
+        F.kll_merge_agg_double("_k").alias("_k"),
+    )
+    at = F.kll_sketch_get_quantile_double("_k", F.array(*[F.lit(c) for c in cuts or [0.5]]))
+    return whole.select(*by, "_n", "_min", "_max", at.alias("_e"))
+
+
 def exact_quantiles(
     df: DataFrame,
     cols: list[str],
     probs: list[float],
     keys: list[str] = (),
     exact_rows: int = 1_000_000,
-    accuracy: int = 20_000,
     plotting: tuple[float, float] = (1.0, 1.0),
 ) -> DataFrame:
     """Linearly interpolated quantiles: rows (keys, feature, n, q array<double>).
@@ -92,43 +124,71 @@ def exact_quantiles(
 
     ``percentile`` would gather every distinct value in one task. Here a mergeable sketch
     first brackets each wanted rank; values outside the brackets are only counted, values
-    inside keep their identity. Both ways are exact: groups of at most ``exact_rows`` rows
-    keep all their values, and a rank that falls outside its bracket stops the job.
+    inside keep their identity. The result is exact: groups of at most ``exact_rows`` rows
+    keep all their values, and a rank that falls outside its bracket stops the job
+    (``fit_quantiles`` then starts again with all values kept). The sketch runs at once and is
+    pinned, because a recomputed one could move the brackets between two tasks.
     With keys, NULL keys are left out.
     """
     keys = list(keys)
-    margin = 3.0 / accuracy
-    cuts = []
-    for p in probs:
-        cuts += [max(0.0, p - margin), min(1.0, p + margin)]
+    ends = {0.0: "_min", 1.0: "_max"} if plotting == (1.0, 1.0) else {}
+    inner = [p for p in probs if p not in ends]
+    steps = [BRACKET * (2 * i / (CUTS - 1) - 1) for i in range(CUTS)]
+    cuts = [min(1.0, max(0.0, p + d)) for p in inner for d in steps]
     data = long_values(df, cols, keys)
     for k in keys:
         data = data.filter(F.col(k).isNotNull())
     by = [*keys, "feature"]
-    sketch = data.groupBy(*by).agg(
-        F.count("*").alias("_n"), F.percentile_approx("value", cuts, accuracy).alias("_e")
-    )
-    # one sketch row per column name when there are no keys: bounded by len(cols)
-    marked = with_lookup(data, sketch, by) if keys else data.join(F.broadcast(sketch), by)
-    value, segment, inside = F.col("value"), F.lit(0), F.col("_n") <= exact_rows
-    for j in range(len(probs)):
-        lo, hi = F.col("_e")[2 * j], F.col("_e")[2 * j + 1]
-        segment = segment + (value >= lo).cast("int") + (value > hi).cast("int")
-        inside = inside | ((value >= lo) & (value <= hi))
-    counted = (
-        marked.select(*by, segment.alias("_seg"), F.when(inside, value).alias("_v"))
-        .groupBy(*by, "_seg", "_v")
-        .agg(F.count("*").alias("_c"))
-    )
+    sketch = _sketches(data, by, cuts)
+
+    def placed(value: Column, n: Column, lowest: Column, highest: Column, at) -> tuple[Column, Column]:
+        """(segment, value or NULL): the segment counts the boundaries a value has passed."""
+        segment, inside = F.lit(0), n <= exact_rows
+        for p in probs:
+            if p in ends:
+                marks = [lowest if ends[p] == "_min" else highest]
+            else:
+                first = CUTS * inner.index(p)
+                marks = [at(first + i) for i in range(CUTS)]
+            for m in marks[:-1] if len(marks) > 1 else marks:
+                segment = segment + (value >= m).cast("int")
+            segment = segment + (value > marks[-1]).cast("int")
+            inside = inside | ((value >= marks[0]) & (value <= marks[-1]))
+        return segment, F.when(inside, value)
+
+    if keys:
+        marked = with_lookup(data, sketch, by)
+        segment, kept = placed(
+            F.col("value"), F.col("_n"), F.col("_min"), F.col("_max"), lambda i: F.col("_e")[i]
+        )
+        rows = marked.select(*by, segment.alias("_seg"), kept.alias("_v"))
+    else:
+        entries = []
+        for r in sketch.collect():  # one row per column name
+            x = F.col(r["feature"]).cast("double")
+            segment, kept = F.lit(0), x
+            if r["_n"] > exact_rows:
+                lits = [F.lit(v) for v in r["_e"]]
+                segment, kept = placed(x, F.lit(r["_n"]), F.lit(r["_min"]), F.lit(r["_max"]), lits.__getitem__)
+            missing = x.isNull() | F.isnan(x)
+            entries.append(
+                F.struct(
+                    F.when(~missing, F.lit(r["feature"])).alias("feature"), segment.alias("_seg"), kept.alias("_v")
+                )
+            )
+        if not entries:
+            return data.select("feature", F.lit(0).cast("long").alias("n"), F.array("value").alias("q")).limit(0)
+        rows = df.select(F.inline(F.array(*entries))).filter(F.col("feature").isNotNull())
+    counted = rows.groupBy(*by, "_seg", "_v").agg(F.count("*").alias("_c"))
     ranked = running_totals(counted, by, "_seg", "_v", ["_c"])
-    rows, picks = F.col("tot__c"), []
+    total, picks = F.col("tot__c"), []
     for j, p in enumerate(probs):
-        h = _position(rows, p, plotting)
+        h = _position(total, p, plotting)
         for side, rank in (("lo", F.floor(h)), ("hi", F.ceil(h))):
             hit = (F.col("cum__c") - F.col("_c") <= rank) & (rank < F.col("cum__c"))
             picks.append(F.max(F.when(hit, F.col("_v"))).alias(f"_{side}{j}"))
-    picked = ranked.groupBy(*by).agg(F.max(rows).alias("n"), *picks)
-    lost = F.raise_error(F.lit("quantile rank outside its bracket")).cast("double")
+    picked = ranked.groupBy(*by).agg(F.max(total).alias("n"), *picks)
+    lost = F.raise_error(F.lit(LOST_RANK)).cast("double")
     at = []
     for j, p in enumerate(probs):
         h = _position(F.col("n"), p, plotting)
@@ -137,6 +197,9 @@ def exact_quantiles(
     return picked.select(*by, "n", F.array(*at).alias("q"))
 
 
+LOST_RANK = "quantile rank outside its bracket"
+
+
 def _position(rows: Column, p: float, plotting: tuple[float, float]) -> Column:
     """Zero-based fractional rank of quantile ``p`` among ``rows`` values."""
     a, b = plotting
@@ -149,7 +212,13 @@ def _position(rows: Column, p: float, plotting: tuple[float, float]) -> Column:
 def fit_quantiles(df: DataFrame, cols: list[str], probs: list[float], **options) -> dict[str, list[float]]:
     """Fit step: the quantiles of each column (len(cols) x len(probs) numbers reach the driver).
     A column without values yields NULLs."""
-    found = {r["feature"]: r["q"] for r in exact_quantiles(df, cols, probs, **options).collect()}
+    try:
+        rows = exact_quantiles(df, cols, probs, **options).collect()
+    except Exception as error:
+        if LOST_RANK not in str(error):
+            raise
+        rows = exact_quantiles(df, cols, probs, **{**options, "exact_rows": 2**62}).collect()
+    found = {r["feature"]: r["q"] for r in rows}
     return {c: list(found.get(c, [None] * len(probs))) for c in cols}
 
 
