@@ -76,7 +76,7 @@ def bounded_distinct_counts(df: DataFrame, cols: list[str], cap: int) -> dict[st
     reaches the driver.
     """
     loose = max(100, 4 * cap)
-    rough = df.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in cols]).first().asDict()
+    rough = df.agg(*[F.approx_count_distinct(c, 0.05).alias(c) for c in cols]).first().asDict()
     small = [c for c in cols if rough[c] <= loose]
     if small:
         exact = {c: 0 for c in small}
