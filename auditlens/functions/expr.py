@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -129,15 +127,26 @@ def cubic_basis(value, lo: float, hi: float, splines: int) -> list[Column]:
     return out
 
 
-def constant_rows(rows: list[dict], schema: str) -> Column:
-    """A constant array<struct> column. Spark folds the parsing away, and one literal is far
-    quicker to plan than thousands of nested ones."""
-    return F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema_fields(schema)}>>")
-
+def constant_rows(rows: list, element: str) -> Column:
+    """A constant array column; ``element`` is a type, or the fields of a struct for dicts.
 
-def schema_fields(schema: str) -> str:
-    """'a int, b string' -> 'a: int, b: string'."""
-    return ", ".join(": ".join(f"`{n}`" if i == 0 else n for i, n in enumerate(f.split(None, 1))) for f in schema.split(", "))
+    Written as one SQL literal: Spark folds it to a constant, and it is far quicker to build
+    than thousands of nested columns.
+    """
+    fields = [f.strip().split() for f in element.split(",")]
+
+    def literal(v, kind):
+        if v is None:
+            return f"CAST(NULL AS {kind})"
+        if isinstance(v, str):
+            return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        return f"{float(v)!r}D" if kind == "double" else str(v)
+
+    if rows and isinstance(rows[0], dict):
+        items = ["named_struct(" + ", ".join(f"'{n}', {literal(r[n], k)}" for n, k in fields) + ")" for r in rows]
+    else:
+        items = [literal(v, element) for v in rows]
+    return F.expr("array(" + ", ".join(items) + ")")
 
 
 def _col(c) -> Column:

@@ -1,8 +1,8 @@
 """Local linear explanations: a weighted ridge model around every explained row.
 
-All explained rows and all their perturbed samples are one exploded plan. Each instance is
-reduced to the sums of its normal equations by a normal aggregate, and only those small
-rows are solved.
+All explained rows and all their perturbed samples are one exploded plan. Samples are added
+up per agreement pattern, patterns into the sums of each instance's normal equations, and
+only those small rows are solved.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from auditlens.functions.expr import is_numeric
+from auditlens.functions.expr import constant_rows, is_numeric
 from auditlens.operators.ordering import QUARTILES, bucket_index, fit_quantiles
 
 SAMPLES = 5000
@@ -69,24 +69,29 @@ def fit_bins(train: DataFrame, numeric: list[str], text: list[str], edges) -> di
     return out
 
 
-def _draw(bins: list[Bin], u, pick):
-    """The value ``pick(bin)`` of the first bin whose cumulative share exceeds ``u``."""
-    out = pick(bins[-1])
-    for b in reversed(bins[:-1]):
-        out = F.when(u < F.lit(b.upto), pick(b)).otherwise(out)
-    return out
+def _position(bins: list[Bin], u):
+    """Zero-based position of the first bin whose cumulative share exceeds ``u``."""
+    uptos = constant_rows([b.upto for b in bins[:-1]], "double")
+    if len(bins) > 8:
+        return F.size(F.filter(uptos, lambda c: c <= u))
+    return sum(((u >= F.lit(b.upto)).cast("int") for b in bins[:-1]), F.lit(0))
 
 
-def _inside(b: Bin, u):
+def _inside(bins: list[Bin], at, u):
     """Draw within a bin: a normal cut to [lo, hi], by the logistic approximation of its
-    distribution function (scale 1.702), which inverts in closed form."""
-    if not b.std:
-        return F.lit(b.mean)
-    scale = b.std / 1.702
-    low, high = (1.0 / (1.0 + math.exp(-(v - b.mean) / scale)) for v in (b.lo, b.hi))
-    p = F.lit(low) + u * F.lit(high - low)
-    value = F.lit(b.mean) + F.lit(scale) * F.log(p / (1.0 - p))
-    return F.least(F.greatest(value, F.lit(b.lo)), F.lit(b.hi))
+    distribution function (scale 1.702), which inverts in closed form. The constants of each
+    bin are looked up by position, which keeps the generated code short enough to compile."""
+    lows, spans, scales = [], [], []
+    for b in bins:
+        scale = (b.std or 1.0) / 1.702
+        low, high = (1.0 / (1.0 + math.exp(-(v - b.mean) / scale)) for v in (b.lo, b.hi))
+        lows.append(low)
+        spans.append(high - low)
+        scales.append(scale if b.std else 0.0)
+    look = lambda values: F.get(constant_rows(values, "double"), at)
+    p = look(lows) + u * look(spans)
+    value = look([b.mean for b in bins]) + look(scales) * F.log(p / (1.0 - p))
+    return F.least(F.greatest(value, look([b.lo for b in bins])), look([b.hi for b in bins]))
 
 
 def _unit(*parts):
@@ -115,44 +120,56 @@ def local_explanations(
     text = [c for c in features if c not in numeric]
     edges = fit_quantiles(train, numeric, QUARTILES)
     bins = fit_bins(train, numeric, text, edges)
-    base = instances.select(
-        id_col,
-        *[F.col(c).alias(f"x_{c}") for c in features],
-        *[
-            (bucket_index(F.col(c).cast("double"), edges[c]).cast("string") if c in numeric else F.col(c)).alias(f"own_{c}")
-            for c in features
-        ],
-    )
+    own = {}
+    for c in features:
+        codes = constant_rows([b.code for b in bins[c]], "string")
+        mine = bucket_index(F.col(c).cast("double"), edges[c]).cast("string") if c in numeric else F.col(c)
+        own[c] = (F.array_position(codes, mine) - 1).cast("int").alias(f"own_{c}")
+    base = instances.select(id_col, *[F.col(c).alias(f"x_{c}") for c in features], *own.values())
     drawn = base.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(samples - 1))))
-    drawn = drawn.withColumns(
-        {
-            f"u_{kind}_{i}": _unit(id_col, "_s", F.lit(kind), F.lit(i), F.lit(seed))
-            for i, c in enumerate(features)
-            for kind in (("bin", "in") if c in numeric else ("bin",))
-        }
-    )
     first = F.col("_s") == 0
+    places = {
+        f"at_{c}": F.when(first, F.col(f"own_{c}")).otherwise(
+            _position(bins[c], _unit(id_col, "_s", F.lit(2 * i), F.lit(seed)))
+        )
+        for i, c in enumerate(features)
+    }
+    drawn = drawn.withColumns(places)
     made = {}
     for i, c in enumerate(features):
-        u, v = F.col(f"u_bin_{i}"), F.col(f"u_in_{i}")
-        code = _draw(bins[c], u, lambda b: F.lit(b.code))
-        made[f"z_{c}"] = F.when(first | (code == F.col(f"own_{c}")), 1.0).otherwise(0.0)
+        at = F.col(f"at_{c}")
+        made[f"z_{c}"] = (at == F.col(f"own_{c}")).cast("int")
         if c in numeric:
-            value = _draw(bins[c], u, lambda b, v=v: _inside(b, v))
+            value = _inside(bins[c], at, _unit(id_col, "_s", F.lit(2 * i + 1), F.lit(seed)))
             made[c] = F.when(first, F.col(f"x_{c}").cast("double")).otherwise(value)
         else:
+            code = F.get(constant_rows([b.code for b in bins[c]], "string"), at)
             made[c] = F.when(first, F.col(f"x_{c}")).otherwise(code)
     scored = scorer.score(drawn.withColumns(made).select(id_col, *made))
-    z = [F.col(f"z_{c}") for c in features]
-    apart = sum((1.0 - v for v in z), F.lit(0.0))
+    # weight and regressors depend on the agreement pattern only: add the samples up per pattern
+    zs = [f"z_{c}" for c in features]
+    patterns = scored.groupBy(id_col, *zs).agg(
+        F.count("*").cast("double").alias("_n"),
+        F.sum("score").alias("_y"),
+        F.sum(F.col("score") * F.col("score")).alias("_yy"),
+    )
+    apart = sum((1.0 - F.col(z) for z in zs), F.lit(0.0))
     width = 0.75 * math.sqrt(len(features))
-    w = F.sqrt(F.exp(-apart / (width * width)))
-    row = [F.lit(1.0), *z, F.col("score")]
-    sums = [
-        F.sum(F.col("_w") * row[i] * row[j]).alias(f"s_{i}_{j}") for i in range(len(row)) for j in range(i, len(row))
-    ]
-    equations = scored.withColumn("_w", w).groupBy(id_col).agg(*sums)
-    size = len(row)
+    patterns = patterns.withColumn("_w", F.sqrt(F.exp(-apart / F.lit(width * width))))
+    x = [F.lit(1.0), *[F.col(z).cast("double") for z in zs]]
+    size = len(x) + 1
+    w = F.col("_w")
+    sums = []
+    for i in range(size):
+        for j in range(i, size):
+            if j < size - 1:
+                cell = w * F.col("_n") * x[i] * x[j]
+            elif i < size - 1:
+                cell = w * F.col("_y") * x[i]
+            else:
+                cell = w * F.col("_yy")
+            sums.append(F.sum(cell).alias(f"s_{i}_{j}"))
+    equations = patterns.groupBy(id_col).agg(*sums)
     names = [f"s_{i}_{j}" for i in range(size) for j in range(i, size)]
     solved = T.StructType(
         [

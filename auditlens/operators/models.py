@@ -9,6 +9,7 @@ from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, Rando
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from auditlens.functions.expr import ratio
 from auditlens.operators.encode import feature_names, fit_limits, vector_stages
 from auditlens.operators.metrics import regression_fit
 from auditlens.operators.scorers import ExprScorer
@@ -66,9 +67,13 @@ def forest_surrogate(label: str = "score", trees: int = 100, depth: int = 10, se
 
 def linear_fit(df: DataFrame, x: str, y: str) -> DataFrame:
     """Least-squares line with one feature, in one aggregate."""
-    return df.agg(
-        F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"), F.regr_count(y, x).alias("n")
+    sums = df.agg(
+        ratio(F.regr_sxy(y, x), F.regr_sxx(y, x)).alias("slope"),
+        F.regr_avgy(y, x).alias("_y"),
+        F.regr_avgx(y, x).alias("_x"),
+        F.regr_count(y, x).alias("n"),
     )
+    return sums.select("slope", (F.col("_y") - F.col("slope") * F.col("_x")).alias("intercept"), "n")
 
 
 def importance_table(model: PipelineModel, scored: DataFrame) -> DataFrame:

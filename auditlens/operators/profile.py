@@ -116,10 +116,17 @@ def table_profile(df: DataFrame, cols: list[str]) -> DataFrame:
     return F.broadcast(moments).join(values, "feature")
 
 
+def pearson(x, y):
+    """Correlation aggregate that is NULL for a constant; ``corr`` fails on one in ANSI mode."""
+    both = x.isNotNull() & y.isNotNull()
+    spread = F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))
+    return ratio(F.covar_pop(x, y), spread)
+
+
 def correlations(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pearson correlation of every pair of columns, all in one pass."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1 :]]
-    aggs = [F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}") for i, (a, b) in enumerate(pairs)]
+    aggs = [pearson(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}") for i, (a, b) in enumerate(pairs)]
     rows = [
         F.struct(F.lit(a).alias("feature_x"), F.lit(b).alias("feature_y"), F.col(f"r{i}").alias("correlation"))
         for i, (a, b) in enumerate(pairs)
@@ -240,7 +247,7 @@ def correlation_ranking(df: DataFrame, numeric: list[str], text: list[str], scor
     codes never have to be joined back to the rows. Constant features are dropped.
     """
     s = F.col(score)
-    aggs = [F.corr(F.coalesce(F.col(c).cast("double"), F.lit(0.0)), s).alias(f"r{i}") for i, c in enumerate(numeric)]
+    aggs = [pearson(F.coalesce(F.col(c).cast("double"), F.lit(0.0)), s).alias(f"r{i}") for i, c in enumerate(numeric)]
     rows = [F.struct(F.lit(c).alias("feature"), F.abs(F.col(f"r{i}")).alias("correlation")) for i, c in enumerate(numeric)]
     parts = []
     if numeric:

@@ -21,9 +21,20 @@ def local_session(cores: str = "8", name: str = "auditlens", memory: str = "12g"
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    tune(spark)
     return spark
 
 
+def tune(spark: SparkSession) -> None:
+    """Settings the explanation plans count on; they change speed, never results.
+
+    The JVM does not compile methods above 8,000 bytes of bytecode. Plans that explode rows
+    and score them can exceed that when fused into one method, and then run interpreted,
+    tens of times slower. Below the limit Spark splits such a stage into small methods.
+    """
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
