@@ -34,13 +34,14 @@ def shuffled_scores(
     """
     buckets = df.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / bucket_rows)).cast("long")).scalar()
     inputs = list(dict.fromkeys([*scorer.inputs, *features]))
-    hashed = df.select(id_col, label, *inputs, hash_long(id_col, F.lit(seed)).alias("_h")).withColumn(
+    columns = list(dict.fromkeys([id_col, label, *inputs]))
+    hashed = df.select(*columns, hash_long(id_col, F.lit(seed)).alias("_h")).withColumn(
         "_bucket", F.pmod(F.col("_h"), buckets)
     )
     every = [{"feature": f, "repeat": r} for f in features for r in range(1, repeats + 1)]
     runs = constant_rows([{"feature": None, "repeat": 0}, *every], "feature string, repeat int")
     gathered = hashed.groupBy("_bucket").agg(
-        F.array_sort(F.collect_list(F.struct("_h", id_col, label, *inputs))).alias("_rows")
+        F.array_sort(F.collect_list(F.struct("_h", *columns))).alias("_rows")
     )
     size = F.size("_rows")
     step = F.when(
