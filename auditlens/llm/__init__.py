@@ -1 +1,10 @@
-"""Training-data operators. Nothing outside this package imports it."""
+"""Training-data operators. Nothing outside this package imports it.
+
+Their functions travel to the executors by value, so workers need not have this package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -16,7 +16,6 @@ from auditlens.session import fresh_path
 BLOCK = pa.schema([("part", pa.int32()), ("block", pa.binary())])
 BLOCK_DDL = "part int, block binary"
 FLUSH_BYTES = 24 << 20
-_OPTIONS = pa.ipc.IpcWriteOptions(compression="zstd")
 
 
 def tuned(spark: SparkSession) -> SparkSession:
@@ -39,7 +38,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 def pack(table: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema, options=_OPTIONS) as writer:
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
         writer.write_table(table)
     return sink.getvalue().to_pybytes()
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from auditlens.llm import quality
+from auditlens.llm import ngram_join, quality
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -23,3 +23,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op8_quality_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return quality.quality_scores(docs, quality.trusted_documents(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op2_ngram_jaccard_join(spark, sf_dir):
+    return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
