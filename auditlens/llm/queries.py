@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from auditlens.llm import ngram_join, quality
+from auditlens.llm import ngram_join, quality, suffix_dedup
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -28,3 +28,8 @@ def op8_quality_rules(spark, sf_dir):
 @query
 def op2_ngram_jaccard_join(spark, sf_dir):
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_suffix_array_dedup(spark, sf_dir):
+    return suffix_dedup.repeated_passages(table(spark, sf_dir, "documents"))
