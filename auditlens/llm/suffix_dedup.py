@@ -76,36 +76,58 @@ def _context(at: np.ndarray, length: int, width: int, gram: int) -> tuple[np.nda
     return np.maximum(at - (width - gram), 0), np.minimum(at + width, length)
 
 
-ANCHOR = pa.schema([("gram", pa.uint64()), ("ctx", pa.uint64()), ("uid", pa.int64()), ("at", pa.int64())])
+ANCHOR = pa.schema([("gram", pa.uint64()), ("ctx", pa.uint64()), ("uid", pa.int64()), ("at", pa.int64()), ("twice", pa.bool_())])
+STATE = pa.schema([("uid", pa.int64()), ("at", pa.int64()), ("state", pa.int8())])
+FULL, OPEN, FULL_OPEN, WIDE, FULL_WIDE = 1, 2, 3, 4, 5
 
 
-def _anchor_blocks(keyed: DataFrame, width: int, gram: int, parts: int) -> DataFrame:
-    def scan(batches):
-        def tables():
-            for batch in batches:
-                uid = batch.column(0).to_numpy()
-                data, offsets = column_bytes(batch.column(1))
-                got = []
-                for i in range(len(uid)):
-                    text = data[offsets[i] : offsets[i + 1]]
-                    at, h = anchors(text, width, gram)
-                    if not len(at):
-                        continue
-                    lo, hi = _context(at, len(text), width, gram)
-                    ctx = span_hash(running(text), lo, hi) ^ mix((at - lo).astype(np.uint64))
-                    got.append((h, ctx, np.full(len(at), uid[i]), at))
-                if got:
-                    h, ctx, ids, at = (np.concatenate(c) for c in zip(*got))
-                    columns = [pa.array(h), pa.array(ctx), pa.array(ids), pa.array(at)]
-                    yield (mix(h) % np.uint64(parts)).astype(np.int32), pa.Table.from_arrays(columns, schema=ANCHOR)
+KIND_DDL = "kind int, " + BLOCK_DDL
+COMBINE = 500_000
 
-        yield from scatter(tables())
-
-    return keyed.select("uid", "text").mapInArrow(scan, BLOCK_DDL)
 
+def _anchor_blocks(keyed: DataFrame, width: int, gram: int, parts: int) -> DataFrame:
+    """Blocks of anchors by gram (kind 0). Contexts that a task meets twice are repeated
+    already: their states go straight to their texts (kind 1) and one anchor stands for them,
+    so a passage of very many texts stays a few rows for each task."""
+
+    def blocks(kind, part, table):
+        for batch in scatter(iter([(part, table)])):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(batch.num_rows, kind, np.int32)), *batch.columns], ["kind", "part", "block"])
+
+    def combined(got):
+        h, ctx, ids, at = (np.concatenate(c) for c in zip(*got))
+        order = np.lexsort((ctx, h))
+        h, ctx, ids, at = h[order], ctx[order], ids[order], at[order]
+        new = np.concatenate([[True], (h[1:] != h[:-1]) | (ctx[1:] != ctx[:-1])])
+        copies = np.bincount(np.cumsum(new) - 1)
+        twice = (copies > 1)[np.cumsum(new) - 1]
+        columns = [pa.array(h[new]), pa.array(ctx[new]), pa.array(ids[new]), pa.array(at[new]), pa.array(copies > 1)]
+        yield from blocks(0, (mix(h[new]) % np.uint64(parts)).astype(np.int32), pa.Table.from_arrays(columns, schema=ANCHOR))
+        ids, at = ids[twice], at[twice]
+        states = pa.Table.from_arrays([pa.array(ids), pa.array(at), pa.array(np.full(len(at), FULL, np.int8))], schema=STATE)
+        yield from blocks(1, (mix(ids.view(np.uint64)) % np.uint64(parts)).astype(np.int32), states)
 
-STATE = pa.schema([("uid", pa.int64()), ("at", pa.int64()), ("state", pa.int8())])
-FULL, OPEN, FULL_OPEN, WIDE, FULL_WIDE = 1, 2, 3, 4, 5
+    def scan(batches):
+        got, size = [], 0
+        for batch in batches:
+            uid = batch.column(0).to_numpy()
+            data, offsets = column_bytes(batch.column(1))
+            for i in range(len(uid)):
+                text = data[offsets[i] : offsets[i + 1]]
+                at, h = anchors(text, width, gram)
+                if not len(at):
+                    continue
+                lo, hi = _context(at, len(text), width, gram)
+                ctx = span_hash(running(text), lo, hi) ^ mix((at - lo).astype(np.uint64))
+                got.append((h, ctx, np.full(len(at), uid[i]), at))
+                size += len(at)
+                if size >= COMBINE:
+                    yield from combined(got)
+                    got, size = [], 0
+        if got:
+            yield from combined(got)
+
+    return keyed.select("uid", "text").mapInArrow(scan, KIND_DDL)
 
 
 def _states(parts: int, bucket: int):
@@ -114,14 +136,14 @@ def _states(parts: int, bucket: int):
 
     def judge(group: pa.Table) -> pa.Table:
         rows = unpack(group.column("block"))
-        g, c, uid, at = (rows.column(k).to_numpy() for k in ANCHOR.names)
+        g, c, uid, at, twice = (rows.column(k).to_numpy() for k in ANCHOR.names)
         order = np.lexsort((at, uid, c, g))
-        g, c, uid, at = g[order], c[order], uid[order], at[order]
+        g, c, uid, at, twice = g[order], c[order], uid[order], at[order], twice[order]
         head = np.concatenate([[True], g[1:] != g[:-1]])
         new = head | np.concatenate([[True], c[1:] != c[:-1]])
         ctx_of = np.cumsum(new) - 1
         gram_of = np.cumsum(head) - 1
-        copies = np.bincount(ctx_of)[ctx_of]
+        copies = (np.bincount(ctx_of) + np.bincount(ctx_of, twice))[ctx_of]
         contexts = np.bincount(gram_of[new])[gram_of]
         full = copies > 1
         shows = new & (contexts > 1)
@@ -184,8 +206,10 @@ def _open_contexts(width: int, gram: int):
 
         if got is not None:
             uids, ats, state = (got.column(k).to_numpy() for k in STATE.names)
-            order = np.lexsort((ats, uids))
+            order = np.lexsort((-state, ats, uids))  # an anchor's fuller state comes first
             uids, ats, state = uids[order], ats[order], state[order]
+            once = np.concatenate([[True], (uids[1:] != uids[:-1]) | (ats[1:] != ats[:-1])])
+            uids, ats, state = uids[once], ats[once], state[once]
             head = np.flatnonzero(np.concatenate([[True], uids[1:] != uids[:-1]])) if len(uids) else []
             for a, b in zip(head, [*head[1:], len(uids)]):
                 uid, text = int(uids[a]), have.get(int(uids[a]))
@@ -330,7 +354,9 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, bucket
     spark = tuned(docs.sparkSession)
     parts = parts_of(spark)
     keyed = with_uid(docs.select("doc_id", "text"))
-    states = _anchor_blocks(keyed, width, gram, parts).groupBy("part").applyInArrow(_states(parts, bucket), BLOCK_DDL)
+    blocks = stored(_anchor_blocks(keyed, width, gram, parts), "anchors")
+    judged = blocks.filter("kind = 0").groupBy("part").applyInArrow(_states(parts, bucket), BLOCK_DDL)
+    states = judged.union(blocks.filter("kind = 1").select("part", "block"))
     texts = _text_blocks(keyed, parts)
     cut = states.groupBy("part").cogroup(texts.groupBy("part")).applyInArrow(_open_contexts(width, gram), FOUND_DDL)
     found = stored(cut, "contexts")
