@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from auditlens.llm import ngram_join, quality, suffix_dedup
+from auditlens.llm import mixing, ngram_join, quality, suffix_dedup
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -33,3 +33,11 @@ def op2_ngram_jaccard_join(spark, sf_dir):
 @query
 def op6_suffix_array_dedup(spark, sf_dir):
     return suffix_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_source_mixing(spark, sf_dir):
+    return mixing.mix_by_source(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op4_source_mixing"] = mixing.ORACLE_SQL
