@@ -10,7 +10,9 @@ heavy-light join finds the links between classes:
 * large sets scan inverted lists, each over its first n - ceil(s n) + 1 shingles in an order
   that puts the corpus's heavy shingles last, which is enough to meet every partner. The
   candidates of neighbouring list members are verified first; what they connect need not be
-  compared again, and a second scan compares only members of different components.
+  compared again, and a second scan compares only members of different components. Candidates
+  first pass a bound on small parity bitmaps of their sets: two bitmaps differ in no more
+  bits than the sets have elements apart, so no link is lost.
 
 The boundary between small and large is the size with the lowest estimated cost. All
 candidates are verified on whole sets. Heavy shingles only change the order, never a result.
@@ -28,6 +30,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,9 +66,24 @@ def class_key(s: np.ndarray) -> int:
     return int(mix(np.array([mix(s).sum(dtype=np.uint64) + np.uint64(len(s))], np.uint64))[0].view(np.int64)) if len(s) else 0
 
 
+def parity_bits(s: np.ndarray) -> bytes:
+    """One bit for each of at least len(s) cells: whether it holds an odd number of elements."""
+    cells = 1 << max(6, int(len(s) - 1).bit_length())
+    return np.packbits(np.bincount((mix(s) % np.uint64(cells)).astype(np.int64), minlength=cells) & 1 == 1, bitorder="little").tobytes()
+
+
+def bits_allow(x: bytes, y: bytes, n: int, m: int, percent: int) -> bool:
+    """False only if sets of n and m elements with these bitmaps miss the similarity."""
+    a, b = sorted((np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)), key=len)
+    b = np.bitwise_xor.reduce(b.reshape(-1, len(a)), axis=0)
+    apart = int(np.bitwise_count(a ^ b).sum())
+    # apart = n + m - 2 both, and 100 both >= percent (n + m - both) for a link
+    return (100 + percent) * (n + m - apart) >= 2 * percent * (n + m)
+
+
 def _profile(docs: DataFrame, k: int) -> DataFrame:
-    """One scan: rows (0, doc_id, class, n) for texts, and (1, null, shingle, texts) for
-    shingles that several texts of a task hold."""
+    """One scan: rows (0, doc_id, class, n, bitmap) for texts, and (1, null, shingle, texts)
+    for shingles that several texts of a task hold."""
 
     def scan(batches):
         counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -80,10 +98,11 @@ def _profile(docs: DataFrame, k: int) -> DataFrame:
 
         waiting, size, seen = [], 0, set()
         for batch in batches:
-            keys, ns = [], []
+            keys, ns, bits = [], [], []
             for s in shingle_sets(batch.column(1), k):
                 keys.append(key := class_key(s))
                 ns.append(len(s))
+                bits.append(parity_bits(s) if len(s) else None)
                 if key not in seen:
                     seen.add(key)
                     waiting.append(s)
@@ -95,16 +114,16 @@ def _profile(docs: DataFrame, k: int) -> DataFrame:
                         if len(counts[0]) > 8_000_000:
                             often = counts[1] > 1
                             counts = counts[0][often], counts[1][often]
-            yield _rows(0, batch.column(0), keys, ns)
+            yield _rows(0, batch.column(0), keys, ns, bits)
         key, n = merged(waiting)
         often = n >= LOCAL_LEAST
-        yield _rows(1, pa.nulls(int(often.sum()), pa.int64()), key[often].view(np.int64), n[often])
+        yield _rows(1, pa.nulls(int(often.sum()), pa.int64()), key[often].view(np.int64), n[often], [None] * int(often.sum()))
 
-    def _rows(kind, ids, keys, ns):
-        columns = [pa.array(np.full(len(ns), kind, np.int8)), ids, pa.array(keys, pa.int64()), pa.array(ns, pa.int64())]
-        return pa.RecordBatch.from_arrays(columns, ["kind", "doc_id", "key", "n"])
+    def _rows(kind, ids, keys, ns, bits):
+        columns = [pa.array(np.full(len(ns), kind, np.int8)), ids, pa.array(keys, pa.int64()), pa.array(ns, pa.int64()), pa.array(bits, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["kind", "doc_id", "key", "n", "bits"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(scan, "kind byte, doc_id long, key long, n long")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(scan, "kind byte, doc_id long, key long, n long, bits binary")
 
 
 def _heavy(profile: DataFrame) -> np.ndarray:
@@ -269,29 +288,41 @@ def _crossing(boundary: int, percent: int):
 
 def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
     """Pairs (a, b) of classes whose whole sets reach the similarity."""
+
+    def allow(batches):
+        for batch in batches:
+            n, m, x, y = (batch.column(c).to_pylist() for c in ("n_a", "n_b", "bits_a", "bits_b"))
+            if n:
+                yield batch.select(["a", "b"]).filter(pa.array([bits_allow(*c, percent) for c in zip(x, y, n, m)]))
+
+    small = lambda c: classes.select(F.col("key").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
+    likely = stored(pairs.join(small("a"), "a").join(small("b"), "b").mapInArrow(allow, "a long, b long"), "likely")
     row_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))  # a null id is found like any other
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(classes.withColumn("doc_id", row_id), "key")
+    needed = likely.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(classes, "key").select(row_id.alias("doc_id"), "key")
 
     def keyed(batches):
         for batch in batches:
             keys = [class_key(s) for s in shingle_sets(batch.column(1), k)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), batch.column(1)], ["doc_id", "key", "text"])
+            text = [zstandard.compress(t.as_buffer() if t.is_valid else b"", 1) for t in batch.column(1).cast(pa.large_binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), pa.array(text, pa.binary())], ["doc_id", "key", "text"])
 
-    one = docs.select(row_id.alias("doc_id"), "text").join(needed.select("doc_id").distinct(), "doc_id", "left_semi")
-    texts = one.mapInArrow(keyed, "doc_id long, key long, text string").join(needed, ["doc_id", "key"], "left_semi")
-    texts = stored(texts.dropDuplicates(["key"]).select("key", "text"), "sets")
+    texts = docs.select(row_id.alias("doc_id"), "text").mapInArrow(keyed, "doc_id long, key long, text binary")
+    texts = stored(texts.join(needed, ["doc_id", "key"], "left_semi").dropDuplicates(["doc_id", "key"]).select("key", "text"), "sets")
     side = lambda c: texts.select(F.col("key").alias(c), F.col("text").alias(f"text_{c}"))
 
+    def sets(column):
+        return shingle_sets(pa.array([zstandard.decompress(t.as_buffer()) for t in column], pa.large_binary()), k)
+
     def reach(batches):
         for batch in batches:
             hit = []
-            for s, t in zip(shingle_sets(batch.column(2), k), shingle_sets(batch.column(3), k)):
+            for s, t in zip(sets(batch.column(2)), sets(batch.column(3))):
                 both = len(np.intersect1d(s, t, assume_unique=True))
                 hit.append(100 * both >= percent * (len(s) + len(t) - both))
             if hit:
                 yield batch.select(["a", "b"]).filter(pa.array(hit))
 
-    joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b")
+    joined = likely.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b")
     return joined.mapInArrow(reach, "a long, b long")
 
 
@@ -300,8 +331,9 @@ def ngram_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT)
     spark = tuned(docs.sparkSession)
     parts = parts_of(spark)
     profile = stored(_profile(docs, k), "profile")
-    rows = profile.filter("kind = 0").select("doc_id", "key", F.col("n").alias("n_shingles"))
-    classes = stored(rows.filter("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n")), "classes")
+    texts = profile.filter("kind = 0").withColumnRenamed("n", "n_shingles")
+    rows = texts.select("doc_id", "key", "n_shingles")
+    classes = stored(texts.filter("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("bits").alias("bits")), "classes")
     sizes = {r[0]: r[1] for r in classes.filter(F.col("n") <= max(BOUNDARIES)).groupBy("n").count().collect()}
     boundary = _boundary(sizes, percent)
     blocks = _entries(docs, _heavy(profile), boundary, k, percent, parts)
