@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auditlens.llm.packed import tuned
+from auditlens.llm.packed import BLOCK_DDL, scatter, tuned, unpack
 from auditlens.llm.text import column_bytes, mix, running, slices, span_hash, window_hash, word_hashes
 
 NGRAM = 3
@@ -54,8 +54,12 @@ def sliced(column: pa.Array):
         yield data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
 
 
+COUNT = pa.schema([("bucket", pa.int64()), ("n", pa.int64())])
+RANGE = 4096
+
+
 def bucket_counts(docs: DataFrame, n: int = NGRAM, buckets: int = BUCKETS) -> DataFrame:
-    """(bucket, n) over all texts; each task adds up before anything is shuffled."""
+    """(bucket, n) over all texts; each task adds up, and sends one block per range of buckets."""
 
     def count(batches):
         total = np.zeros(buckets, np.int64)
@@ -64,9 +68,13 @@ def bucket_counts(docs: DataFrame, n: int = NGRAM, buckets: int = BUCKETS) -> Da
                 h, _ = _buckets(part, at, n, buckets)
                 total += np.bincount(h, minlength=buckets)
         hit = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(hit), pa.array(total[hit])], ["bucket", "n"])
+        yield from scatter(iter([((hit // RANGE).astype(np.int32), pa.Table.from_arrays([pa.array(hit), pa.array(total[hit])], schema=COUNT))]))
+
+    def add(group: pa.Table) -> pa.Table:
+        rows = unpack(group.column("block"))
+        return rows.group_by("bucket").aggregate([("n", "sum")]).rename_columns(["bucket", "n"]).cast(COUNT)
 
-    return docs.select("text").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(count, BLOCK_DDL).groupBy("part").applyInArrow(add, "bucket long, n long")
 
 
 def log_ratios(trusted: DataFrame, corpus: DataFrame, n: int = NGRAM, buckets: int = BUCKETS) -> np.ndarray:
