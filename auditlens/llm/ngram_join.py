@@ -33,9 +33,10 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from auditlens.llm.components import components
-from auditlens.llm.packed import BLOCK_DDL, parts_of, scatter, stored, tuned, unpack
+from auditlens.llm.packed import BLOCK_DDL, parts_of, row_blocks, scatter, stored, tuned, unpack
 from auditlens.llm.text import column_bytes, mix, shingle_hashes, slices, word_hashes
 
 SHINGLE = 5
@@ -356,3 +357,36 @@ def ngram_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT)
     return root.join(least, "root", "left").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), F.col("key").alias("class_key")
     )
+
+
+def one_of_each_group(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each group of linked texts the smallest
+    doc_id stays, once. Texts without a word are linked with nothing and stay; rows without a
+    doc_id stay once per set of shingles, unless their group has a doc_id."""
+    spark = tuned(docs.sparkSession)
+    parts, schema, columns = parts_of(spark), docs.schema, docs.columns
+    at_text, at_id = columns.index("text"), columns.index("doc_id")
+    uid = F.xxhash64("_id", "_key")
+
+    def keyed(batches):
+        for batch in batches:
+            keys = pa.array([class_key(s) for s in shingle_sets(batch.column(at_text), k)], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(at_id).cast(pa.int64()), keys, *batch.columns], ["_id", "_key", *columns])
+
+    ddl = "_id long, _key long, " + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    rows = row_blocks(docs.mapInArrow(keyed, ddl).select(uid.alias("_uid"), "_key", *[F.col(f"`{c}`") for c in columns]), parts)
+    kept = ngram_components(docs, k, percent).filter("n_shingles = 0 OR doc_id <=> component_id")
+    kept = kept.select(F.xxhash64("doc_id", "class_key").alias("_uid")).distinct()
+
+    def keep(left: pa.Table, right: pa.Table) -> pa.Table:
+        table, wanted = unpack(left.column("block")), unpack(right.column("block"))
+        if table is None or wanted is None:
+            return empty
+        uid, key = table.column("_uid").to_numpy(), table.column("_key").to_numpy()
+        first = np.zeros(len(uid), bool)
+        first[np.unique(uid, return_index=True)[1]] = True
+        hit = np.isin(uid, wanted.column("_uid").to_numpy()) & (first | (key == 0))
+        return table.filter(pa.array(hit)).select(columns)
+
+    empty = to_arrow_schema(schema).empty_table()
+    return rows.groupBy("part").cogroup(row_blocks(kept, parts).groupBy("part")).applyInArrow(keep, schema)

@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from auditlens.llm.text import mix
 from auditlens.session import fresh_path
 
 BLOCK = pa.schema([("part", pa.int32()), ("block", pa.binary())])
@@ -68,3 +69,16 @@ def scatter(tables: Iterator[tuple[np.ndarray, pa.Table]]) -> Iterator[pa.Record
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([int(part[lo])], pa.int32()), pa.array([pack(rows.slice(lo, hi - lo))], pa.binary())], schema=BLOCK
                 )
+
+
+def row_blocks(rows: DataFrame, parts: int) -> DataFrame:
+    """Whole rows as blocks, dealt by their first column, a 64-bit key."""
+
+    def scan(batches):
+        def tables():
+            for batch in batches:
+                yield (mix(batch.column(0).to_numpy().view(np.uint64)) % np.uint64(parts)).astype(np.int32), pa.Table.from_batches([batch])
+
+        yield from scatter(tables())
+
+    return rows.mapInArrow(scan, BLOCK_DDL)

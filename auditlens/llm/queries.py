@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from auditlens.llm import mixing, ngram_join, quality, suffix_dedup
+from auditlens.llm import bpe, mixing, ngram_join, quality, suffix_dedup
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -41,3 +42,8 @@ def op4_source_mixing(spark, sf_dir):
 
 
 ORACLES["op4_source_mixing"] = mixing.ORACLE_SQL
+
+
+@query
+def op3_bpe_encoding(spark, sf_dir):
+    return bpe.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from auditlens.llm.packed import BLOCK_DDL, parts_of, scatter, stored, tuned, unpack
+from auditlens.llm.packed import BLOCK_DDL, parts_of, row_blocks, scatter, stored, tuned, unpack
 from auditlens.llm.text import column_bytes, mix, running, slices, span_hash, window_hash
 
 WIDTH = 200
@@ -387,29 +387,16 @@ def _grouped_spans(group: pa.Table) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     return {int(uid[a]): (lo[a:b], hi[a:b]) for a, b in zip(head, [*head[1:], len(uid)])}
 
 
-def _row_blocks(rows: DataFrame, parts: int) -> DataFrame:
-    """Whole rows as blocks; the first column is uid."""
-
-    def scan(batches):
-        def tables():
-            for batch in batches:
-                yield (mix(batch.column(0).to_numpy().view(np.uint64)) % np.uint64(parts)).astype(np.int32), pa.Table.from_batches([batch])
-
-        yield from scatter(tables())
-
-    return rows.mapInArrow(scan, BLOCK_DDL)
-
-
 def _rows_with_spans(docs: DataFrame, spans: DataFrame, work, ddl: str, parts: int) -> DataFrame:
     """Applies ``work(rows, {uid: spans})`` to the rows of each destination."""
     keyed = with_uid(docs)
-    rows = _row_blocks(keyed.select("uid", *docs.columns), parts)
+    rows = row_blocks(keyed.select("uid", *docs.columns), parts)
 
     def both(left: pa.Table, right: pa.Table) -> pa.Table:
         got = unpack(left.column("block"))
         return work(got, _grouped_spans(right))
 
-    return rows.groupBy("part").cogroup(_row_blocks(spans, parts).groupBy("part")).applyInArrow(both, ddl)
+    return rows.groupBy("part").cogroup(row_blocks(spans, parts).groupBy("part")).applyInArrow(both, ddl)
 
 
 RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
