@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from auditlens.llm import bpe, mixing, ngram_join, quality, suffix_dedup
+from auditlens.llm import bpe, mixing, ngram_join, quality, suffix_dedup, toxicity
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -47,3 +47,8 @@ ORACLES["op4_source_mixing"] = mixing.ORACLE_SQL
 @query
 def op3_bpe_encoding(spark, sf_dir):
     return bpe.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op1_toxicity(spark, sf_dir):
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
