@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from auditlens.llm import bpe, mixing, ngram_join, quality, suffix_dedup, toxicity
+from auditlens.llm import bpe, mixing, ngram_join, quality, suffix_dedup, toxicity, warc
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -52,3 +52,11 @@ def op3_bpe_encoding(spark, sf_dir):
 @query
 def op1_toxicity(spark, sf_dir):
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_warc_revisits(spark, sf_dir):
+    return warc.archived_pages(table(spark, sf_dir, "pages"))
+
+
+ORACLES["op7_warc_revisits"] = warc.ORACLE_SQL
