@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from auditlens.llm import bpe, html_extract, mixing, ngram_join, quality, suffix_dedup, toxicity, warc
+from auditlens.llm import bpe, html_extract, language_id, mixing, ngram_join, quality, suffix_dedup, toxicity, warc
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -65,3 +65,8 @@ ORACLES["op7_warc_revisits"] = warc.ORACLE_SQL
 @query
 def op9_html_extraction(spark, sf_dir):
     return html_extract.extracted(table(spark, sf_dir, "pages"))
+
+
+@query
+def op10_language_id(spark, sf_dir):
+    return language_id.languages(table(spark, sf_dir, "documents"))
