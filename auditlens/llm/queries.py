@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from auditlens.llm import bpe, html_extract, language_id, mixing, ngram_join, quality, suffix_dedup, toxicity, warc
+from auditlens.llm import bpe, html_extract, language_id, mixing, neighbours, ngram_join, quality, suffix_dedup, toxicity, warc
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -70,3 +71,8 @@ def op9_html_extraction(spark, sf_dir):
 @query
 def op10_language_id(spark, sf_dir):
     return language_id.languages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_nearest_neighbours(spark, sf_dir):
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(100)) == 0)
