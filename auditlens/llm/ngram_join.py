@@ -11,8 +11,8 @@ heavy-light join finds the links between classes:
   that puts the corpus's heavy shingles last, which is enough to meet every partner. The
   candidates of neighbouring list members are verified first; what they connect need not be
   compared again, and a second scan compares only members of different components. Candidates
-  first pass a bound on small parity bitmaps of their sets: two bitmaps differ in no more
-  bits than the sets have elements apart, so no link is lost.
+  first pass a bound on small parity bitmaps of their sets, inside the lists already: two
+  bitmaps differ in no more bits than the sets have elements apart, so no link is lost.
 
 The boundary between small and large is the size with the lowest estimated cost. All
 candidates are verified on whole sets. Heavy shingles only change the order, never a result.
@@ -261,26 +261,44 @@ def _met(boundary: int, percent: int):
 
 
 def _crossing(boundary: int, percent: int):
-    """Pairs of one list's members of different components, sizes permitting."""
+    """Pairs of one list's members of different components that sizes and bitmaps allow."""
+
+    def allowed(n, root, cells, bits):
+        """Places (i, j) of allowed pairs of one list; members are in order of size, so the
+        bitmaps of a pair have equal lengths, or the second one's is folded once."""
+        for c in np.unique(cells):
+            own, wide = np.flatnonzero(cells == c), np.flatnonzero(cells == 2 * c)
+            maps = np.frombuffer(b"".join(bits[i] for i in own), np.uint8).reshape(len(own), -1)
+            if len(wide):
+                double = np.frombuffer(b"".join(bits[i] for i in wide), np.uint8).reshape(len(wide), 2, -1)
+                maps = np.concatenate([maps, double[:, 0] ^ double[:, 1]])
+            members = np.concatenate([own, wide])
+            for at, i in enumerate(own):
+                j = members[at + 1 :]
+                ok = (n[j] <= 100 * n[i] // percent) & (n[j] > boundary) & (root[j] != root[i])
+                j, near = j[ok], maps[at + 1 :][ok]
+                if len(j):
+                    apart = np.bitwise_count(near ^ maps[at]).sum(1, dtype=np.int64)
+                    j = j[(100 + percent) * (n[i] + n[j] - apart) >= 2 * percent * (n[i] + n[j])]
+                    yield np.full(len(j), i), j
 
     def cross(group: pa.Table) -> pa.Table:
         rows = group.combine_chunks()
         key, cls, n, root = (rows.column(c).to_numpy() for c in ("key", "a", "n", "root"))
         order = np.lexsort((n, key))
-        key, cls, n, root = key[order], cls[order], n[order], root[order]
+        key, cls, n, root = key[order], cls[order], n[order].astype(np.int64), root[order]
+        bits = rows.column("bits").take(pa.array(order)).to_pylist()
+        cells = np.array([len(x) for x in bits])
         head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else []
         found, size = [np.zeros((2, 0), np.int64)], 0
         for lo, hi in zip(head, [*head[1:], len(key)]):
             if (root[lo:hi] == root[lo]).all():
                 continue
-            for i in range(lo, hi - 1):
-                end = lo + int(np.searchsorted(n[lo:hi], 100 * int(n[i]) // percent, "right"))
-                j = np.arange(i + 1, max(end, i + 1))
-                j = j[(root[j] != root[i]) & (n[j] > boundary)]
-                if len(j):
-                    found.append(np.stack([np.minimum(cls[j], cls[i]), np.maximum(cls[j], cls[i])]))
-                    if (size := size + len(j)) > 2_000_000:
-                        found, size = [np.unique(np.concatenate(found, axis=1), axis=1)], 0
+            for i, j in allowed(n[lo:hi], root[lo:hi], cells[lo:hi], bits[lo:hi]):
+                a, b = cls[lo + i], cls[lo + j]
+                found.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
+                if (size := size + len(j)) > 2_000_000:
+                    found, size = [np.unique(np.concatenate(found, axis=1), axis=1)], 0
         a, b = np.unique(np.concatenate(found, axis=1), axis=1)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
@@ -345,7 +363,8 @@ def ngram_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT)
     lists = met.filter("kind = 2").select("key", "a", "n").join(found.select(F.col("node").alias("a"), "root"), "a", "left")
     lists = lists.withColumn("root", F.coalesce("root", "a")).withColumn("part", F.pmod(F.xxhash64("key"), F.lit(parts)).cast("int"))
     open_keys = lists.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("key")
-    crossing = lists.join(open_keys, "key", "left_semi").groupBy("part").applyInArrow(_crossing(boundary, percent), "a long, b long")
+    members = lists.join(open_keys, "key", "left_semi").join(classes.select(F.col("key").alias("a"), "bits"), "a")
+    crossing = members.groupBy("part").applyInArrow(_crossing(boundary, percent), "a long, b long")
     second = stored(crossing.distinct().join(first, ["a", "b"], "left_anti"), "pairs")
     if not second.isEmpty():
         more = stored(_verified(docs, classes, second, k, percent), "links")
