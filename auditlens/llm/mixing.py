@@ -31,6 +31,7 @@ WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
 SEED = "mix-1"
 BITS, LEVEL_BITS = 60, 12
+SALTS = 64
 
 
 def source_targets(sizes: dict[str | None, int], weights=WEIGHTS, most: int = MAX_REPEAT) -> dict[str | None, float]:
@@ -123,6 +124,12 @@ def place(doc_id):
     return F.conv(F.substring(digest, 1, BITS // 4), 16, 10).cast("long")
 
 
+def _met(rows: DataFrame, todo: DataFrame) -> DataFrame:
+    """Rows with what is to be done for their pattern; a source of very many rows is split."""
+    salt = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
+    return rows.withColumn("salt", F.pmod("place", F.lit(SALTS))).join(todo.withColumn("salt", salt), ["pattern", "salt"])
+
+
 def _ends(sized: DataFrame, rest: list[tuple[str, int]]) -> DataFrame:
     """(pattern, end): the last pass of a pattern takes the places below ``end``."""
     spark = sized.sparkSession
@@ -131,7 +138,7 @@ def _ends(sized: DataFrame, rest: list[tuple[str, int]]) -> DataFrame:
     for level in (1, 2):
         shift = BITS - level * LEVEL_BITS
         cell = F.shiftright("place", shift)
-        inside = rows.join(todo, "pattern").filter(F.shiftright(cell, LEVEL_BITS) == F.col("prefix"))
+        inside = _met(rows, todo).filter(F.shiftright(cell, LEVEL_BITS) == F.col("prefix"))
         sums = inside.groupBy("pattern", "rest", "before", cell.alias("cell")).agg(F.sum("size").alias("n"))
         upto = F.sum("n").over(Window.partitionBy("pattern").orderBy("cell"))
         sums = sums.withColumn("upto", F.col("before") + upto)
@@ -141,7 +148,7 @@ def _ends(sized: DataFrame, rest: list[tuple[str, int]]) -> DataFrame:
                        F.max_by(F.struct("cell", (F.col("upto") - F.col("n")).alias("b")), "cell")).alias("x")
         ).select("pattern", "rest", F.col("x.b").alias("before"), F.col("x.cell").alias("prefix"))
         todo = stored(todo, "mix-cells")
-    last = rows.join(todo, "pattern").filter(F.shiftright("place", BITS - 2 * LEVEL_BITS) == F.col("prefix"))
+    last = _met(rows, todo).filter(F.shiftright("place", BITS - 2 * LEVEL_BITS) == F.col("prefix"))
     units = last.groupBy("pattern", "rest", "before", "place").agg(F.sum("size").alias("n"))
     upto = F.sum("n").over(Window.partitionBy("pattern").orderBy("place")) + F.col("before")
     # a document is taken if more than half of it lies before the end
@@ -184,7 +191,7 @@ def _mixed(docs: DataFrame, sources: str, weights=WEIGHTS, most: int = MAX_REPEA
 
 def mix_by_source(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target, taken of documents with one ``source`` each."""
-    mixed, sizes, targets, _ = _mixed(docs.withColumn("sources", F.array("source")), "sources")
+    mixed, sizes, targets, _ = _mixed(docs.withColumn("__mix_sources", F.array("source")), "__mix_sources")
     rows = [(json.dumps([s], ensure_ascii=False, separators=(",", ":")), sizes[s], round(targets[s], 6)) for s in sizes]
     table = docs.sparkSession.createDataFrame(rows or [], "pattern string, source_size long, target double")
     return mixed.join(table, "pattern", "left").select("doc_id", "size", "source_size", "target", "taken")
@@ -192,12 +199,12 @@ def mix_by_source(docs: DataFrame) -> DataFrame:
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` as the mix takes them: left out, once, or repeated."""
-    _, _, _, passes = _mixed(docs.withColumn("_sources", F.array("source")), "_sources")
+    _, _, _, passes = _mixed(docs.withColumn("__mix_sources", F.array("source")), "__mix_sources")
     pattern = F.to_json(F.array("source"), {"ignoreNullFields": "false"})
-    kept = docs.withColumns({"_pattern": pattern, "_place": place(F.col("doc_id").cast("long"))})
-    kept = kept.join(passes.withColumnsRenamed({"pattern": "_pattern", "passes": "_passes", "end": "_end"}), "_pattern", "left")
-    repeats = F.coalesce("_passes", F.lit(0)) + (F.col("_place") < F.coalesce("_end", F.lit(0))).cast("long")
-    return kept.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.greatest(repeats, F.lit(1)))).alias("_copy"), repeats.alias("_repeats")).filter("_repeats > 0").select(*docs.columns)
+    kept = docs.withColumns({"__mix_pattern": pattern, "__mix_place": place(F.col("doc_id").cast("long"))})
+    kept = kept.join(passes.withColumnsRenamed({"pattern": "__mix_pattern", "passes": "__mix_passes", "end": "__mix_end"}), "__mix_pattern", "left")
+    repeats = F.coalesce("__mix_passes", F.lit(0)) + (F.col("__mix_place") < F.coalesce("__mix_end", F.lit(0))).cast("long")
+    return kept.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.greatest(repeats, F.lit(1)))).alias("__mix_copy"), repeats.alias("__mix_repeats")).filter("__mix_repeats > 0").select(*docs.columns)
 
 
 ORACLE_SQL = f"""

@@ -30,7 +30,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -276,7 +276,10 @@ def _compare_bucket(width: int, gram: int):
     left = width - gram
 
     def compare(batches):
-        rows = pa.Table.from_batches(list(batches))
+        got = list(batches)
+        if not got:
+            return
+        rows = pa.Table.from_batches(got)
         uid, at = (rows.column(k).to_numpy() for k in ("uid", "at"))
         lead, tail = (rows.column(k).to_pylist() for k in ("lead", "tail"))
         n = len(uid)
@@ -334,6 +337,11 @@ def _compare_windows(width: int):
     def compare(group: pa.Table) -> pa.Table:
         rows = unpack(group.column("block"))
         key, uid, lo = (rows.column(k).to_numpy() for k in WINDOW.names)
+        order = np.lexsort((lo, uid, key))
+        key, uid, lo = key[order], uid[order], lo[order]
+        new = np.ones(len(key), bool)  # contexts of one text overlap: a window is itself once
+        new[1:] = (key[1:] != key[:-1]) | (uid[1:] != uid[:-1]) | (lo[1:] != lo[:-1])
+        key, uid, lo = key[new], uid[new], lo[new]
         _, inverse, count = np.unique(key, return_inverse=True, return_counts=True)
         hit = count[inverse] > 1
         spans = list(_spans([(uid[hit], lo[hit])], width))
@@ -345,15 +353,15 @@ def _compare_windows(width: int):
 SPAN_DDL = "uid long, lo long, hi long"
 
 
-def with_uid(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("uid", F.xxhash64(F.col("doc_id"), F.coalesce("text", F.lit(""))))
+def row_uid() -> Column:
+    return F.xxhash64(F.col("doc_id"), F.coalesce("text", F.lit("")))
 
 
 def repeated_spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, bucket: int = BUCKET) -> DataFrame:
     """(part, uid, lo, hi): byte spans to remove; spans of one text may overlap."""
     spark = tuned(docs.sparkSession)
     parts = parts_of(spark)
-    keyed = with_uid(docs.select("doc_id", "text"))
+    keyed = docs.select(row_uid().alias("uid"), "text")
     blocks = stored(_anchor_blocks(keyed, width, gram, parts), "anchors")
     judged = blocks.filter("kind = 0").groupBy("part").applyInArrow(_states(parts, bucket), BLOCK_DDL)
     states = judged.union(blocks.filter("kind = 1").select("part", "block"))
@@ -389,8 +397,7 @@ def _grouped_spans(group: pa.Table) -> dict[int, tuple[np.ndarray, np.ndarray]]:
 
 def _rows_with_spans(docs: DataFrame, spans: DataFrame, work, ddl: str, parts: int) -> DataFrame:
     """Applies ``work(rows, {uid: spans})`` to the rows of each destination."""
-    keyed = with_uid(docs)
-    rows = row_blocks(keyed.select("uid", *docs.columns), parts)
+    rows = row_blocks(docs.select(row_uid().alias("_uid"), *[F.col(f"`{c}`") for c in docs.columns]), parts)
 
     def both(left: pa.Table, right: pa.Table) -> pa.Table:
         got = unpack(left.column("block"))

@@ -145,22 +145,22 @@ def test_quality_counts_equal_brute_force(spark, docs, nothing, pairs):
     assert quality.quality_scores(nothing, nothing).count() == 0
     kept = quality.quality_filter(docs, trusted)
     assert kept.columns == docs.columns and kept.count() == got.filter("kept").count() > 0
-    assert quality.quality_scores(docs, nothing).filter("kept != NOT base_failed OR mean_log_ratio != 0").count() == 0
+    assert quality.quality_scores(docs, nothing).filter("kept = base_failed OR mean_log_ratio != 0").count() == 0
 
 
 def test_log_ratio_equals_brute_force(spark, docs):
     rows = [(i, prose(i, 60) if i % 3 else "%%% $$$ " * 40 + str(i)) for i in range(30)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    trusted = df.filter("doc_id % 3 = 1")
+    trusted = df.filter("doc_id % 3 > 0")
     got = {r["doc_id"]: r for r in quality.quality_scores(df, trusted).collect()}
     grams = lambda t: [t[i : i + 3] for i in range(len(t) - 2)]
     count = lambda texts: {g: n for g, n in zip(*np.unique([g for t in texts for g in grams(t)], return_counts=True))}
-    target, raw = count([t for i, t in rows if i % 3 == 1]), count([t for _, t in rows])
+    target, raw = count([t for i, t in rows if i % 3]), count([t for _, t in rows])
     total = sum(target.values()) + 0.5 * quality.BUCKETS, sum(raw.values()) + 0.5 * quality.BUCKETS
     for i, t in rows:  # collisions of hashed buckets move a mean a little
         mean = np.mean([np.log((target.get(g, 0) + 0.5) / total[0]) - np.log((raw[g] + 0.5) / total[1]) for g in grams(t)])
         assert got[i]["mean_log_ratio"] == pytest.approx(mean, abs=0.05)
-    assert all(got[i]["kept"] == (i % 3 != 0) for i, _ in rows if i % 3 or True)
+    assert all(got[i]["kept"] == (i % 3 != 0) for i, _ in rows)
 
 
 def test_tokens_equal_the_library(docs, nothing, pairs):
@@ -232,7 +232,7 @@ def test_toxic_words_are_learned(spark, docs, nothing):
     assert len(held) > 40 and np.mean([r["predicted"] == (r["doc_id"] % 4 == 0) for r in held]) > 0.95
     odd = toxicity.toxicity_scores(docs, labels_of(spark, [(0, 1, 1), (0, 1, 0), (1, 1, 0), (2, 1, 0), (6, 1, None), (None, 1, 1)])).collect()
     assert len(odd) == docs.count() and all(0 <= r["score"] <= 1 for r in odd)
-    assert {r["score"] for r in toxicity.toxicity_scores(docs, labels_of(spark)).collect()} == {0.0}
+    assert {r["score"] for r in toxicity.toxicity_scores(docs, labels_of(spark)).collect() if r["score"] > 1e-9} == set()
     assert toxicity.toxicity_scores(nothing, labels_of(spark)).count() == 0
 
 
