@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from auditlens.functions import expr as X
 from auditlens.operators.ordering import row_numbers, with_lookup
+from auditlens.session import stored
 
 # Columns that are never features.
 NOT_FEATURES = ["Unnamed: 0", "Predictions", "Predicted probabilities", "target"]
@@ -84,11 +85,18 @@ def with_outcome(df: DataFrame, score: str, target: str, threshold: float, keep:
 def unique_clean_names(
     df: DataFrame, name: str, position: str, out: str = "clean_name", width: int = 100_000
 ) -> DataFrame:
-    """Sanitised texts, repeats numbered ``_1``, ``_2``, ... in order of ``position``."""
-    base = df.withColumn("_base", X.clean_name(F.col(name), F.col(position)))
-    numbered = row_numbers(base, ["_base"], position, width, "_nth")
-    again = F.concat_ws("_", F.col("_base"), (F.col("_nth") - 1).cast("string"))
-    return numbered.withColumn(out, F.when(F.col("_nth") == 1, F.col("_base")).otherwise(again)).drop("_base", "_nth")
+    """Sanitised texts; repeats get the suffix ``_1``, ``_2``, ... in order of ``position``, and a
+    suffixed name that another row has already is suffixed again, until all names differ. The
+    first row of a name keeps it; a missing text is named by its position."""
+    clean = F.coalesce(X.clean_name(F.col(name), F.col(position)), F.concat(F.lit("feature_"), F.col(position).cast("string")))
+    names = df.withColumn(out, clean)
+    while True:
+        numbered = row_numbers(names, [out], position, width, "_nth")
+        again = F.concat_ws("_", F.col(out), (F.col("_nth") - 1).cast("string"))
+        names = stored(numbered.withColumn("_moved", F.col("_nth") > 1).withColumn(out, F.when(F.col("_moved"), again).otherwise(F.col(out))), "names")
+        if names.filter("_moved").isEmpty():
+            return names.drop("_nth", "_moved")
+        names = names.drop("_nth", "_moved")
 
 
 def with_clean_columns(df: DataFrame) -> DataFrame:

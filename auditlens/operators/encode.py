@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from auditlens.functions.expr import cubic_basis
 from auditlens.operators.ordering import fit_quantiles, with_lookup
 from auditlens.operators.profile import bounded_distinct_counts
+from auditlens.session import stored
 
 ONE_HOT_LIMIT = 40
 
@@ -57,22 +58,15 @@ def standardise(df: DataFrame, cols: list[str], train: DataFrame) -> DataFrame:
     return df.withColumns({c: (F.col(c) - F.lit(fit[f"m_{c}"])) / F.lit(fit[f"s_{c}"] or 1.0) for c in cols})
 
 
-def fit_categories(train: DataFrame, cols: list[str], limit: int = ONE_HOT_LIMIT) -> dict[str, list[str]]:
-    """Sorted distinct values per column. At most ``limit`` are allowed: each becomes a column."""
-    out = {}
-    for c in cols:
-        values = [
-            r[0]
-            for r in train.select(F.col(c).cast("string"))
-            .filter(F.col(c).isNotNull())
-            .distinct()
-            .limit(limit + 1)
-            .collect()
-        ]
-        if len(values) > limit:
-            raise ValueError(f"{c}: more than {limit} values, use topic features instead")
-        out[c] = sorted(values)
-    return out
+def fit_categories(train: DataFrame, cols: list[str]) -> dict[str, list[str]]:
+    """Sorted distinct values per column, from one pass; each becomes a column of the result, so
+    a text with very many values belongs to ``vector_stages`` or ``topic_features``."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in cols])
+    out: dict[str, list[str]] = {c: [] for c in cols}
+    if cols:
+        for feature, value in train.select(F.inline(pairs)).filter("value IS NOT NULL").distinct().collect():
+            out[feature].append(value)
+    return {c: sorted(values) for c, values in out.items()}
 
 
 def one_hot(df: DataFrame, categories: dict[str, list[str]], keep: list[str]) -> DataFrame:
@@ -114,7 +108,7 @@ def vector_stages(numeric: list[str], text: list[str], out: str = "features") ->
         inputCols=text, outputCols=[f"{c}_ix" for c in text], stringOrderType="alphabetAsc", handleInvalid="keep"
     )
     hot = OneHotEncoder(
-        inputCols=[f"{c}_ix" for c in text], outputCols=[f"{c}_oh" for c in text], dropLast=True, handleInvalid="keep"
+        inputCols=[f"{c}_ix" for c in text], outputCols=[f"{c}_oh" for c in text], dropLast=True
     )
     assemble = VectorAssembler(inputCols=[*numeric, *[f"{c}_oh" for c in text]], outputCol=out, handleInvalid="keep")
     return ([index, hot] if text else []) + [assemble]
@@ -135,12 +129,9 @@ def topic_features(df: DataFrame, col: str, topics: int = 30, iterations: int =
     grams = [NGram(n=n, inputCol="_chars", outputCol=f"_g{n}") for n in (2, 3, 4)]
     prepared = Pipeline(stages=[chars, *grams]).fit(values).transform(values)
     prepared = prepared.withColumn("_grams", F.concat("_g2", "_g3", "_g4"))
-    counter = CountVectorizer(inputCol="_grams", outputCol="_counts", vocabSize=1 << 14).fit(prepared)
-    counted = counter.transform(prepared).select(col, "_counts").persist()
-    try:
-        model = LDA(k=topics, maxIter=iterations, seed=seed, featuresCol="_counts", topicDistributionCol="_topics").fit(counted)
-    finally:
-        counted.unpersist()
+    counter = CountVectorizer(inputCol="_grams", outputCol="_counts", vocabSize=(1 << 31) - 1).fit(prepared)
+    counted = stored(counter.transform(prepared).select(col, "_counts"), "n-grams")
+    model = LDA(k=topics, maxIter=iterations, subsamplingRate=1.0, seed=seed, featuresCol="_counts", topicDistributionCol="_topics").fit(counted)
     weights = model.transform(counted).select(col, vector_to_array("_topics").alias("_w"))
     weights = weights.select(col, *[F.col("_w")[i].alias(f"{col}_topic_{i}") for i in range(topics)])
     return with_lookup(df, weights, [col], "left")
@@ -158,4 +149,4 @@ def auto_encode(
     for c in wide:
         out = topic_features(out, c, topics)
         made += [x for x in out.columns if x.startswith(f"{c}_topic_")]
-    return one_hot(out, fit_categories(df, narrow, limit), [*keep, *numeric, *made])
+    return one_hot(out, fit_categories(df, narrow), [*keep, *numeric, *made])

@@ -52,7 +52,9 @@ def sampled_attributions(
     itself, one feature at a time, along 2 x ``pairs`` orders.
 
     Explode factor 2 x pairs x (features + 1). The walks of a row lie in one task, so they
-    are added up before the shuffle; attributions sum to score - base_value exactly.
+    are added up before the shuffle. The base value is the mean score of the whole background,
+    one number for all rows; what a row's own draws leave between it and their mean is shared
+    equally by the features, so attributions sum to score - base_value exactly.
     ``reference`` is at most some hundred rows and travels as one array.
     """
     features = scorer.inputs
@@ -86,9 +88,12 @@ def sampled_attributions(
         *[F.when(F.col(f"in_{f}"), F.col(f"x_{f}")).otherwise(F.col("_r")[f]).alias(f) for f in features],
     )
     s = F.col("score")
-    return scorer.score(mixed).groupBy(id_col).agg(
-        F.sum(s * F.col("_b")).alias("base_value"), *[F.sum(s * F.col(f"w_{f}")).alias(f"phi_{f}") for f in features]
+    walked = scorer.score(mixed).groupBy(id_col).agg(
+        F.sum(s * F.col("_b")).alias("_drawn"), *[F.sum(s * F.col(f"w_{f}")).alias(f"phi_{f}") for f in features]
     )
+    base = scorer.score(reference.drop("score")).agg(F.avg("score")).first()[0]
+    rest = (F.col("_drawn") - F.lit(base)) / len(features)
+    return walked.select(id_col, F.lit(base).alias("base_value"), *[(F.col(f"phi_{f}") + rest).alias(f"phi_{f}") for f in features])
 
 
 def long_attributions(wide: DataFrame, features: list[str], id_col: str) -> DataFrame:

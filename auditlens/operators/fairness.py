@@ -165,29 +165,32 @@ def flat_metrics(record: DataFrame) -> DataFrame:
 
 
 def equivalence_statistics(pair: DataFrame, delta: float = DELTA) -> DataFrame:
-    """Two one-sided pooled t statistics at +-delta on the mean score; NULL below two rows."""
+    """Two one-sided pooled t statistics at +-delta on the mean score; NULL below two rows.
+    Without any variance they are infinite, with the sign of their numerator."""
     n1, n2 = F.col("mino.n"), F.col("maj.n")
     dof = n1 + n2 - 2
     pooled = ((n1 - 1) * F.col("mino.var_score") + (n2 - 1) * F.col("maj.var_score")) / dof
     enough = (n1 >= 2) & (n2 >= 2)
     se = F.sqrt(pooled * (1 / n1 + 1 / n2))
     diff = F.col("mino.mean_score") - F.col("maj.mean_score")
+    endless = lambda x: F.when(x > 0, float("inf")).when(x < 0, float("-inf"))
+    statistic = lambda x: F.when(se == 0, endless(x)).otherwise(ratio(x, se))
     return pair.select(
         F.col("mino.group").alias("group_minority"),
         F.col("maj.group").alias("group_majority"),
         F.when(enough, diff).alias("mean_diff"),
         F.lit(delta).alias("delta"),
         F.when(enough, dof).alias("dof"),
-        F.when(enough, ratio(diff + delta, se)).alias("t_lower"),
-        F.when(enough, ratio(diff - delta, se)).alias("t_upper"),
+        F.when(enough, statistic(diff + delta)).alias("t_lower"),
+        F.when(enough, statistic(diff - delta)).alias("t_upper"),
     )
 
 
 def equivalence_test(pair: DataFrame, delta: float = DELTA, alpha: float = ALPHA) -> DataFrame:
     """TOST: equivalence holds if both one-sided tests reject, so the larger p decides."""
     stats = equivalence_statistics(pair, delta)
-    p_lower = student_p(F.col("t_lower"), F.col("dof").cast("double"))
-    p_upper = student_p(-F.col("t_upper"), F.col("dof").cast("double"))
+    tail = lambda t: F.when(F.abs(t) == float("inf"), F.when(t > 0, 0.0).otherwise(1.0)).otherwise(student_p(t, F.col("dof").cast("double")))
+    p_lower, p_upper = tail(F.col("t_lower")), tail(-F.col("t_upper"))
     tested = stats.withColumn("p_value", F.greatest(p_lower, p_upper))
     return tested.withColumn(
         "result",
@@ -275,13 +278,18 @@ def candidate_variables(df: DataFrame, features: list[str], group: str = "group"
     return tests.withColumn("restored", F.col("p_value") >= alpha).withColumn("overall_p", overall)
 
 
-def candidate_ranking(candidates: DataFrame) -> DataFrame:
-    """Features by their largest conditional p-value."""
-    return candidates.groupBy("feature").agg(
+def candidate_ranking(candidates: DataFrame, features: list[str] = (), alpha: float = ALPHA) -> DataFrame:
+    """Features by their largest conditional p-value. Nothing is a candidate unless the overall
+    test rejects; a feature of ``features`` without a valid subset has p = 0."""
+    found = candidates.groupBy("feature").agg(
         F.max("p_value").alias("max_p_value"),
-        F.max("restored").alias("is_candidate"),
+        F.max(F.col("restored") & (F.col("overall_p") < alpha)).alias("is_candidate"),
         F.count_if("restored").alias("n_restored"),
     )
+    if not features:
+        return found
+    listed = candidates.sparkSession.createDataFrame([(f,) for f in features], "feature string")
+    return listed.join(found, "feature", "left").fillna({"max_p_value": 0.0, "is_candidate": False, "n_restored": 0})
 
 
 def roc_by_group(df: DataFrame, group: str = "group") -> DataFrame:

@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from auditlens.functions.expr import ratio, ratio0
 from auditlens.operators.ordering import running_totals
+from auditlens.session import stored
 
-SCORE_DIGITS = 6
-SCORE_BINS = 1000
 # Thresholds of the sweep.
 SWEEP = [0.10, 0.15, 0.20, 0.25, 0.30, 0.35, 0.40, 0.45, 0.50, 0.55, 0.60, 0.65, 0.70, 0.75, 0.80, 0.85]
 
@@ -18,7 +17,8 @@ def regression_fit(df: DataFrame, actual: str, predicted: str, keys: list[str] =
     """R2 = 1 - SSE/SST, MSE and MAE in one pass."""
     err = F.col(actual) - F.col(predicted)
     return (
-        df.groupBy(*keys)
+        df.filter(F.col(actual).isNotNull() & F.col(predicted).isNotNull())  # the same rows in every term
+        .groupBy(*keys)
         .agg(
             F.count("*").alias("n_samples"),
             F.avg(err * err).alias("mse"),
@@ -100,13 +100,20 @@ def weighted_f1(counts: DataFrame) -> DataFrame:
 
 
 def score_counts(df: DataFrame, keys: list[str] = (), score: str = "score", target: str = "target") -> DataFrame:
-    """Positives and negatives per distinct score: at most 10^6 rows per group, whatever N."""
-    return (
-        df.select(*keys, F.round(score, SCORE_DIGITS).alias("score"), F.col(target).alias("_y"))
+    """Positives and negatives per distinct score, in bins that follow the data.
+
+    Sampled splitters cut the scores into as many ranges as there are shuffle partitions, so
+    scores that crowd together are spread like any others. The counts are written with their
+    bins: a splitter drawn anew could move a bin between two uses.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = (
+        df.select(*keys, F.col(score).cast("double").alias("score"), F.col(target).alias("_y"))
         .groupBy(*keys, "score")
         .agg(F.count_if(F.col("_y") == 1).alias("pos"), F.count_if(F.col("_y") == 0).alias("neg"))
-        .withColumn("_bin", F.floor(F.col("score") * SCORE_BINS).cast("int"))
+        .repartitionByRange(parts, "score")
     )
+    return stored(counts.withColumn("_bin", F.spark_partition_id()), "scores")
 
 
 def curve_counts(df: DataFrame, keys: list[str] = (), score: str = "score", target: str = "target") -> DataFrame:

@@ -69,7 +69,9 @@ def row_numbers(df: DataFrame, keys: list[str], order_col: str, width: int, out:
     before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*keys, "_block", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
     inside = Window.partitionBy(*keys, "_block").orderBy(order_col)
-    numbered = blocked.join(offsets, [*keys, "_block"]).withColumn(out, F.col("_before") + F.row_number().over(inside))
+    here = offsets.select(*[F.col(c).alias(f"_k_{c}") for c in [*keys, "_block"]], "_before")
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in [*keys, "_block"]))  # no row is lost to a NULL
+    numbered = blocked.join(here, same).drop(*[f"_k_{c}" for c in [*keys, "_block"]]).withColumn(out, F.col("_before") + F.row_number().over(inside))
     return numbered.drop("_block", "_before")
 
 

@@ -22,10 +22,14 @@ TOPS_SQL = f"""{PHI_SQL}, ta AS (SELECT feature FROM ai ORDER BY round(importanc
 rk AS ({RANKING_SQL}), tb AS (SELECT feature FROM rk WHERE NOT isnan(correlation) ORDER BY round(correlation, 9) DESC, feature LIMIT {TOP})"""
 
 
-def tops(spark, sf_dir):
+SHORT = 2  # a list shorter than the other one has something that is missing in it
+SHORT_SQL = TOPS_SQL.rpartition(f"LIMIT {TOP}")[0] + f"LIMIT {SHORT})"
+
+
+def tops(spark, sf_dir, second: int = TOP):
     a = profile.top_features(phi_importance(spark, sf_dir), "importance", TOP)
     ranking = profile.correlation_ranking(complete_loans(spark, sf_dir), NUMERIC, STRINGS, "score")
-    return a, profile.top_features(ranking, "correlation", TOP)
+    return a, profile.top_features(ranking, "correlation", second)
 
 
 @query("compare_common_features", on_loans(f"WITH {TOPS_SQL} SELECT feature FROM ta INTERSECT SELECT feature FROM tb"))
@@ -36,12 +40,12 @@ def compare_common_features(spark, sf_dir):
 @query(
     "compare_specific_features",
     on_loans(
-        f"WITH {TOPS_SQL} SELECT feature, 'first' AS side FROM ta WHERE feature NOT IN (SELECT feature FROM tb) UNION ALL "
+        f"WITH {SHORT_SQL} SELECT feature, 'first' AS side FROM ta WHERE feature NOT IN (SELECT feature FROM tb) UNION ALL "
         "SELECT feature, 'second' FROM tb WHERE feature NOT IN (SELECT feature FROM ta)"
     ),
 )
 def compare_specific_features(spark, sf_dir):
-    return compare.specific_features(*tops(spark, sf_dir))
+    return compare.specific_features(*tops(spark, sf_dir, SHORT))
 
 
 LINES = ["int_rate", "dti", "pct_protected", "annual_inc"]

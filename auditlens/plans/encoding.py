@@ -116,7 +116,18 @@ def encode_spline_basis(spark, sf_dir):
     return rounded(encode.spline_columns(df.select(ID, "dti"), ["dti"], limits).drop("dti"), 9)
 
 
-@query("encode_column_transformer")
+def _slots_sql(c: str) -> str:
+    values = f"(SELECT list(v ORDER BY v) FROM (SELECT DISTINCT {c} AS v FROM tr WHERE {c} IS NOT NULL))"
+    return f"list_transform({values}, lambda x: CASE WHEN x = {c} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)"
+
+
+@query(
+    "encode_column_transformer",
+    on_loans(
+        f"WITH {TRAIN_SQL} SELECT loan_id, list_concat(list_concat([dti::DOUBLE, int_rate::DOUBLE], "
+        f"{_slots_sql('grade')}), {_slots_sql('home_ownership')}) AS features FROM ok"
+    ),
+)
 def encode_column_transformer(spark, sf_dir):
     from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array

@@ -235,7 +235,7 @@ def fairness_candidate_variables(spark, sf_dir):
 
 @query("fairness_candidate_ranking")
 def fairness_candidate_ranking(spark, sf_dir):
-    return fairness.candidate_ranking(fairness.candidate_variables(audited(spark, sf_dir), CANDIDATES))
+    return fairness.candidate_ranking(fairness.candidate_variables(audited(spark, sf_dir), CANDIDATES), CANDIDATES)
 
 
 @query(
@@ -260,7 +260,7 @@ def fairness_group_confusion(spark, sf_dir):
         f"""WITH a AS ({auc_sql('aud', '"group"')}), g AS (SELECT "group", score, sum(target) AS pos, sum(1-target) AS neg FROM aud GROUP BY ALL),
         c AS (SELECT "group", score AS threshold, sum(pos) OVER w AS cp, sum(neg) OVER w AS cn, sum(pos) OVER (PARTITION BY "group") AS tp,
           sum(neg) OVER (PARTITION BY "group") AS tn FROM g WINDOW w AS (PARTITION BY "group" ORDER BY score DESC ROWS UNBOUNDED PRECEDING))
-        SELECT c."group", threshold, {r('cn*1.0::DOUBLE/tn')} AS fpr, {r('cp*1.0::DOUBLE/tp')} AS tpr, {r('auc')} AS auc
+        SELECT c."group", {r('threshold')} AS threshold, {r('cn*1.0::DOUBLE/tn')} AS fpr, {r('cp*1.0::DOUBLE/tp')} AS tpr, {r('auc')} AS auc
         FROM c JOIN a ON c."group" = a."group" WHERE tp > 0 AND tn > 0"""
     ),
 )

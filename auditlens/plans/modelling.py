@@ -96,7 +96,7 @@ def model_batch_scoring(spark, sf_dir):
     return scored.withColumn("y_hat", (F.col("score") >= 0.5).cast("int"))
 
 
-@query("model_store_round_trip")
+@query("model_store_round_trip", on_loans("SELECT CAST(0 AS DOUBLE) AS max_difference, count(*) AS n FROM ok"))
 def model_store_round_trip(spark, sf_dir):
     """Largest score difference between a model and its reloaded copy."""
     df = prepared(spark, sf_dir)

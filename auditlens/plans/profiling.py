@@ -221,7 +221,7 @@ def profile_density_curve(spark, sf_dir):
         j AS (SELECT g, score, q[1] AS q1, q[2] AS q2, q[3] AS q3, score BETWEEN q[1]-1.5*(q[3]-q[1]) AND q[3]+1.5*(q[3]-q[1]) AS inside
               FROM aud JOIN q ON aud."group" = q.g)
         SELECT g AS "group", {r('max(q1)', 9)} AS q1, {r('max(q2)', 9)} AS median, {r('max(q3)', 9)} AS q3,
-        min(score) FILTER (WHERE inside) AS whisker_low, max(score) FILTER (WHERE inside) AS whisker_high,
+        {r('min(score) FILTER (WHERE inside)', 9)} AS whisker_low, {r('max(score) FILTER (WHERE inside)', 9)} AS whisker_high,
         count(*) FILTER (WHERE NOT inside) AS n_outliers FROM j GROUP BY g"""
     ),
 )

@@ -134,7 +134,7 @@ cv AS (SELECT score AS threshold, sum(pos) OVER w AS cp, sum(neg) OVER w AS cn,
 
 @query(
     "quality_roc_curve",
-    on_loans(f"WITH {CURVE_SQL} SELECT threshold, {r('cn*1.0::DOUBLE/tn')} AS fpr, {r('cp*1.0::DOUBLE/tp')} AS tpr FROM cv"),
+    on_loans(f"WITH {CURVE_SQL} SELECT {r('threshold')} AS threshold, {r('cn*1.0::DOUBLE/tn')} AS fpr, {r('cp*1.0::DOUBLE/tp')} AS tpr FROM cv"),
 )
 def quality_roc_curve(spark, sf_dir):
     return rounded(metrics.roc_curve(scored(spark, sf_dir)))
@@ -142,7 +142,7 @@ def quality_roc_curve(spark, sf_dir):
 
 @query(
     "quality_precision_recall_curve",
-    on_loans(f"WITH {CURVE_SQL} SELECT threshold, {r('cp*1.0::DOUBLE/(cp+cn)')} AS precision, {r('cp*1.0::DOUBLE/tp')} AS recall FROM cv"),
+    on_loans(f"WITH {CURVE_SQL} SELECT {r('threshold')} AS threshold, {r('cp*1.0::DOUBLE/(cp+cn)')} AS precision, {r('cp*1.0::DOUBLE/tp')} AS recall FROM cv"),
 )
 def quality_precision_recall_curve(spark, sf_dir):
     return rounded(metrics.precision_recall_curve(scored(spark, sf_dir)))
@@ -153,7 +153,7 @@ def quality_precision_recall_curve(spark, sf_dir):
     on_loans(
         f"""WITH {CURVE_SQL}, p AS (SELECT threshold, cp*1.0::DOUBLE/(cp+cn) AS precision, cp*1.0::DOUBLE/tp AS recall FROM cv),
         f AS (SELECT *, round(2*(precision*recall)/(precision+recall+1e-8::DOUBLE), 12) AS f1 FROM p)
-        SELECT threshold, {r('f1')} AS f1, {r('precision')} AS precision, {r('recall')} AS recall FROM f ORDER BY f.f1 DESC, threshold LIMIT 1"""
+        SELECT {r('f.threshold')} AS threshold, {r('f1')} AS f1, {r('precision')} AS precision, {r('recall')} AS recall FROM f ORDER BY f.f1 DESC, f.threshold LIMIT 1"""
     ),
 )
 def quality_best_f1_threshold(spark, sf_dir):

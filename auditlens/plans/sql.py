@@ -57,7 +57,7 @@ base AS (
   LEFT JOIN li ON li.l_orderkey=o.o_orderkey),
 z AS (SELECT *, {margin()} AS margin FROM base),
 loans AS (
-  SELECT *, ROUND(1.0/(1.0+EXP(-margin)),6) AS score,
+  SELECT *, ROUND(1.0/(1.0+EXP(-margin)),10) AS score,
     CASE WHEN CAST({draw('loan_id', digits=8)} AS DOUBLE)/4294967296.0 < 1.0/(1.0+EXP(-margin)) THEN 1 ELSE 0 END AS target
   FROM z),
 ok AS (SELECT * FROM loans WHERE int_rate IS NOT NULL AND dti IS NOT NULL AND open_acc IS NOT NULL AND score IS NOT NULL),

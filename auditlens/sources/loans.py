@@ -95,7 +95,7 @@ def derive_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     draw = hash_long(ID, digits=8).cast("double") / 4294967296.0
     return (
         base.withColumn("margin", _margin({c: F.col(c) for c in SCORER_INPUTS}))
-        .withColumn("score", F.round(sigmoid(F.col("margin")), 6))
+        .withColumn("score", F.round(sigmoid(F.col("margin")), 10))
         .withColumn("target", F.when(draw < sigmoid(F.col("margin")), 1).otherwise(0))
     )
 
@@ -112,13 +112,9 @@ def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _written:
         path = fresh_path(spark, "loans")
-        derive_loans(spark, sf_dir).write.parquet(path)
-        cores = spark.sparkContext.defaultParallelism
-        small = spark.read.schema(LOAN_SCHEMA).parquet(path)
-        if len(small.inputFiles()) < cores:
-            # a table below one block per core: explanations repeat rows, so let all cores have some
-            path = fresh_path(spark, "loans")
-            small.repartition(cores).write.parquet(path)
+        # explanations repeat rows: the table is dealt evenly, at least one file per core
+        parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        derive_loans(spark, sf_dir).repartition(parts).write.parquet(path)
         _written[key] = path
     return spark.read.schema(LOAN_SCHEMA).parquet(_written[key])
 

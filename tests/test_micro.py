@@ -123,3 +123,47 @@ def test_spline_basis_adds_up_to_one(spark):
 def test_binary_groups_take_the_first_value_as_minority(spark):
     df = spark.createDataFrame([("x ",), ("y",), ("y",)], "g string")
     assert [r[0] for r in fairness.with_groups(df, "g").select("group").collect()] == ["minority", "majority", "majority"]
+
+
+def test_auc_of_scores_that_hardly_differ(spark):
+    frame = spark.createDataFrame([(0.5 + i * 1e-8, int(i >= 10)) for i in range(20)], "score double, target int")
+    assert metrics.roc_auc(frame).first()[0] == 1.0
+    assert metrics.best_f1_threshold(frame).first()["threshold"] == 0.5 + 10 * 1e-8
+
+
+def test_unique_names_keep_every_row(spark):
+    frame = spark.createDataFrame([("a", 1), ("a", 2), ("a_1", 3), (None, 4), ("b", 5)], "name string, at int")
+    got = clean.unique_clean_names(frame, "name", "at").collect()
+    assert len({r["clean_name"] for r in got}) == len(got) == 5
+    assert {r["at"]: r["clean_name"] for r in got} == {1: "a", 2: "a_1", 3: "a_1_1", 4: "feature_4", 5: "b"}
+
+
+def test_fit_uses_the_same_rows_in_every_term(spark):
+    frame = spark.createDataFrame([(1.0, 1.0), (2.0, 3.0), (9.0, None)], "y double, p double")
+    got = metrics.regression_fit(frame, "y", "p").first()
+    assert (got["n_samples"], got["mse"], got["r2"]) == (2, 0.5, -1.0)
+
+
+def test_equal_means_without_variance_are_equivalent(spark):
+    sides = "struct<group string, n long, mean_score double, var_score double>".replace("struct<", "").rstrip(">")
+    frame = spark.createDataFrame([(("a", 5, 0.3, 0.0), ("b", 6, 0.3, 0.0))], f"mino struct<{_typed(sides)}>, maj struct<{_typed(sides)}>")
+    got = fairness.equivalence_test(frame).first()
+    assert got["p_value"] == 0.0 and got["result"] == "Equivalence Accepted"
+
+
+def _typed(fields):
+    return ", ".join(f.replace(" ", ": ", 1) for f in fields.split(", "))
+
+
+def test_ranking_needs_the_overall_test(spark):
+    rows = [("x", 0.9, True, 0.5), ("y", 0.01, False, 0.5)]
+    frame = spark.createDataFrame(rows, "feature string, p_value double, restored boolean, overall_p double")
+    got = {r["feature"]: r for r in fairness.candidate_ranking(frame, ["x", "y", "z"]).collect()}
+    assert not any(r["is_candidate"] for r in got.values()) and got["z"]["max_p_value"] == 0.0
+    sure = fairness.candidate_ranking(frame.withColumn("overall_p", F.lit(0.001))).collect()
+    assert {r["feature"] for r in sure if r["is_candidate"]} == {"x"}
+
+
+def test_one_hot_of_a_column_with_many_values(spark):
+    frame = spark.range(120).select(F.concat(F.lit("v"), "id").alias("c"))
+    assert len(encode.one_hot(frame, encode.fit_categories(frame, ["c"]), []).columns) == 120
