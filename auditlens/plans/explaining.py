@@ -406,3 +406,11 @@ def explain_local_linear(spark, sf_dir):
     df = split.by_years(complete_loans(spark, sf_dir), "issue_d", TEST_YEARS)
     train, test = df.filter("split = 'train'"), df.filter("split = 'test'")
     return local_linear.local_explanations(train, test, SCORER, ID, samples=200)
+
+
+@query("explain_local_linear_chosen")
+def explain_local_linear_chosen(spark, sf_dir):
+    """Local models around five loans of the test years, with 5,000 samples each."""
+    df = split.by_years(complete_loans(spark, sf_dir), "issue_d", TEST_YEARS)
+    train, test = df.filter("split = 'train'"), df.filter("split = 'test'")
+    return local_linear.local_explanations(train, test.orderBy(ID).limit(5), SCORER, ID, samples=5000)

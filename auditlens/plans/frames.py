@@ -9,6 +9,7 @@ from auditlens.functions.expr import decide, tidy
 from auditlens.operators.clean import floating_columns
 from auditlens.operators.fairness import QUARTILE_LABELS
 from auditlens.operators.ordering import with_quartiles
+from auditlens.session import stored_once
 from auditlens.sources.loans import complete_loans
 
 
@@ -18,8 +19,9 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def audited(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scored loans with the protected quartile group."""
-    return with_quartiles(scored(spark, sf_dir), "pct_protected", QUARTILE_LABELS, "group")
+    """Scored loans with the protected quartile group, fitted and written once."""
+    make = lambda: with_quartiles(scored(spark, sf_dir), "pct_protected", QUARTILE_LABELS, "group")
+    return stored_once(spark, sf_dir, "audited", make)
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:

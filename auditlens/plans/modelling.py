@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from auditlens.functions.expr import sigmoid
-from auditlens.operators import models, split
+from auditlens.functions.expr import decide, sigmoid
+from auditlens.operators import metrics, models, split, stability
 from auditlens.operators.encode import fit_categories
+from auditlens.operators.explain import dependence, permutation
 from auditlens.operators.metrics import fidelity
 from auditlens.operators.scorers import MLScorer
 from auditlens.plans.frames import rounded
 from auditlens.plans.registry import query
 from auditlens.plans.sql import on_loans, r
-from auditlens.session import fresh_path, stored
+from auditlens.session import fresh_path, stored, stored_once
 from auditlens.sources import tables
 from auditlens.sources.loans import ID, SCORER_NUMERIC, TEST_YEARS, complete_loans
 
@@ -21,10 +22,10 @@ ROUNDS = 5
 
 
 def prepared(spark, sf_dir):
-    """Loans with their split, written once: fitting reads them many times."""
+    """Loans with their split, written once per session: fits read them many times."""
     cols = [ID, "issue_d", *SCORER_NUMERIC, "funded_amnt", *TEXT, "score", "target"]
-    df = split.by_years(complete_loans(spark, sf_dir).select(*cols), "issue_d", TEST_YEARS)
-    return stored(df, "prepared")
+    make = lambda: split.by_years(complete_loans(spark, sf_dir).select(*cols), "issue_d", TEST_YEARS)
+    return stored_once(spark, sf_dir, "prepared", make)
 
 
 def train_of(df):
@@ -74,7 +75,7 @@ def model_shallow_tree_surrogate(spark, sf_dir):
 @query("model_forest_surrogate")
 def model_forest_surrogate(spark, sf_dir):
     df = prepared(spark, sf_dir)
-    return fidelity(fitted(df, models.forest_surrogate(trees=20, depth=8)).transform(df), "score", "prediction")
+    return fidelity(fitted(df, models.forest_surrogate(trees=100, depth=10)).transform(df), "score", "prediction")
 
 
 @query("model_black_box")
@@ -83,8 +84,35 @@ def model_black_box(spark, sf_dir):
     return models_scored(df, fitted_black_box(df))
 
 
-def models_scored(df, model):
-    return MLScorer(model, [*SCORER_NUMERIC, *TEXT]).score(df).select(ID, "target", "score")
+@query("model_fitted_dependence")
+def model_fitted_dependence(spark, sf_dir):
+    """Partial dependence of the fitted black box over the test years."""
+    df = prepared(spark, sf_dir)
+    scorer = MLScorer(fitted_black_box(df), [*SCORER_NUMERIC, *TEXT])
+    return rounded(dependence.partial_dependence(df.filter("split = 'test'"), scorer, ["int_rate", "dti", "grade"]))
+
+
+@query("model_fitted_importance")
+def model_fitted_importance(spark, sf_dir):
+    """Permutation importance of the fitted black box over the test years."""
+    df = prepared(spark, sf_dir)
+    inputs = [*SCORER_NUMERIC, *TEXT]
+    scorer = MLScorer(fitted_black_box(df), inputs)
+    return permutation.importance_by_f1(df.filter("split = 'test'"), scorer, ID, "target", inputs, repeats=2, threshold=0.3)
+
+
+@query("model_threshold_stability")
+def model_threshold_stability(spark, sf_dir):
+    """Fit, threshold of the best F1 on the training years, quality per test year at it."""
+    df = prepared(spark, sf_dir)
+    scored = stored(models_scored(df, fitted_black_box(df), "issue_d", "split"), "fitted-scores")
+    cut = metrics.best_f1_threshold(train_of(scored)).first()["threshold"]
+    decided = scored.filter("split = 'test'").withColumn("y_hat", decide("score", cut))
+    return rounded(stability.quality_by_year(decided, "issue_d").withColumn("threshold", F.lit(cut)))
+
+
+def models_scored(df, model, *keep):
+    return MLScorer(model, [*SCORER_NUMERIC, *TEXT]).score(df).select(ID, "target", "score", *keep)
 
 
 @query("model_batch_scoring")

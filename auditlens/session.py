@@ -53,6 +53,20 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/auditlens/{label}-{uuid.uuid4().hex}"
 
 
+_once: dict[tuple[str, str, str], tuple[str, object]] = {}
+
+
+def stored_once(spark: SparkSession, source: str, label: str, make) -> DataFrame:
+    """``make()`` written to the shared folder once per session and source, and read from there."""
+    key = (spark.sparkContext.applicationId, source, label)
+    if key not in _once:
+        df, path = make(), fresh_path(spark, label)
+        df.write.parquet(path)
+        _once[key] = path, df.schema
+    path, schema = _once[key]
+    return spark.read.schema(schema).parquet(path)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as parquet to the shared folder and read it back: cuts the lineage,
     and the result outlives any executor."""
