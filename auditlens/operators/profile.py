@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auditlens.functions.expr import is_numeric, ratio, uniform_bin
@@ -188,9 +188,15 @@ def histogram(df: DataFrame, col: str, bins: int, keys: list[str] = ()) -> DataF
     )
 
 
+def open_bin(value: Column, bins: int) -> Column:
+    """Cell of width 1 / ``bins``, without limits; 1 itself ends the last cell of [0, 1]."""
+    return F.when(value == 1, bins - 1).otherwise(F.floor(value / F.lit(1.0 / bins))).cast("int")
+
+
 def joint_histogram(df: DataFrame, x: str, y: str, bins: int) -> DataFrame:
-    """Counts over a bins x bins grid on [0, 1]^2: the scatter of two scores over all rows."""
-    cell = lambda c: uniform_bin(F.col(c), 0.0, 1.0, bins)
+    """Counts over a grid of bins x bins cells on [0, 1]^2: the scatter of two scores over all
+    rows. The grid goes on beyond: values outside have cells below 0 or from ``bins`` on."""
+    cell = lambda c: open_bin(F.col(c), bins)
     return (
         df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
         .groupBy(cell(x).alias("x_bin"), cell(y).alias("y_bin"))
@@ -200,11 +206,11 @@ def joint_histogram(df: DataFrame, x: str, y: str, bins: int) -> DataFrame:
 
 def density_curve(df: DataFrame, col: str, key: str, points: int = 200, bins: int = 1000) -> DataFrame:
     """Gaussian kernel density per group on ``points`` positions from the group's minimum to
-    its maximum, Scott bandwidth. Rows are first counted in ``bins`` cells of [0, 1]; the
+    its maximum, Scott bandwidth. Rows are first counted in cells of width 1 / ``bins``; the
     kernels run over those counts, so the work after the count does not grow with the rows.
     """
     data = df.filter(F.col(col).isNotNull())
-    cells = data.groupBy(key, uniform_bin(F.col(col), 0.0, 1.0, bins).alias("_b")).agg(F.count("*").alias("_c"))
+    cells = data.groupBy(key, open_bin(F.col(col), bins).alias("_b")).agg(F.count("*").alias("_c"))
     stats = data.groupBy(key).agg(
         F.count("*").alias("_n"),
         F.stddev_samp(col).alias("_s"),
