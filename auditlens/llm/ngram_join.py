@@ -10,9 +10,10 @@ heavy-light join finds the links between classes:
 * large sets scan inverted lists, each over its first n - ceil(s n) + 1 shingles in an order
   that puts the corpus's heavy shingles last, which is enough to meet every partner. The
   candidates of neighbouring list members are verified first; what they connect need not be
-  compared again, and a second scan compares only members of different components. Candidates
-  first pass a bound on small parity bitmaps of their sets, inside the lists already: two
-  bitmaps differ in no more bits than the sets have elements apart, so no link is lost.
+  compared again. A second scan takes the pairs that would connect components, the most similar
+  first, and a last one all pairs that are still between components. Candidates first pass a
+  bound on small parity bitmaps of their sets, inside the lists already: two bitmaps differ in
+  no more bits than the sets have elements apart, so no link is lost.
 
 The boundary between small and large is the size with the lowest estimated cost. All
 candidates are verified on whole sets. Heavy shingles only change the order, never a result.
@@ -68,8 +69,8 @@ def class_key(s: np.ndarray) -> int:
 
 
 def parity_bits(s: np.ndarray) -> bytes:
-    """One bit for each of at least len(s) cells: whether it holds an odd number of elements."""
-    cells = 1 << max(6, int(len(s) - 1).bit_length())
+    """One bit for each of at least 2 len(s) cells: whether it holds an odd number of elements."""
+    cells = 1 << max(6, int(2 * len(s) - 1).bit_length())
     return np.packbits(np.bincount((mix(s) % np.uint64(cells)).astype(np.int64), minlength=cells) & 1 == 1, bitorder="little").tobytes()
 
 
@@ -260,8 +261,29 @@ def _met(boundary: int, percent: int):
     return meet
 
 
-def _crossing(boundary: int, percent: int):
-    """Pairs of one list's members of different components that sizes and bitmaps allow."""
+def _forest(i: np.ndarray, j: np.ndarray, weight: np.ndarray, root: np.ndarray) -> np.ndarray:
+    """Places of the pairs that connect components, the most similar pairs first (Kruskal)."""
+    names, at = np.unique(root, return_inverse=True)
+    parent, kept = list(range(len(names))), []
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    order = np.argsort(weight, kind="stable")
+    for k, a, b in zip(order.tolist(), at[i[order]].tolist(), at[j[order]].tolist()):
+        a, b = find(a), find(b)
+        if a != b:
+            parent[a] = b
+            kept.append(k)
+    return np.array(kept, np.int64)
+
+
+def _crossing(boundary: int, percent: int, every: bool):
+    """Pairs of one list's members of different components that sizes and bitmaps allow:
+    ``every`` one, or as many as connect what can be connected."""
 
     def allowed(n, root, cells, bits):
         """Places (i, j) of allowed pairs of one list; members are in order of size, so the
@@ -279,8 +301,27 @@ def _crossing(boundary: int, percent: int):
                 j, near = j[ok], maps[at + 1 :][ok]
                 if len(j):
                     apart = np.bitwise_count(near ^ maps[at]).sum(1, dtype=np.int64)
-                    j = j[(100 + percent) * (n[i] + n[j] - apart) >= 2 * percent * (n[i] + n[j])]
-                    yield np.full(len(j), i), j
+                    ok = (100 + percent) * (n[i] + n[j] - apart) >= 2 * percent * (n[i] + n[j])
+                    j, apart = j[ok], apart[ok]
+                    yield np.full(len(j), i), j, apart / (n[i] + n[j])
+
+    def chosen(lists, root):
+        """All pairs, or the forest of them, in pieces of bounded size."""
+        held, size = [], 0
+        for piece in lists:
+            held.append(piece)
+            if (size := size + len(piece[0])) > 1_000_000:
+                i, j, w = (np.concatenate(c) for c in zip(*held))
+                if every:
+                    yield i, j
+                    held, size = [], 0
+                else:
+                    k = _forest(i, j, w, root)
+                    held, size = [(i[k], j[k], w[k])], len(k)
+        if size:
+            i, j, w = (np.concatenate(c) for c in zip(*held))
+            k = slice(None) if every else _forest(i, j, w, root)
+            yield i[k], j[k]
 
     def cross(group: pa.Table) -> pa.Table:
         rows = group.combine_chunks()
@@ -294,7 +335,7 @@ def _crossing(boundary: int, percent: int):
         for lo, hi in zip(head, [*head[1:], len(key)]):
             if (root[lo:hi] == root[lo]).all():
                 continue
-            for i, j in allowed(n[lo:hi], root[lo:hi], cells[lo:hi], bits[lo:hi]):
+            for i, j in chosen(allowed(n[lo:hi], root[lo:hi], cells[lo:hi], bits[lo:hi]), root[lo:hi]):
                 a, b = cls[lo + i], cls[lo + j]
                 found.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
                 if (size := size + len(j)) > 2_000_000:
@@ -345,6 +386,15 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, per
     return joined.mapInArrow(reach, "a long, b long")
 
 
+def _open_pairs(met: DataFrame, found: DataFrame, classes: DataFrame, crossing, parts: int) -> DataFrame:
+    """Pairs (a, b) that ``crossing`` makes of lists with members of several components."""
+    lists = met.filter("kind = 2").select("key", "a", "n").join(found.select(F.col("node").alias("a"), "root"), "a", "left")
+    lists = lists.withColumn("root", F.coalesce("root", "a")).withColumn("part", F.pmod(F.xxhash64("key"), F.lit(parts)).cast("int"))
+    open_keys = lists.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("key")
+    members = lists.join(open_keys, "key", "left_semi").join(classes.select(F.col("key").alias("a"), "bits"), "a")
+    return members.groupBy("part").applyInArrow(crossing, "a long, b long").distinct()
+
+
 def ngram_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, class_key (equal sets), component_id for every row of ``docs`` (doc_id, text)."""
     spark = tuned(docs.sparkSession)
@@ -360,16 +410,15 @@ def ngram_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT)
     first = stored(met.filter("kind = 1").select("a", "b").distinct(), "pairs")
     links = stored(met.filter("kind = 0").select("a", "b").union(_verified(docs, classes, first, k, percent)), "links")
     found = stored(components(links), "components")
-    lists = met.filter("kind = 2").select("key", "a", "n").join(found.select(F.col("node").alias("a"), "root"), "a", "left")
-    lists = lists.withColumn("root", F.coalesce("root", "a")).withColumn("part", F.pmod(F.xxhash64("key"), F.lit(parts)).cast("int"))
-    open_keys = lists.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("key")
-    members = lists.join(open_keys, "key", "left_semi").join(classes.select(F.col("key").alias("a"), "bits"), "a")
-    crossing = members.groupBy("part").applyInArrow(_crossing(boundary, percent), "a long, b long")
-    second = stored(crossing.distinct().join(first, ["a", "b"], "left_anti"), "pairs")
-    if not second.isEmpty():
+    tested = first
+    for every in (False, True):
+        second = stored(_open_pairs(met, found, classes, _crossing(boundary, percent, every), parts).join(tested, ["a", "b"], "left_anti"), "pairs")
+        if second.isEmpty():
+            continue
         more = stored(_verified(docs, classes, second, k, percent), "links")
+        links, tested = stored(links.union(more), "links"), tested.union(second)
         if not more.isEmpty():
-            found = stored(components(links.union(more)), "components")
+            found = stored(components(links), "components")
     root = rows.join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     root = stored(root, "rooted")
     least = root.filter("n_shingles > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"))
