@@ -360,19 +360,25 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, per
     row_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))  # a null id is found like any other
     needed = likely.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(classes, "key").select(row_id.alias("doc_id"), "key")
 
-    def keyed(batches):
+    def shrunk(batches):
         for batch in batches:
-            keys = [class_key(s) for s in shingle_sets(batch.column(1), k)]
             text = [zstandard.compress(t.as_buffer() if t.is_valid else b"", 1) for t in batch.column(1).cast(pa.large_binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), pa.array(text, pa.binary())], ["doc_id", "key", "text"])
-
-    texts = docs.select(row_id.alias("doc_id"), "text").mapInArrow(keyed, "doc_id long, key long, text binary")
-    texts = stored(texts.join(needed, ["doc_id", "key"], "left_semi").dropDuplicates(["doc_id", "key"]).select("key", "text"), "sets")
-    side = lambda c: texts.select(F.col("key").alias(c), F.col("text").alias(f"text_{c}"))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(text, pa.binary())], ["doc_id", "text"])
 
     def sets(column):
         return shingle_sets(pa.array([zstandard.decompress(t.as_buffer()) for t in column], pa.large_binary()), k)
 
+    def keyed(batches):
+        for batch in batches:
+            keys = pa.array([class_key(s) for s in sets(batch.column(1))], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), keys, batch.column(1)], ["doc_id", "key", "text"])
+
+    # texts move once, compressed; only those of the wanted ids are cut into shingles
+    texts = docs.select(row_id.alias("doc_id"), "text").mapInArrow(shrunk, "doc_id long, text binary")
+    texts = texts.join(needed.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(keyed, "doc_id long, key long, text binary")
+    texts = stored(texts.join(needed, ["doc_id", "key"], "left_semi").dropDuplicates(["doc_id", "key"]).select("key", "text"), "sets")
+    side = lambda c: texts.select(F.col("key").alias(c), F.col("text").alias(f"text_{c}"))
+
     def reach(batches):
         for batch in batches:
             hit = []
