@@ -320,6 +320,18 @@ def test_extraction_of_odd_pages(spark, docs):
     assert html_extract.extracted(spark.createDataFrame([], PAGES)).count() == 0
 
 
+def pages_of(spark, rows):
+    return spark.createDataFrame([(*r, "c", "c", "c", 1) for r in rows], PAGES)
+
+
+def test_template_words_inside_articles_go(spark, docs):
+    page = "<body><article><h1>Head {0}</h1><p>Own text {0}</p><div><p>All rights with the host</p></div>{1}</article>"
+    # a line that only two articles share is the authors'
+    rows = [(i, f"https://host.org/{i}", page.format(i, "<p>Said twice</p>" if i < 2 else "")) for i in range(10)]
+    got = {r["page_id"]: r["text"] for r in html_extract.extracted(pages_of(spark, rows)).collect()}
+    assert got == {i: f"Head {i}\nOwn text {i}" + ("\nSaid twice" if i < 2 else "") for i in range(10)}
+
+
 def test_neighbours_of_odd_rows(spark, docs):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(3000, 32)).astype(np.float32)
