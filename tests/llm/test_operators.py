@@ -332,6 +332,19 @@ def test_template_words_inside_articles_go(spark, docs):
     assert got == {i: f"Head {i}\nOwn text {i}" + ("\nSaid twice" if i < 2 else "") for i in range(10)}
 
 
+def test_copies_of_a_page_are_one_page(spark, docs):
+    copy, other = "<body id={0}><section><p>Only in copies</p></section><p>And this</p></body>", "<body><p>Other {0}</p></body>"
+    mark = "<article><div><p>Marked copy</p></div></article>"
+    rows = [(i, f"https://same.org/{i}", copy.format(0)) for i in range(12)]  # all pages of the host
+    rows += [(100 + i, f"https://both.org/{i}", copy.format(0)) for i in range(12)] + [(200 + i, f"https://both.org/{i}", other.format(i)) for i in range(12)]
+    rows += [(300 + i, f"https://mark.org/{i}", mark) for i in range(12)]
+    rows += [(400 + i, f"https://script.org/{i}", f"<script>page({i})</script>" + copy.format(0)) for i in range(12)]  # other bytes, same text
+    got = {r["page_id"]: r["text"] for r in html_extract.extracted(pages_of(spark, rows)).collect()}
+    text = "Only in copies\nAnd this"
+    want = {100 * h + i: t for h, t in enumerate((text, text, None, "Marked copy", text)) if t for i in range(12)}
+    assert got == want | {200 + i: f"Other {i}" for i in range(12)}
+
+
 def test_neighbours_of_odd_rows(spark, docs):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(3000, 32)).astype(np.float32)
