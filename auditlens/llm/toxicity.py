@@ -9,9 +9,10 @@ minus ordinary log-likelihood counts as far as it exceeds ``MARGIN``: the sampli
 ordinary words, which would add up over a long text, stays out. The text's statistic is the mean
 per word, and a logistic curve turns it into a score.
 
-Counts cover every labelled row of the training folds; a fold of its own, never counted, fits
-the curve on at most ``CALIBRATION_ROWS`` rows. The model that travels to the tasks holds at
-most ``MODEL_GRAMS`` expressions per order, the most frequent ones.
+Counts cover every labelled row of the training folds, and no expression is cut: discounts,
+continuation counts and both models are computed over the whole tables. Each distinct word is
+judged once by joins with them; the words with evidence then meet the texts that have them. A
+fold of its own, never counted, fits the curve on at most ``CALIBRATION_ROWS`` rows.
 
 Defined results: a null, empty or blank text has statistic 0; repeated rows get equal scores; if
 the labels lack one of the classes every score is 0 (1 if all labels are toxic); several labels
@@ -31,9 +32,10 @@ from auditlens.llm.text import column_bytes, mix, slices, word_hashes
 
 ORDER = 6
 MARGIN = 2.5
-MODEL_GRAMS = 1 << 19
 CALIBRATION_ROWS = 20_000
 PARTS = 16
+#: Places in the filter of words with evidence: a fixed size, which changes no result.
+PLACES = 1 << 24
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 GRAMS = pa.schema([("gram_order", pa.int32()), ("gram", pa.int64()), ("plain", pa.int64()), ("toxic", pa.int64())])
@@ -123,25 +125,117 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
     return labelled.select("text", "toxic").mapInArrow(count, BLOCK_DDL).groupBy("part").applyInArrow(add, GRAMS_DDL)
 
 
-def bounded(counts: DataFrame, most: int = MODEL_GRAMS) -> DataFrame:
-    """The most frequent expressions of each order, at most ``most`` each, by whole levels of
-    frequency (steps of the square root of 2)."""
-    level = F.floor(2 * F.log2(F.col("plain") + F.col("toxic"))).cast("int")
-    cut: dict[int, int] = {}
-    total: dict[int, int] = {}
-    for k, at, n in sorted(counts.groupBy("gram_order", level.alias("level")).count().collect(), key=lambda r: -r[1]):
-        total[k] = total.get(k, 0) + n
-        if total[k] <= most:
-            cut[k] = at
-    keep = F.lit(False)
-    for k, at in cut.items():
-        keep |= (F.col("gram_order") == k) & (level >= at)
-    return counts.filter(keep)
+def models(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Log ratios (gram_order, gram, ratio) of the expressions that judge a byte, and of the
+    back-off weights (gram_order, context, back) of their contexts: ``kneser_ney`` over tables."""
+    ratios, backs, shared = None, None, None
+    of = lambda k: counts.filter(F.col("gram_order") == k).select("gram", "plain", "toxic")
+    most = lambda n, d: F.greatest(F.col(n) - d, F.lit(0.0))
+    for k in range(1, ORDER + 1):
+        rows = of(k).withColumn("both", F.col("plain") + F.col("toxic"))
+        if k == 1:
+            total = rows.agg(F.sum("both")).first()[0] or 0
+            shared = rows.select(F.col("gram").alias("suffix"), ((F.col("both") + 1) / (total + 256)).alias("lower"))
+            continue
+        opens = F.shiftright("gram", 8 * (k - 1)) == 32  # begins a word: nothing can precede it
+        rows = rows.withColumn("judges", opens | F.lit(k == ORDER)).withColumn("context", F.shiftright("gram", 8))
+        rows = rows.withColumn("suffix", F.col("gram").bitwiseAND(F.lit(int(_low(k - 1))))).join(shared, "suffix").drop("suffix")
+        if k < ORDER:
+            ways = of(k + 1).groupBy(F.col("gram").bitwiseAND(F.lit(int(_low(k)))).alias("gram")).agg(F.count("*").alias("ways"))
+            rows = rows.join(ways, "gram", "left").withColumn("both", F.when(opens, F.col("both")).otherwise(F.coalesce("ways", F.lit(0)))).drop("ways")
+        rows = stored(rows, "grams")
+        among = {"both": F.lit(True), "plain": F.col("judges"), "toxic": F.col("judges")}
+        n = rows.agg(*[F.count_if(ok & (F.col(c) == times)).alias(f"{c}{times}") for c, ok in among.items() for times in (1, 2)]).first()
+        d = {c: n[f"{c}1"] / (n[f"{c}1"] + 2 * n[f"{c}2"]) if n[f"{c}1"] else 0.5 for c in among}
+        sums = [F.sum(F.when(ok, F.col(c)).otherwise(0)).alias(f"{c}_all") for c, ok in among.items()]
+        types = [F.count_if(ok & (F.col(c) > 0)).alias(f"{c}_types") for c, ok in among.items()]
+        contexts = rows.groupBy("context").agg(*sums, *types, F.max("judges").alias("judged"))
+        weights = [F.when(F.col(f"{c}_all") > 0, d[c] * F.col(f"{c}_types") / F.col(f"{c}_all")).otherwise(1.0).alias(f"{c}_weight") for c in among]
+        contexts = stored(contexts.select("context", "judged", *[f"{c}_all" for c in among], *weights), "contexts")
+        p = {c: F.when(F.col(f"{c}_all") > 0, most(c, d[c]) / F.col(f"{c}_all")).otherwise(0.0) + F.col(f"{c}_weight") * F.col("lower") for c in among}
+        known = stored(rows.join(contexts.drop("judged"), "context").select("gram", "judges", p["both"].alias("p"), F.log(p["toxic"] / p["plain"]).alias("ratio")), "model")
+        shared = known.select(F.col("gram").alias("suffix"), F.col("p").alias("lower"))
+        ratio = known.filter("judges").select(F.lit(k).alias("gram_order"), "gram", "ratio")
+        back = contexts.filter("judged").select(F.lit(k).alias("gram_order"), "context", F.log(F.col("toxic_weight") / F.col("plain_weight")).alias("back"))
+        ratios, backs = (ratio, back) if ratios is None else (ratios.union(ratio), backs.union(back))
+    return ratios, backs
+
+
+def word_evidence(docs: DataFrame, ratios: DataFrame, backs: DataFrame) -> DataFrame:
+    """(word, evidence): the words of ``docs`` (text) whose log ratio exceeds the margin, by hash."""
+
+    def distinct(batches):
+        seen = np.zeros(0, np.uint64)
+        for batch in batches:
+            data, offsets = column_bytes(batch.column(0))
+            for lo, hi in slices(offsets):
+                part = data[offsets[lo] : offsets[hi]]
+                hashes, start, end, _ = word_hashes(part, offsets[lo : hi + 1] - offsets[lo])
+                hashes, first = np.unique(hashes, return_index=True)
+                new = ~np.isin(hashes, seen)
+                raw = _LOWER[part].tobytes()
+                words = [raw[a:b] for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist())]
+                yield pa.RecordBatch.from_arrays([pa.array(hashes[new].view(np.int64)), pa.array(words, pa.binary())], ["word", "spelt"])
+                seen = hashes[new] if len(seen) > 400_000 else np.concatenate([seen, hashes[new]])
+
+    def events(batches):
+        for batch in batches:
+            data, offsets = column_bytes(batch.column(1))
+            hashes = batch.column(0).to_numpy()
+            for lo, hi in slices(offsets):
+                part, at = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
+                grams, place, word = word_events(part, at[:-1], at[1:])
+                top = np.minimum(place + 1, ORDER)
+                for k in range(2, ORDER + 1):
+                    now = np.flatnonzero(top == k)
+                    columns = [pa.array(hashes[lo:hi][word[now]]), pa.array(np.full(len(now), k, np.int32)), pa.array(grams[k - 1][now])]
+                    yield pa.RecordBatch.from_arrays(columns, ["word", "gram_order", "gram"])
+
+    words = stored(docs.select("text").mapInArrow(distinct, "word long, spelt binary").distinct(), "words")
+    met = words.mapInArrow(events, "word long, gram_order int, gram long").withColumn("context", F.shiftright("gram", 8))
+
+    def judged(orders: str, hint) -> DataFrame:
+        some = met.filter(orders).join(hint(ratios.filter(orders)), ["gram_order", "gram"], "left")
+        some = some.join(hint(backs.filter(orders)), ["gram_order", "context"], "left")
+        return some.select("word", F.coalesce("ratio", "back", F.lit(0.0)).alias("log_ratio"))
+
+    # a word has one event of each short order, on few keys: those tables have at most 2^16 rows
+    every = judged("gram_order <= 3", F.broadcast).union(judged("gram_order > 3", lambda t: t))
+    return every.groupBy("word").agg((F.sum("log_ratio") - MARGIN).alias("evidence")).filter("evidence > 0")
+
+
+def measured(docs: DataFrame, evidence: DataFrame) -> DataFrame:
+    """doc_id, fold and statistic ``x`` of every row of ``docs`` (doc_id, fold, text)."""
+    places = np.zeros(PLACES, bool)
+    places[evidence.select(F.pmod("word", F.lit(PLACES)).cast("int").alias("at")).distinct().toArrow().column("at").to_numpy()] = True
+    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(places))
+
+    def listed(batches):
+        maybe = np.unpackbits(shared.value).view(bool)
+        for batch in batches:
+            data, offsets = column_bytes(batch.column(3))
+            for lo, hi in slices(offsets):
+                hashes, _, _, rows = word_hashes(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+                hit = np.flatnonzero(maybe[(hashes % np.uint64(PLACES)).astype(np.int64)])
+                row = np.searchsorted(rows, hit, "right") - 1
+                pairs, times = np.unique(np.stack([row.astype(np.uint64), hashes[hit]]), axis=1, return_counts=True)
+                cut = np.searchsorted(pairs[0], np.arange(hi - lo + 1).astype(np.uint64))
+                have = [pa.LargeListArray.from_arrays(pa.array(cut, pa.int64()), pa.array(v, pa.int64())).cast(pa.list_(pa.int64())) for v in (pairs[1].view(np.int64), times)]
+                own = batch.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays([*own.columns[:3], pa.array(np.diff(rows), pa.int64()), *have], ["uid", "doc_id", "fold", "n", "words", "times"])
+
+    keyed = docs.select(F.xxhash64("doc_id", "text").alias("uid"), "doc_id", "fold", "text")
+    rows = stored(keyed.mapInArrow(listed, "uid long, doc_id long, fold int, n long, words array<long>, times array<long>"), "text-words")
+    pairs = rows.filter(F.size("words") > 0).select("uid", F.explode(F.arrays_zip("words", "times")).alias("w")).select("uid", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
+    sums = pairs.distinct().join(evidence, "word").groupBy("uid").agg(F.sum(F.col("times") * F.col("evidence")).alias("sum"))
+    x = F.coalesce("sum", F.lit(0.0)) / F.greatest("n", F.lit(1))
+    return rows.select("uid", "doc_id", "fold", "n").join(sums, "uid", "left").select("doc_id", "fold", x.alias("x"))
 
 
 def kneser_ney(order: np.ndarray, gram: np.ndarray, plain: np.ndarray, toxic: np.ndarray) -> dict:
-    """Tables of log ratios for lookup: of the expressions that judge a byte, and of the
-    back-off weights of their contexts for bytes that never followed them."""
+    """``models`` of small counts in memory, as tables for lookup: log ratios of the expressions
+    that judge a byte, and of the back-off weights of their contexts for bytes that never
+    followed them."""
     raw, shared = {}, {}
     model: dict = {"grams": {}, "ratio": {}, "contexts": {}, "back": {}}
     for k in range(1, ORDER + 1):
@@ -246,43 +340,33 @@ def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return w[0] / scale, w[1]
 
 
-def _curve(own: DataFrame, shared) -> tuple[float, float]:
+def _curve(own: DataFrame) -> tuple[float, float]:
     """Logistic curve over a hash sample of labelled rows that the model did not count."""
     n = own.count()
     if n > CALIBRATION_ROWS:
         own = own.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * CALIBRATION_ROWS / n))
-
-    def measure(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(statistics(shared.value, batch.column(0))), batch.column(1)], ["x", "y"])
-
-    fitted = own.select("text", "toxic").mapInArrow(measure, "x double, y int").toPandas()
-    y = fitted["y"].to_numpy(float)
-    return logistic(fitted["x"].to_numpy(), y) if 0 < y.sum() < len(y) else (100.0, -1.0)
+    fitted = own.select("x", "toxic").toPandas()
+    y = fitted["toxic"].to_numpy(float)
+    return logistic(fitted["x"].to_numpy(float), y) if 0 < y.sum() < len(y) else (100.0, -1.0)
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted and the statistic of every row of ``docs`` (doc_id, text)."""
-    spark = tuned(docs.sparkSession)
+    tuned(docs.sparkSession)
     doc_id = F.col("doc_id").cast("long")
-    fold = F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))), F.lit(5))
+    fold = F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))), F.lit(5)).cast("int")
     toxic = labels.filter("toxic IS NOT NULL").groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
-    labelled = docs.select("doc_id", "text", fold.alias("fold")).filter("fold != 0").join(toxic.hint("merge"), "doc_id")
-    counts = stored(gram_counts(labelled.filter("fold != 4")), "gram-counts")
-    rows = bounded(counts).toArrow()
-    order, gram, plain, tox = (rows.column(c).to_numpy() for c in GRAMS.names)
-    known = int(plain[order == 1].sum()) if len(order) else 0, int(tox[order == 1].sum()) if len(order) else 0
-    model = kneser_ney(order, gram, plain, tox) if all(known) else None
-    shared = spark.sparkContext.broadcast(model)
-    slope, intercept = _curve(labelled.filter("fold = 4"), shared) if model else (0.0, 500.0 if known[1] else -500.0)
-
-    def score(batches):
-        for batch in batches:
-            known = shared.value
-            x = statistics(known, batch.column(2)) if known else np.zeros(batch.num_rows)
-            s = 1 / (1 + np.exp(-np.clip(slope * x + intercept, -500, 500)))
-            columns = [batch.column(0), batch.column(1), pa.array(s), pa.array((s >= 0.5).astype(np.int32)), pa.array(x)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "score", "predicted", "mean_evidence"])
-
-    everything = docs.select(doc_id.alias("doc_id"), (fold == 0).alias("held_out"), "text")
-    return everything.mapInArrow(score, "doc_id long, held_out boolean, score double, predicted int, mean_evidence double")
+    rows = docs.select(doc_id.alias("doc_id"), fold.alias("fold"), "text")
+    labelled = rows.filter("fold NOT IN (0, 4)").join(toxic.hint("merge"), "doc_id")
+    counts = stored(gram_counts(labelled), "gram-counts")
+    known = counts.filter("gram_order = 1").agg(F.coalesce(F.sum("plain"), F.lit(0)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    if all(known):
+        evidence = stored(word_evidence(rows, *models(counts)), "word-evidence")
+        found = stored(measured(rows, evidence), "measured")
+        slope, intercept = _curve(found.filter("fold = 4").join(toxic.hint("merge"), "doc_id"))
+    else:
+        found = rows.select("doc_id", "fold", F.lit(0.0).alias("x"))
+        slope, intercept = 0.0, 500.0 if known[1] else -500.0
+    score = 1 / (1 + F.exp(-F.greatest(F.least(F.col("x") * float(slope) + float(intercept), F.lit(500.0)), F.lit(-500.0))))
+    found = found.withColumn("score", score)
+    return found.select("doc_id", (F.col("fold") == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.col("x").alias("mean_evidence"))

@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -255,6 +256,24 @@ def test_models_are_distributions():
     assert all(np.allclose(r, 0) for r in model["ratio"].values())  # equal classes: no evidence
 
 
+def test_no_expression_is_cut(spark, docs):
+    """The models over tables, and the statistics from joins, equal those of all counts in memory."""
+    texts = [(i, i % 4 + 1, prose(i, 200) + (" Zyxwv é" if i % 3 == 0 else ""), int(i % 3 == 0)) for i in range(30)] + [(30, 0, "", 0), (31, 0, None, 0), (0, 1, prose(0, 200) + " Zyxwv é", 1)]
+    frame = spark.createDataFrame(texts, "doc_id long, fold int, text string, toxic int")
+    counts = toxicity.gram_counts(frame).localCheckpoint()
+    whole = counts.toArrow()
+    model = toxicity.kneser_ney(*(whole.column(c).to_numpy() for c in ("gram_order", "gram", "plain", "toxic")))
+    ratios, backs = toxicity.models(counts)
+    for table, names, values in ((ratios, "grams", "ratio"), (backs, "contexts", "back")):
+        got = {(r[0], r[1]): r[2] for r in table.collect()}
+        want = {(k, int(g)): v for k in model[names] for g, v in zip(model[names][k], model[values][k])}
+        assert got.keys() == want.keys() and all(abs(got[g] - v) < 1e-9 for g, v in want.items())
+    rows = sorted((r["doc_id"], r["x"]) for r in toxicity.measured(frame.select("doc_id", "fold", "text"), toxicity.word_evidence(frame, ratios, backs)).collect())
+    want = toxicity.statistics(model, pa.array([t[2] for t in texts], pa.string()))
+    assert max(want) > 0 and np.allclose([x for _, x in rows], [x for _, x in sorted(zip((t[0] for t in texts), want))], atol=1e-9)
+    assert not hasattr(toxicity, "MODEL_GRAMS")
+
+
 def test_languages_of_switched_text(spark, docs, nothing):
     rng, rows = random.Random(2), []
     stems = {"en": ["the", "thing", "wash", "then", "ight"], "fr": ["eau", "que", "ment", "ière", "oux"]}
