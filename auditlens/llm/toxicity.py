@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auditlens.llm.packed import BLOCK_DDL, scatter, stored, tuned, unpack
+from auditlens.llm.packed import BLOCK, BLOCK_DDL, pack, parts_of, scatter, stored, tuned, unpack
 from auditlens.llm.text import column_bytes, mix, slices, word_hashes
 
 ORDER = 6
@@ -161,47 +161,80 @@ def models(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
     return ratios, backs
 
 
+SPELT = pa.schema([("word", pa.int64()), ("spelt", pa.binary())])
+
+
 def word_evidence(docs: DataFrame, ratios: DataFrame, backs: DataFrame) -> DataFrame:
-    """(word, evidence): the words of ``docs`` (text) whose log ratio exceeds the margin, by hash."""
+    """(word, evidence): the words of ``docs`` (text) whose log ratio exceeds the margin, by hash.
+    Distinct words are dealt to destinations; each asks for its own distinct expressions."""
+    parts = parts_of(docs.sparkSession)
 
     def distinct(batches):
-        seen = np.zeros(0, np.uint64)
-        for batch in batches:
-            data, offsets = column_bytes(batch.column(0))
-            for lo, hi in slices(offsets):
-                part = data[offsets[lo] : offsets[hi]]
-                hashes, start, end, _ = word_hashes(part, offsets[lo : hi + 1] - offsets[lo])
-                hashes, first = np.unique(hashes, return_index=True)
-                new = ~np.isin(hashes, seen)
-                raw = _LOWER[part].tobytes()
-                words = [raw[a:b] for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array(hashes[new].view(np.int64)), pa.array(words, pa.binary())], ["word", "spelt"])
-                seen = hashes[new] if len(seen) > 400_000 else np.concatenate([seen, hashes[new]])
-
-    def events(batches):
+        def tables():
+            seen = np.zeros(0, np.uint64)
+            for batch in batches:
+                data, offsets = column_bytes(batch.column(0))
+                for lo, hi in slices(offsets):
+                    part = data[offsets[lo] : offsets[hi]]
+                    hashes, start, end, _ = word_hashes(part, offsets[lo : hi + 1] - offsets[lo])
+                    hashes, first = np.unique(hashes, return_index=True)
+                    new = ~np.isin(hashes, seen)
+                    raw = _LOWER[part].tobytes()
+                    words = [raw[a:b] for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist())]
+                    yield (mix(hashes[new]) % np.uint64(parts)).astype(np.int32), pa.table([pa.array(hashes[new].view(np.int64)), pa.array(words, pa.binary())], schema=SPELT)
+                    seen = hashes[new] if len(seen) > 400_000 else np.concatenate([seen, hashes[new]])
+
+        yield from scatter(tables())
+
+    def once(group: pa.Table) -> pa.Table:
+        rows = unpack(group.column("block"))
+        first = np.unique(rows.column("word").to_numpy(), return_index=True)[1]
+        return pa.table([group.column("part")[:1].cast(pa.int32()), pa.array([pack(rows.take(pa.array(first)))], pa.binary())], schema=BLOCK)
+
+    def events(table: pa.Table):
+        """Words, and for each order of the judging expressions: the expressions, and their words."""
+        data, offsets = column_bytes(table.column("spelt"))
+        for lo, hi in slices(offsets):
+            part, at = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
+            grams, place, word = word_events(part, at[:-1], at[1:])
+            top = np.minimum(place + 1, ORDER)
+            for k in range(2, ORDER + 1):
+                now = np.flatnonzero(top == k)
+                yield k, grams[k - 1][now], lo + word[now]
+
+    def asked(batches):
         for batch in batches:
-            data, offsets = column_bytes(batch.column(1))
-            hashes = batch.column(0).to_numpy()
-            for lo, hi in slices(offsets):
-                part, at = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
-                grams, place, word = word_events(part, at[:-1], at[1:])
-                top = np.minimum(place + 1, ORDER)
-                for k in range(2, ORDER + 1):
-                    now = np.flatnonzero(top == k)
-                    columns = [pa.array(hashes[lo:hi][word[now]]), pa.array(np.full(len(now), k, np.int32)), pa.array(grams[k - 1][now])]
-                    yield pa.RecordBatch.from_arrays(columns, ["word", "gram_order", "gram"])
-
-    words = stored(docs.select("text").mapInArrow(distinct, "word long, spelt binary").distinct(), "words")
-    met = words.mapInArrow(events, "word long, gram_order int, gram long").withColumn("context", F.shiftright("gram", 8))
-
-    def judged(orders: str, hint) -> DataFrame:
-        some = met.filter(orders).join(hint(ratios.filter(orders)), ["gram_order", "gram"], "left")
-        some = some.join(hint(backs.filter(orders)), ["gram_order", "context"], "left")
-        return some.select("word", F.coalesce("ratio", "back", F.lit(0.0)).alias("log_ratio"))
-
-    # a word has one event of each short order, on few keys: those tables have at most 2^16 rows
-    every = judged("gram_order <= 3", F.broadcast).union(judged("gram_order > 3", lambda t: t))
-    return every.groupBy("word").agg((F.sum("log_ratio") - MARGIN).alias("evidence")).filter("evidence > 0")
+            for part, block in zip(batch.column(0).to_pylist(), batch.column(1)):
+                have: dict[int, list] = {}
+                for k, gram, _ in events(unpack([block])):
+                    have.setdefault(k, []).append(np.unique(gram))
+                for k, some in have.items():
+                    gram = np.unique(np.concatenate(some))
+                    columns = [np.full(len(gram), part, np.int32), np.full(len(gram), k, np.int32), gram]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["part", "gram_order", "gram"])
+
+    def judge(left: pa.Table, right: pa.Table) -> pa.Table:
+        words = unpack(left.column("block"))
+        if words is None:
+            return pa.table({"word": pa.array([], pa.int64()), "evidence": pa.array([], pa.float64())})
+        order, gram, value = (right.column(c).to_numpy() for c in ("gram_order", "gram", "value"))
+        known = {}
+        for k in range(2, ORDER + 1):
+            at = np.flatnonzero(order == k)
+            at = at[np.argsort(gram[at])]
+            known[k] = gram[at], value[at]
+        total = np.zeros(words.num_rows)
+        for k, now, word in events(words):
+            at = _find(known[k][0], now)
+            total += np.bincount(word[at >= 0], known[k][1][at[at >= 0]], minlength=len(total))
+        keep = total > MARGIN
+        return pa.table({"word": pa.array(words.column("word").to_numpy()[keep]), "evidence": pa.array(total[keep] - MARGIN)})
+
+    words = stored(docs.select("text").mapInArrow(distinct, BLOCK_DDL).groupBy("part").applyInArrow(once, BLOCK_DDL), "words")
+    wanted = words.mapInArrow(asked, "part int, gram_order int, gram long").withColumn("context", F.shiftright("gram", 8))
+    met = wanted.join(ratios, ["gram_order", "gram"], "left").join(backs, ["gram_order", "context"], "left")
+    met = met.select("part", "gram_order", "gram", F.coalesce("ratio", "back").alias("value")).filter("value IS NOT NULL")
+    return words.groupBy("part").cogroup(met.groupBy("part")).applyInArrow(judge, "word long, evidence double")
 
 
 def measured(docs: DataFrame, evidence: DataFrame) -> DataFrame:
