@@ -8,7 +8,8 @@ buckets that near in each index finds every code within r. What is found is rera
 distances of the original vectors. The radius is learned on the sample: the Hamming distance
 within which ``COVERED`` of true neighbours lie. A query that finds too few goes through all buckets.
 
-Indexes are blocks of rows dealt by bucket (a full bucket is spread by id), queries are blocks too,
+Indexes are blocks of rows dealt by bucket (a full bucket is spread by id over as many blocks as
+its measured count asks for), queries are blocks too,
 and every query block meets every index block: no task holds all queries or a whole index. Of
 equal vectors only as many copies as an answer can hold are searched, those with the smallest ids,
 and equal queries are searched once.
@@ -77,6 +78,16 @@ def _bucket(codes: np.ndarray, first: int, length: int) -> np.ndarray:
     return (codes >> np.uint64(first)) & np.uint64((1 << length) - 1)
 
 
+def fans(counts: np.ndarray, per_table: int) -> np.ndarray:
+    """Blocks over which buckets with so many rows are spread: an eighth of INDEX_ROWS each."""
+    return np.clip(-(-8 * counts // INDEX_ROWS), 1, per_table)
+
+
+def dealt(bucket: np.ndarray, ids: np.ndarray, fan: np.ndarray, per_table: int) -> np.ndarray:
+    """Block of each row; the blocks of one bucket are neighbours, so they all differ."""
+    return (mix(bucket) % np.uint64(per_table) + mix(ids.view(np.uint64)) % fan[bucket.astype(np.int64)].astype(np.uint64)) % np.uint64(per_table)
+
+
 def probe(model: dict, table: int, index: dict, code: np.uint64, radius: int) -> np.ndarray:
     """Rows of one index block within the radius that earlier substrings do not find."""
     parts = substrings(model["bits"])
@@ -157,6 +168,25 @@ def nearest(vectors: DataFrame, queries, k: int = 10) -> DataFrame:
         values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float32).reshape(len(column), -1)
         return values.astype(np.float64), pa.array([v.tobytes() for v in values], pa.binary())
 
+    def count(batches):
+        pieces = substrings(model["bits"])
+        have = [np.zeros(1 << length, np.int64) for _, length in pieces]
+        for batch in batches:
+            if batch.num_rows:
+                codes = encode(model, flat(batch.column(0))[0])
+                for n, piece in zip(have, pieces):
+                    n += np.bincount(_bucket(codes, *piece).astype(np.int64), minlength=len(n))
+        for t, n in enumerate(have):
+            full = np.flatnonzero(n)
+            columns = [pa.array(np.full(len(full), t, np.int32)), pa.array(full), pa.array(n[full])]
+            yield pa.RecordBatch.from_arrays(columns, ["table", "bucket", "n"])
+
+    sizes = searched.select("embedding").mapInArrow(count, "table int, bucket long, n long").groupBy("table", "bucket").agg(F.sum("n").alias("n"))
+    large = sizes.filter(F.col("n") * 8 > INDEX_ROWS).toArrow()  # few: they add up to the rows
+    fan = [np.ones(1 << length, np.int64) for _, length in substrings(model["bits"])]
+    for t, bucket, n in zip(*(large.column(c).to_pylist() for c in ("table", "bucket", "n"))):
+        fan[t][bucket] = fans(np.array(n), per_table)
+
     def index(batches):
         for batch in batches:
             if not batch.num_rows:
@@ -165,7 +195,7 @@ def nearest(vectors: DataFrame, queries, k: int = 10) -> DataFrame:
             codes, ids = encode(model, x), batch.column(0).to_numpy()
             block = pa.table({"vec_id": batch.column(0), "code": pa.array(codes), "x": raw})
             for t, piece in enumerate(substrings(model["bits"])):
-                part = mix(_bucket(codes, *piece) * np.uint64(8) + (ids & 7).astype(np.uint64)) % np.uint64(per_table)
+                part = dealt(_bucket(codes, *piece), ids, fan[t], per_table)
                 for p in np.unique(part):
                     rows = block.filter(pa.array(part == p))
                     yield pa.RecordBatch.from_arrays([pa.array([t], pa.int32()), pa.array([int(p)], pa.int32()), pa.array([pack(rows)], pa.binary())], ["table", "part", "block"])
