@@ -6,7 +6,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlens.llm import bpe, html_extract, language_id, mixing, neighbours, ngram_join, quality, suffix_dedup, toxicity, warc
+from auditlens.llm import (
+    bpe,
+    hard_negatives,
+    html_extract,
+    language_id,
+    mixing,
+    neighbours,
+    ngram_join,
+    packing,
+    quality,
+    suffix_dedup,
+    toxicity,
+    warc,
+)
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -76,3 +89,19 @@ def op10_language_id(spark, sf_dir):
 @query
 def op5_nearest_neighbours(spark, sf_dir):
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(100)) == 0)
+
+
+@query
+def op12_hard_negatives(spark, sf_dir):
+    marked = F.col("vec_id") % 7 == 0
+    label = F.when(marked, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mined(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+ORACLES["op12_hard_negatives"] = hard_negatives.ORACLE_SQL
+
+
+@query
+def op13_best_fit_packing(spark, sf_dir):
+    ranks, special = public_tokenizers.path("byte_bpe_50k.tiktoken"), {"<|endoftext|>": 50256}
+    return packing.packed(packing.pieces(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, special))
