@@ -52,12 +52,16 @@ def _matrix(column: pa.ChunkedArray, width: int, kind) -> np.ndarray:
     return out
 
 
+def lowest(kind):
+    return -np.inf if kind is np.float64 else np.iinfo(kind).min
+
+
 class _Best:
     """The first k (score descending, id ascending) of every (anchor, slot) so far."""
 
-    def __init__(self, anchors: int, slots: int, k: int):
-        self.k, self.slots, self.least = k, slots, np.full(anchors * slots, -np.inf)
-        self.rows = [np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)]
+    def __init__(self, anchors: int, slots: int, k: int, kind):
+        self.k, self.slots, self.least = k, slots, np.full(anchors * slots, lowest(kind))
+        self.rows = [np.zeros(0, np.int64), np.zeros(0, kind), np.zeros(0, np.int64)]
         self.waiting, self.size = [], 0
 
     def add(self, anchor: np.ndarray, slot: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
@@ -114,10 +118,10 @@ def _search(width: int, exact: bool, k: int, limits: int):
                     if limits:
                         upper = got.column("limits").combine_chunks()
                         size = upper.value_lengths().to_numpy(zero_copy_only=False)
-                        table["upper"] = np.full((len(size), limits), -np.inf)
+                        table["upper"] = np.full((len(size), limits), lowest(kind))
                         table["upper"][np.arange(limits) < size[:, None]] = upper.flatten().to_numpy(zero_copy_only=False)
-                        table["low"] = np.array([float(-(-4 * min(v) // 5)) for v in upper.to_pylist()])
-                    best = _Best(len(table["label"]), limits or 1, k)
+                        table["low"] = np.array([-(-4 * min(v) // 5) for v in upper.to_pylist()], kind)
+                    best = _Best(len(table["label"]), limits or 1, k, kind)
                 rows = unpack([block])
                 ids, label, x = rows.column("vec_id").to_numpy(), rows.column("label").to_numpy(), _matrix(rows.column("x"), width, kind)
                 step = max(1, TILE // len(table["label"]))

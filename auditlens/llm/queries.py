@@ -15,6 +15,7 @@ from auditlens.llm import (
     neighbours,
     ngram_join,
     packing,
+    prefix_trie,
     quality,
     suffix_dedup,
     toxicity,
@@ -105,3 +106,11 @@ ORACLES["op12_hard_negatives"] = hard_negatives.ORACLE_SQL
 def op13_best_fit_packing(spark, sf_dir):
     ranks, special = public_tokenizers.path("byte_bpe_50k.tiktoken"), {"<|endoftext|>": 50256}
     return packing.packed(packing.pieces(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, special))
+
+
+@query
+def op11_conversation_trie(spark, sf_dir):
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op11_conversation_trie"] = prefix_trie.ORACLE_SQL
