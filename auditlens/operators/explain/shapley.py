@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import random
+import hashlib
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from auditlens.functions.expr import constant_rows, hash_long, ratio
+from auditlens.functions.expr import hash_long, hash_unit, ratio
 from auditlens.operators.ordering import hash_sample
 from auditlens.operators.scorers import AdditiveScorer
 
@@ -15,7 +15,10 @@ BACKGROUND_ROWS = 100
 
 
 def background(df: DataFrame, id_col: str, rows: int = BACKGROUND_ROWS, seed: int = 42) -> DataFrame:
-    return hash_sample(df, id_col, rows, seed)
+    """Sampled reference rows, in the order of their hashes in one partition: sums over them do not
+    depend on how the table was split. At most some hundred."""
+    few = hash_sample(df, id_col, rows, seed)
+    return few.orderBy(hash_unit(id_col, F.lit(seed)), id_col).limit(rows)
 
 
 def additive_attributions(df: DataFrame, scorer: AdditiveScorer, id_col: str, reference: DataFrame) -> DataFrame:
@@ -34,66 +37,56 @@ def additive_attributions(df: DataFrame, scorer: AdditiveScorer, id_col: str, re
     )
 
 
-def _orders(features: list[str], pairs: int, seed: int) -> list[list[str]]:
-    """``pairs`` random feature orders, each followed by its reverse."""
-    draw = random.Random(seed)
+def walks(features: list[str], rows: int, seed: int) -> list[list[int]]:
+    """Place (from 1) of every feature in the order of each walk. Orders are drawn from md5; an odd
+    walk goes the order of the walk before it in reverse."""
     out = []
-    for _ in range(pairs):
-        order = list(features)
-        draw.shuffle(order)
-        out += [order, order[::-1]]
+    for w in range(rows):
+        order = sorted(features, key=lambda f: hashlib.md5(f"{w // 2}|{f}|{seed}".encode()).hexdigest())
+        if w % 2:
+            order.reverse()
+        out.append([order.index(f) + 1 for f in features])
     return out
 
 
-def sampled_attributions(
-    df: DataFrame, scorer, id_col: str, reference: DataFrame, pairs: int = 5, seed: int = 42
-) -> DataFrame:
-    """Shapley values of any scorer by feature orders: each row walks from a background row to
-    itself, one feature at a time, along 2 x ``pairs`` orders.
+def sampled_attributions(df: DataFrame, scorer, id_col: str, reference: DataFrame, seed: int = 42) -> DataFrame:
+    """Shapley values of any scorer by paired coalition regression.
 
-    Explode factor 2 x pairs x (features + 1). The walks of a row lie in one task, so they
-    are added up before the shuffle. The base value is the mean score of the whole background,
-    one number for all rows; what a row's own draws leave between it and their mean is shared
-    equally by the features, so attributions sum to score - base_value exactly.
-    ``reference`` is at most some hundred rows and travels as one array.
+    The coalitions of a walk are the prefixes of an order, those of its pair the prefixes of the
+    reversed order, which are the complements. In coordinates of prefix sums the Gram matrix of the
+    kernel-weighted least squares over such a pair, constrained to add up to score minus base, is
+    diagonal and the same constant for every pair, so the solution needs no solve: an attribution is
+    the mean difference of the score with and without the feature along the walks, a sum per row.
+
+    Every row goes one walk from every background row, and its id shifts which walk that is, so each
+    background row and each walk is used once per row. Hence attributions add up to score minus
+    base_value, the mean score of the whole background; an additive scorer gets its exact values; and
+    a feature that the scorer ignores gets 0, its two sums being the same numbers in the same order.
+
+    Explode factor rows of ``reference`` x (features + 1). A row's walks lie in one task and are
+    added up before the shuffle. ``reference`` is at most some hundred rows and travels as one array;
+    ``id_col`` is unique.
     """
     features = scorer.inputs
-    orders = _orders(features, pairs, seed)
-    share = 1.0 / len(orders)
-    entries = []
-    for i, order in enumerate(orders):
-        for k in range(len(order) + 1):
-            taken = set(order[:k])
-            entry = {"_o": i, "_b": share if k == 0 else 0.0}
-            for f in features:
-                at = order.index(f)
-                entry[f"in_{f}"] = f in taken
-                entry[f"w_{f}"] = share * ((at == k - 1) - (at == k))
-            entries.append(entry)
-    schema = ", ".join(["_o int", "_b double", *[f"in_{f} boolean, w_{f} double" for f in features]])
     rows = reference.agg(F.array_sort(F.collect_list(F.struct(F.col(id_col).alias("_id"), *features)))).scalar()
-    start = df.select(
-        id_col,
-        *[F.col(f).alias(f"x_{f}") for f in features],
-        hash_long(id_col, F.lit(seed)).alias("_h"),
-        rows.alias("_bg"),
-    )
-    walk = start.select("*", F.inline(constant_rows(entries, schema))).withColumn(
-        "_r", F.get("_bg", F.pmod(F.col("_h") + F.col("_o") * 7919, F.size("_bg")).cast("int"))
-    )
-    mixed = walk.select(
-        id_col,
-        "_b",
-        *[f"w_{f}" for f in features],
-        *[F.when(F.col(f"in_{f}"), F.col(f"x_{f}")).otherwise(F.col("_r")[f]).alias(f) for f in features],
-    )
-    s = F.col("score")
-    walked = scorer.score(mixed).groupBy(id_col).agg(
-        F.sum(s * F.col("_b")).alias("_drawn"), *[F.sum(s * F.col(f"w_{f}")).alias(f"phi_{f}") for f in features]
+    n = reference.count()
+    places = F.expr("array(" + ", ".join(f"array({', '.join(map(str, w))})" for w in walks(features, n, seed)) + ")")
+    own = [F.col(f).alias(f"_x{i}") for i, f in enumerate(features)]
+    start = df.select(id_col, *own, hash_long(id_col, F.lit(seed)).alias("_h"), rows.alias("_bg"))
+    met = start.select("*", F.posexplode("_bg").alias("_r", "_b"))
+    met = met.withColumn("_p", F.get(places, F.pmod(F.col("_r") + F.col("_h"), F.lit(n)).cast("int")))
+    walk = met.select("*", F.explode(F.sequence(F.lit(0), F.lit(len(features)))).alias("_k"))
+    place = [F.get("_p", F.lit(i)) for i in range(len(features))]
+    mixed = [F.when(p <= F.col("_k"), F.col(f"_x{i}")).otherwise(F.col("_b")[f]).alias(f) for i, (f, p) in enumerate(zip(features, place))]
+    scored = scorer.score(walk.select(id_col, "_k", "_p", *mixed))
+    s, k = F.col("score"), F.col("_k")
+    sums = scored.groupBy(id_col).agg(
+        F.sum(F.when(k == 0, s)).alias("_base"),
+        *[F.sum(F.when(p == k, s)).alias(f"_with{i}") for i, p in enumerate(place)],
+        *[F.sum(F.when(p == k + 1, s)).alias(f"_without{i}") for i, p in enumerate(place)],
     )
-    base = scorer.score(reference.drop("score")).agg(F.avg("score")).first()[0]
-    rest = (F.col("_drawn") - F.lit(base)) / len(features)
-    return walked.select(id_col, F.lit(base).alias("base_value"), *[(F.col(f"phi_{f}") + rest).alias(f"phi_{f}") for f in features])
+    mean = [((F.col(f"_with{i}") - F.col(f"_without{i}")) / n).alias(f"phi_{f}") for i, f in enumerate(features)]
+    return sums.select(id_col, (F.col("_base") / n).alias("base_value"), *mean)
 
 
 def long_attributions(wide: DataFrame, features: list[str], id_col: str) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import GBTClassificationModel, LinearSVCModel, LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,18 +46,35 @@ class AdditiveScorer(ExprScorer):
 class MLScorer:
     """Scorer backed by a fitted Spark ML model.
 
-    Uses the positive-class probability if the model yields one, else the sigmoid of its
-    raw margin, else the prediction itself (a regression value or a degenerate 0/1 score).
+    ``output`` "score" is the positive-class probability if the model yields one, else the sigmoid
+    of its raw margin, else the prediction itself (a regression value or a degenerate 0/1 score).
+    ``output`` "margin" is the log-odds scale: the raw margin of a linear classifier, twice that of
+    boosted trees (whose logistic loss is over labels -1 and 1), the logit of a probability otherwise.
     """
 
-    def __init__(self, model: PipelineModel, inputs: list[str]):
+    def __init__(self, model: PipelineModel, inputs: list[str], output: str = "score"):
+        if output not in ("score", "margin"):
+            raise ValueError(f"output is 'score' or 'margin', not {output!r}")
         self.model = model
         self.inputs = list(inputs)
+        self.output = output
+
+    def _margin(self, made: list[str]) -> Column:
+        last = self.model.stages[-1]
+        if isinstance(last, (GBTClassificationModel, LogisticRegressionModel, LinearSVCModel)):
+            raw = vector_to_array(F.col(last.getRawPredictionCol()))[1]
+            return raw * 2.0 if isinstance(last, GBTClassificationModel) else raw
+        if "probability" not in made:
+            raise ValueError("a model without probabilities has no margin")
+        p = vector_to_array(F.col("probability"))[1]
+        return F.log(p / (1.0 - p))
 
     def score(self, df: DataFrame) -> DataFrame:
         out = self.model.transform(df)
         made = [c for c in out.columns if c not in df.columns]
-        if "probability" in made:
+        if self.output == "margin":
+            value = self._margin(made)
+        elif "probability" in made:
             value = vector_to_array(F.col("probability"))[1]
         elif "rawPrediction" in made:
             value = sigmoid(vector_to_array(F.col("rawPrediction"))[1])

@@ -8,7 +8,7 @@ from auditlens.operators import profile, split
 from auditlens.operators.explain import dependence, local_linear, permutation, shapley
 from auditlens.plans.frames import rounded
 from auditlens.plans.registry import query
-from auditlens.plans.sql import draw, model, on_loans, r, unit
+from auditlens.plans.sql import draw, margin, model, on_loans, r, unit
 from auditlens.session import fresh_path
 from auditlens.sources import tables
 from auditlens.sources.loans import (
@@ -288,10 +288,36 @@ def explain_additive_attributions(spark, sf_dir):
     return rounded(long_phi(spark, sf_dir))
 
 
-@query("explain_sampled_attributions")
+def _mixed(c: str) -> str:
+    return f"CASE WHEN p_{c} <= k THEN ok.{c} ELSE bg.{c} END AS {c}"
+
+
+WALKS = f"""bg AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY loan_id) - 1 AS r FROM (SELECT * FROM ok ORDER BY {unit('loan_id', '42')}, loan_id LIMIT 100)),
+  od AS (SELECT w, feature, row_number() OVER (PARTITION BY w ORDER BY md5((w // 2) || '|' || feature || '|42')) AS p
+    FROM range(100) t(w), (VALUES {", ".join(f"('{c}')" for c in SCORER_INPUTS)}) f(feature)),
+  pl AS (SELECT w, {", ".join(f"max(CASE WHEN feature = '{c}' THEN CASE WHEN w % 2 = 0 THEN p ELSE {len(SCORER_INPUTS) + 1} - p END END) AS p_{c}" for c in SCORER_INPUTS)}
+    FROM od GROUP BY w),
+  wk AS MATERIALIZED (SELECT h, r, k, pl.* FROM range(100) a(h), range(100) b(r), range({len(SCORER_INPUTS) + 1}) c(k) JOIN pl ON pl.w = (r + h) % 100),
+  mx AS (SELECT ok.loan_id, k, {", ".join(f"p_{c}" for c in SCORER_INPUTS)}, {", ".join(_mixed(c) for c in SCORER_INPUTS)}
+    FROM (SELECT *, {draw('loan_id', '42')} % 100 AS h FROM ok) ok JOIN wk ON wk.h = ok.h JOIN bg ON bg.r = wk.r),
+  vs AS (SELECT *, {margin()} AS s FROM mx)"""
+
+
+def _difference(c: str) -> str:
+    value = f"(sum(s) FILTER (WHERE p_{c} = k) - sum(s) FILTER (WHERE p_{c} = k + 1)) / 100"
+    return f"{r(value, 11)} AS phi_{c}"
+
+
+@query(
+    "explain_sampled_attributions",
+    on_loans(
+        f"WITH {WALKS} SELECT loan_id, {r('sum(s) FILTER (WHERE k = 0) / 100', 11)} AS base_value, "
+        f"{', '.join(_difference(c) for c in SCORER_INPUTS)} FROM vs GROUP BY loan_id"
+    ),
+)
 def explain_sampled_attributions(spark, sf_dir):
     df = complete_loans(spark, sf_dir)
-    return shapley.sampled_attributions(df, MARGIN_SCORER, ID, shapley.background(df, ID))
+    return rounded(shapley.sampled_attributions(df, MARGIN_SCORER, ID, shapley.background(df, ID)), 11)
 
 
 IMPORTANCE_OUT = f"feature, {r('importance')} AS importance, {r('mean_shap')} AS mean_shap, {r('std_shap')} AS std_shap"
