@@ -1 +1,8 @@
-"""Model audit on Spark: cleaning, metrics, explanation and fairness as DataFrame plans."""
+"""Model audit on Spark. Functions that run in Python workers travel by value, so workers need not
+have this package."""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -2,24 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
-from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import (
-    CountVectorizer,
-    NGram,
-    OneHotEncoder,
-    RegexTokenizer,
-    StringIndexer,
-    VectorAssembler,
-)
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auditlens.functions.expr import cubic_basis
-from auditlens.operators.ordering import fit_quantiles, with_lookup
-from auditlens.operators.profile import bounded_distinct_counts
-from auditlens.session import stored
+from auditlens.operators.ordering import fit_quantiles
 
 ONE_HOT_LIMIT = 40
 
@@ -60,7 +48,7 @@ def standardise(df: DataFrame, cols: list[str], train: DataFrame) -> DataFrame:
 
 def fit_categories(train: DataFrame, cols: list[str]) -> dict[str, list[str]]:
     """Sorted distinct values per column, from one pass; each becomes a column of the result, so
-    a text with very many values belongs to ``vector_stages`` or ``topic_features``."""
+    a text with very many values belongs to ``topics.fit_topics``."""
     pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in cols])
     out: dict[str, list[str]] = {c: [] for c in cols}
     if cols:
@@ -69,13 +57,14 @@ def fit_categories(train: DataFrame, cols: list[str]) -> dict[str, list[str]]:
     return {c: sorted(values) for c, values in out.items()}
 
 
+def hot_columns(categories: dict[str, list[str]]) -> dict[str, Column]:
+    """0/1 columns ``<column>_<value>``; unknown or missing gives all 0."""
+    return {f"{c}_{v}": F.coalesce((F.col(f"`{c}`") == v).cast("int"), F.lit(0)) for c, values in categories.items() for v in values}
+
+
 def one_hot(df: DataFrame, categories: dict[str, list[str]], keep: list[str]) -> DataFrame:
     """One 0/1 column ``<column>_<value>`` per trained value; unknown or missing gives all 0."""
-    made = []
-    for c, values in categories.items():
-        for v in values:
-            made.append(F.coalesce((F.col(c) == v).cast("int"), F.lit(0)).alias(f"{c}_{v}"))
-    return df.select(*keep, *made)
+    return df.select(*keep, *[made.alias(name) for name, made in hot_columns(categories).items()])
 
 
 def align(df: DataFrame, trained: list[str], keep: list[str]) -> DataFrame:
@@ -119,34 +108,3 @@ def feature_names(df: DataFrame, col: str = "features") -> list[str]:
     attrs = df.schema[col].metadata["ml_attr"]["attrs"]
     slots = [a for group in attrs.values() for a in group]
     return [a.get("name", f"slot_{a['idx']}") for a in sorted(slots, key=lambda a: a["idx"])]
-
-
-def topic_features(df: DataFrame, col: str, topics: int = 30, iterations: int = 10, seed: int = 42) -> DataFrame:
-    """Topic weights of a dirty string column: LDA over character 2- to 4-grams of its
-    *distinct* values, joined back to all rows."""
-    values = df.select(F.col(col)).filter(F.col(col).isNotNull()).distinct()
-    chars = RegexTokenizer(inputCol=col, outputCol="_chars", pattern="", gaps=True, toLowercase=True, minTokenLength=1)
-    grams = [NGram(n=n, inputCol="_chars", outputCol=f"_g{n}") for n in (2, 3, 4)]
-    prepared = Pipeline(stages=[chars, *grams]).fit(values).transform(values)
-    prepared = prepared.withColumn("_grams", F.concat("_g2", "_g3", "_g4"))
-    counter = CountVectorizer(inputCol="_grams", outputCol="_counts", vocabSize=(1 << 31) - 1).fit(prepared)
-    counted = stored(counter.transform(prepared).select(col, "_counts"), "n-grams")
-    model = LDA(k=topics, maxIter=iterations, subsamplingRate=1.0, seed=seed, featuresCol="_counts", topicDistributionCol="_topics").fit(counted)
-    weights = model.transform(counted).select(col, vector_to_array("_topics").alias("_w"))
-    weights = weights.select(col, *[F.col("_w")[i].alias(f"{col}_topic_{i}") for i in range(topics)])
-    return with_lookup(df, weights, [col], "left")
-
-
-def auto_encode(
-    df: DataFrame, numeric: list[str], text: list[str], keep: list[str], limit: int = ONE_HOT_LIMIT, topics: int = 30
-) -> DataFrame:
-    """Numbers pass, texts below ``limit`` values are one-hot encoded, the others get topics."""
-    counts = bounded_distinct_counts(df, text, limit) if text else {}
-    narrow = [c for c in text if counts[c] < limit]
-    wide = [c for c in text if c not in narrow]
-    out = df
-    made: list[str] = []
-    for c in wide:
-        out = topic_features(out, c, topics)
-        made += [x for x in out.columns if x.startswith(f"{c}_topic_")]
-    return one_hot(out, fit_categories(df, narrow), [*keep, *numeric, *made])

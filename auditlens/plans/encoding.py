@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from auditlens.operators import encode, split
+from auditlens.operators.encoder import TableEncoder
+from auditlens.operators.topics import fit_topics
 from auditlens.plans.frames import rounded
 from auditlens.plans.registry import query
 from auditlens.plans.sql import on_loans, r
+from auditlens.session import fresh_path
 from auditlens.sources.loans import ID, TEST_YEARS, complete_loans, loans, table
+from auditlens.sources.tables import save_model
 
 TRAIN_SQL = "tr AS (SELECT * FROM loans WHERE issue_d NOT IN (1999,2000,2001))"
 CATEGORIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -129,7 +135,6 @@ def _slots_sql(c: str) -> str:
     ),
 )
 def encode_column_transformer(spark, sf_dir):
-    from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array
 
     df = complete_loans(spark, sf_dir)
@@ -137,13 +142,70 @@ def encode_column_transformer(spark, sf_dir):
     return fitted.transform(df).select(ID, vector_to_array("features").alias("features"))
 
 
+PART_TEXT = ["p_type", "p_brand", "p_name"]
+
+
+def part_encoder(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    return part, TableEncoder(numeric=["p_size", "p_retailprice"], text=PART_TEXT).fit(part)
+
+
 @query("encode_automatic")
 def encode_automatic(spark, sf_dir):
-    part = table(spark, sf_dir, "part")
-    return encode.auto_encode(part, ["p_size", "p_retailprice"], ["p_type", "p_brand", "p_name"], ["p_partkey"], limit=40, topics=8)
+    part, model = part_encoder(spark, sf_dir)
+    return model.transform(part).select("p_partkey", *[F.col(f"`{c}`") for c in model.columns()])
+
+
+@query(
+    "encode_automatic_columns",
+    "SELECT p_partkey, p_size, round(p_retailprice, 6) + CAST(0 AS DOUBLE) AS p_retailprice, "
+    "list_sort(['p_brand_' || p_brand, 'p_type_' || p_type]) AS hot FROM part",
+)
+def encode_automatic_columns(spark, sf_dir):
+    """The numbers and the 0/1 columns that are set, of the automatic encoding."""
+    part, model = part_encoder(spark, sf_dir)
+    hot = [c for c in model.columns() if c.startswith(("p_type_", "p_brand_"))]
+    named = F.array(*[F.when(F.col(f"`{c}`") == 1, F.lit(c)) for c in hot])
+    return rounded(model.transform(part).select("p_partkey", "p_size", "p_retailprice", F.array_sort(F.array_compact(named)).alias("hot")))
+
+
+@query(
+    "encode_store_round_trip",
+    on_loans("SELECT count(*) AS n, CAST(0 AS DOUBLE) AS max_difference, true AS same_columns, true AS fits FROM ok WHERE issue_d IN (1999,2000,2001)"),
+)
+def encode_store_round_trip(spark, sf_dir):
+    """Encoder and regression fitted on the training years as one pipeline, saved, loaded and applied
+    to the test years: largest difference of the predictions, and whether they explain the score."""
+    df = complete_loans(spark, sf_dir)
+    encoder = TableEncoder(numeric=["int_rate", "dti", "pct_protected", "annual_inc"], text=["grade", "home_ownership", "purpose"], limit=10, topics=8)
+    model = Pipeline(stages=[encoder, LinearRegression(featuresCol="encoded", labelCol="score")]).fit(train_of(df))
+    again = PipelineModel.load(save_model(model, fresh_path(spark, "encoder")))
+    test = split.by_years(df, "issue_d", TEST_YEARS).filter("split = 'test'")
+    a = model.transform(test).select(ID, "score", F.col("prediction").alias("a"))
+    b = again.transform(test).select(ID, F.col("prediction").alias("b"))
+    gap = F.max(F.abs(F.col("a") - F.col("b"))).alias("max_difference")
+    same = F.lit(model.stages[0].columns() == again.stages[0].columns()).alias("same_columns")
+    return a.join(b, ID).agg(F.count("*").alias("n"), gap, same, (F.corr("a", "score") > 0.5).alias("fits"))
 
 
 @query("encode_topic_features")
 def encode_topic_features(spark, sf_dir):
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    return encode.topic_features(customers, "c_name", topics=30, iterations=5)
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    return fit_topics(part, "p_name").encode(part, "p_name")
+
+
+@query(
+    "encode_topic_checks",
+    "SELECT count(*) AS n_rows, count(DISTINCT p_name) AS n_texts, count(DISTINCT p_name) AS n_encodings, "
+    "CAST(0 AS BIGINT) AS n_negative, true AS falls FROM part",
+)
+def encode_topic_checks(spark, sf_dir):
+    """Equal texts get equal weights and different ones different weights, none is negative, and the
+    objective falls in every round."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    model = fit_topics(part, "p_name")
+    weights = [F.col(f"p_name_topic_{i}") for i in range(len(model.matrix))]
+    falls = all(b < a for a, b in zip(model.objective, model.objective[1:]))
+    coded = model.encode(part, "p_name").select("p_name", F.array(*weights).alias("w"))
+    low = F.count_if(F.exists("w", lambda x: x < 0))
+    return coded.agg(F.count("*").alias("n_rows"), F.countDistinct("p_name").alias("n_texts"), F.countDistinct("w").alias("n_encodings"), low.alias("n_negative"), F.lit(falls).alias("falls"))
