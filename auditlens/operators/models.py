@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from auditlens.functions.expr import ratio
+from auditlens.operators.blocks import array_total
 from auditlens.operators.encode import feature_names, fit_limits, vector_stages
 from auditlens.operators.metrics import regression_fit
 from auditlens.operators.scorers import ExprScorer
-from auditlens.session import fresh_path
+from auditlens.session import fresh_path, stored
 
 
 def fit_model(train: DataFrame, estimator, numeric: list[str], text: list[str]) -> PipelineModel:
@@ -88,6 +92,14 @@ def importance_table(model: PipelineModel, scored: DataFrame) -> DataFrame:
     )
 
 
+def importance_by_column(importance: DataFrame, text: list[str]) -> DataFrame:
+    """(feature, importance) per table column: the 0/1 slots of a text column are added up."""
+    column = F.col("feature")
+    for c in text:
+        column = F.when(F.col("feature").startswith(f"{c}_oh_"), F.lit(c)).otherwise(column)
+    return importance.groupBy(column.alias("feature")).agg(F.sum("importance").alias("importance"))
+
+
 def tree_summary(model: PipelineModel, spark) -> DataFrame:
     tree = model.stages[-1]
     leaves = (tree.numNodes + 1) // 2
@@ -96,24 +108,98 @@ def tree_summary(model: PipelineModel, spark) -> DataFrame:
     )
 
 
-def tree_rules(model: PipelineModel, spark) -> DataFrame:
-    """The nodes of a fitted tree as rows, read from its saved form."""
+def tree_nodes(model: PipelineModel, spark) -> DataFrame:
+    """The nodes of a fitted tree as rows, read from its saved form.
+
+    A split is either a ``threshold`` (left: at or below it) or, on a feature with categories (0/1
+    slots have two), the ``left_categories``. ``leaf`` is the number that ``leafCol`` gives.
+    """
     path = fresh_path(spark, "tree")
     model.stages[-1].write().overwrite().save(path)
     nodes = spark.read.parquet(f"{path}/data")
     if "nodeData" in nodes.columns:
         nodes = nodes.select("nodeData.*")
-    split = F.col("split")
+    split, inner = F.col("split"), F.col("leftChild") >= 0
+    numbered = Window.orderBy(F.when(~inner, 0).otherwise(1), "id")  # the nodes of one tree
     return nodes.select(
         F.col("id").alias("node_id"),
-        (F.col("leftChild") < 0).alias("is_leaf"),
+        (~inner).alias("is_leaf"),
         "prediction",
         "impurity",
-        F.when(F.col("leftChild") >= 0, split["featureIndex"]).alias("feature_index"),
-        F.when(F.col("leftChild") >= 0, split["leftCategoriesOrThreshold"][0]).alias("threshold"),
-        F.when(F.col("leftChild") >= 0, F.col("leftChild")).alias("left_id"),
-        F.when(F.col("leftChild") >= 0, F.col("rightChild")).alias("right_id"),
+        F.when(inner, split["featureIndex"]).alias("feature_index"),
+        F.when(inner & (split["numCategories"] < 0), split["leftCategoriesOrThreshold"][0]).alias("threshold"),
+        F.when(inner & (split["numCategories"] >= 0), split["leftCategoriesOrThreshold"]).alias("left_categories"),
+        F.when(inner & (split["numCategories"] >= 0), split["numCategories"]).alias("n_categories"),
+        F.when(inner, F.col("leftChild")).alias("left_id"),
+        F.when(inner, F.col("rightChild")).alias("right_id"),
+        F.when(~inner, F.row_number().over(numbered) - 1).cast("int").alias("leaf"),
+    )
+
+
+PATHS = """
+WITH RECURSIVE paths (node_id, steps) AS (
+  SELECT 0, CAST(array() AS ARRAY<STRUCT<feature_index: INT, above: DOUBLE, upto: DOUBLE, categories: ARRAY<DOUBLE>>>)
+  UNION ALL
+  SELECT side.child, array_append(p.steps, named_struct(
+      'feature_index', n.feature_index,
+      'above', CASE WHEN NOT side.is_left THEN n.threshold END,
+      'upto', CASE WHEN side.is_left THEN n.threshold END,
+      'categories', CASE WHEN n.n_categories IS NULL THEN NULL WHEN side.is_left THEN n.left_categories
+        ELSE array_except(transform(sequence(0, n.n_categories - 1), i -> CAST(i AS DOUBLE)), n.left_categories) END))
+  FROM paths p JOIN {nodes} n ON n.node_id = p.node_id
+  LATERAL VIEW inline(array(named_struct('child', n.left_id, 'is_left', true), named_struct('child', n.right_id, 'is_left', false))) side AS child, is_left
+  WHERE NOT n.is_leaf
+)
+SELECT n.leaf, n.prediction, p.steps FROM paths p JOIN {nodes} n ON n.node_id = p.node_id WHERE n.is_leaf
+"""
+
+
+def tree_rules(model: PipelineModel, scored: DataFrame) -> DataFrame:
+    """One row per leaf: prediction, conditions and the rule as text.
+
+    Root-to-leaf paths come from a recursive query over the node table; conditions on one feature
+    are merged into an interval (``above``, ``upto``] or the set of ``categories`` that are left.
+    ``scored`` has the feature vector, whose slots give the names.
+    """
+    spark = scored.sparkSession
+    names = feature_names(scored)
+    nodes = stored(tree_nodes(model, spark), "nodes")
+    paths = stored(spark.sql(PATHS, nodes=nodes), "paths")
+    steps = paths.select("leaf", "prediction", F.explode_outer("steps").alias("s")).select("leaf", "prediction", "s.*")
+    both = F.reduce("sets", F.element_at("sets", 1), lambda a, b: F.array_intersect(a, b))
+    merged = (
+        steps.groupBy("leaf", "prediction", "feature_index")
+        .agg(F.max("above").alias("above"), F.min("upto").alias("upto"), F.collect_list("categories").alias("sets"))
+        .withColumn("categories", F.when(F.size("sets") > 0, F.array_sort(both)))
+        .withColumn("feature", F.get(F.array(*[F.lit(n) for n in names]), F.col("feature_index")))
+    )
+    number = lambda c: F.col(c).cast("string")
+    text = F.concat_ws(
+        " and ",
+        F.when(F.col("above").isNotNull(), F.concat_ws(" > ", "feature", number("above"))),
+        F.when(F.col("upto").isNotNull(), F.concat_ws(" <= ", "feature", number("upto"))),
+        F.when(F.col("categories").isNotNull(), F.concat(F.col("feature"), F.lit(" in {"), F.array_join(F.col("categories").cast("array<string>"), ", "), F.lit("}"))),
     )
+    condition = F.when(F.col("feature_index").isNotNull(), F.struct("feature_index", "feature", "above", "upto", "categories", text.alias("text")))
+    rules = merged.groupBy("leaf", "prediction").agg(F.array_sort(F.collect_list(condition)).alias("conditions"))
+    return rules.select("leaf", "prediction", F.size("conditions").alias("n_conditions"), "conditions", F.array_join("conditions.text", " and ").alias("rule"))
+
+
+def rule_leaves(scored: DataFrame, rules: DataFrame, id_col: str) -> DataFrame:
+    """(id, leaf, prediction) by applying the rules to the rows: which leaf's conditions a row meets.
+    The conditions of all rules travel as one array; a tree of depth d has at most 2^d of them."""
+    x = vector_to_array("features")
+    listed = rules.agg(F.collect_list(F.struct("leaf", "prediction", "conditions"))).scalar()
+
+    def meets(c):
+        v = F.get("_x", c["feature_index"])
+        above = c["above"].isNull() | (v > c["above"])
+        upto = c["upto"].isNull() | (v <= c["upto"])
+        return above & upto & (c["categories"].isNull() | F.array_contains(c["categories"], v))
+
+    rows = scored.select(id_col, x.alias("_x"), listed.alias("_rules"))
+    hit = F.filter("_rules", lambda rule: F.forall(rule["conditions"], meets))
+    return rows.select(id_col, F.inline(F.transform(hit, lambda rule: F.struct(rule["leaf"].alias("leaf"), rule["prediction"].alias("prediction")))))
 
 
 def leaf_summary(scored: DataFrame, label: str) -> DataFrame:
@@ -167,6 +253,20 @@ class AdditiveModel:
     def scorer(self) -> ExprScorer:
         return ExprScorer([*self.numeric, *self.categories], self.predict)
 
+    def save(self, spark: SparkSession, path: str) -> str:
+        """Write the model through Spark, so that any storage Spark reaches will do."""
+        state = {"numeric": self.numeric, "categories": self.categories, "limits": self.limits, "splines": self.splines}
+        state |= {"penalty": float(self.penalty), "coefficients": [float(w) for w in self.coefficients]}
+        spark.createDataFrame([(json.dumps(state),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+        return path
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> AdditiveModel:
+        state = json.loads(spark.read.text(path, wholetext=True).first()[0])
+        limits = {c: tuple(v) for c, v in state["limits"].items()}
+        coefficients = np.array(state["coefficients"])
+        return AdditiveModel(state["numeric"], state["categories"], limits, state["splines"], state["penalty"], coefficients)
+
 
 # Powers of the position inside a segment (rows: 1, u, u^2, u^3) of the four splines alive there.
 SEGMENT = np.array([[1, 4, 1, 0], [-3, 0, 3, 0], [3, -6, 3, 0], [-1, 3, -3, 1]]) / 6.0
@@ -175,8 +275,8 @@ SEGMENT = np.array([[1, 4, 1, 0], [-3, 0, 3, 0], [3, -6, 3, 0], [-1, 3, -3, 1]])
 def cross_products(df: DataFrame, numeric, categories, limits, splines: int, label: str) -> np.ndarray:
     """[X y]'[X y] over all rows, one pass.
 
-    Each task builds the design of its Arrow batches, adds up their matrix products and emits
-    one small matrix; Spark sums them cell by cell. Only the (p+1)^2 cells reach the driver.
+    Each task builds the design of its Arrow batches and adds up their matrix products; the blocks
+    of the tasks are added in a tree. Only the (p+1)^2 cells reach the driver.
     """
     size = 2 + splines * len(numeric) + sum(len(v) for v in categories.values())
     powers = SEGMENT
@@ -201,21 +301,15 @@ def cross_products(df: DataFrame, numeric, categories, limits, splines: int, lab
         return np.hstack(blocks)
 
     def gram(batches):
-        import pandas as pd
-
         total = np.zeros((size, size))
         for batch in batches:
-            if len(batch):
-                block = design(batch)
+            if batch.num_rows:
+                block = design(batch.to_pandas())
                 total += block.T @ block
-        yield pd.DataFrame({"cell": np.arange(size * size), "value": total.ravel()})
+        return total
 
-    rows = df.select(*numeric, *categories, label).na.drop("any", subset=[*numeric, label])
-    cells = rows.mapInPandas(gram, "cell int, value double").groupBy("cell").agg(F.sum("value").alias("value"))
-    out = np.zeros(size * size)
-    for r in cells.collect():
-        out[r["cell"]] = r["value"]
-    return out.reshape(size, size)
+    rows = df.select(*[F.col(c).cast("double").alias(c) for c in numeric], *categories, F.col(label).cast("double").alias(label))
+    return array_total(rows.na.drop("any", subset=[*numeric, label]), gram, (size, size))
 
 
 def _penalty_matrix(numeric, categories, splines, size) -> np.ndarray:
@@ -245,17 +339,23 @@ def fit_additive(
     """Fit for every penalty and keep the best test R2.
 
     The cross products are computed once for all penalties, and all candidates are scored in
-    one pass over the test rows. Returns the best model and rows (penalty, r2).
+    one pass over the test rows. Returns the best model and rows (penalty, r2, n_samples, edf, gcv):
+    effective degrees of freedom, the trace of the hat matrix, and the generalised cross-validation
+    error of the training rows, both from the cross products alone.
     """
     limits = fit_limits(train, numeric)
     cols = {c: F.col(c) for c in [*numeric, *categories]}
     gram = cross_products(train, numeric, categories, limits, splines, label)
-    xx, xy = gram[:-1, :-1], gram[:-1, -1]
+    xx, xy, yy, n = gram[:-1, :-1], gram[:-1, -1], gram[-1, -1], gram[0, 0]
     penalty = _penalty_matrix(numeric, categories, splines, len(xy))
-    candidates = []
+    candidates, quality = [], []
     for lam in penalties:
-        weights = np.linalg.solve(xx + lam * penalty + 1e-6 * np.eye(len(xy)), xy)
+        system = xx + lam * penalty + 1e-6 * np.eye(len(xy))
+        weights = np.linalg.solve(system, xy)
         candidates.append(AdditiveModel(numeric, categories, limits, splines, lam, weights))
+        edf = float(np.trace(np.linalg.solve(system, xx)))
+        rss = max(float(yy - 2 * weights @ xy + weights @ xx @ weights), 0.0)
+        quality.append((float(lam), edf, float(n * rss / (n - edf) ** 2) if n > edf else None))
     scored = test.select(
         F.col(label).alias("_y"),
         F.inline(
@@ -267,6 +367,9 @@ def fit_additive(
             )
         ),
     )
-    table = regression_fit(scored, "_y", "_p", ["penalty"]).select("penalty", "r2", "n_samples")
-    best = max(table.collect(), key=lambda r: (r["r2"], -r["penalty"]))["penalty"]
+    fits = regression_fit(scored, "_y", "_p", ["penalty"]).select("penalty", "r2", "n_samples").collect()  # one row per penalty
+    best = max(fits, key=lambda r: (r["r2"], -r["penalty"]))["penalty"]
+    found = {r["penalty"]: r for r in fits}
+    rows = [(lam, found[lam]["r2"], found[lam]["n_samples"], edf, gcv) for lam, edf, gcv in quality]
+    table = train.sparkSession.createDataFrame(rows, "penalty double, r2 double, n_samples long, edf double, gcv double")
     return next(m for m in candidates if float(m.penalty) == best), table

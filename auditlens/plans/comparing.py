@@ -9,12 +9,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from auditlens.operators import compare, models, profile
-from auditlens.plans.explaining import PHI_SQL, f1_importance, phi_importance
+from auditlens.plans.explaining import F1_IMPORTANCE, PHI_SQL, f1_importance, phi_importance
 from auditlens.plans.frames import rounded
-from auditlens.plans.modelling import fitted, prepared
+from auditlens.plans.modelling import TEXT, fitted, prepared
 from auditlens.plans.profiling import RANKING_SQL
 from auditlens.plans.registry import query
 from auditlens.plans.sql import on_loans, r
+from auditlens.session import stored
 from auditlens.sources.loans import NUMERIC, STRINGS, complete_loans
 
 TOP = 3
@@ -22,14 +23,10 @@ TOPS_SQL = f"""{PHI_SQL}, ta AS (SELECT feature FROM ai ORDER BY round(importanc
 rk AS ({RANKING_SQL}), tb AS (SELECT feature FROM rk WHERE NOT isnan(correlation) ORDER BY round(correlation, 9) DESC, feature LIMIT {TOP})"""
 
 
-SHORT = 2  # a list shorter than the other one has something that is missing in it
-SHORT_SQL = TOPS_SQL.rpartition(f"LIMIT {TOP}")[0] + f"LIMIT {SHORT})"
-
-
-def tops(spark, sf_dir, second: int = TOP):
+def tops(spark, sf_dir):
     a = profile.top_features(phi_importance(spark, sf_dir), "importance", TOP)
     ranking = profile.correlation_ranking(complete_loans(spark, sf_dir), NUMERIC, STRINGS, "score")
-    return a, profile.top_features(ranking, "correlation", second)
+    return a, profile.top_features(ranking, "correlation", TOP)
 
 
 @query("compare_common_features", on_loans(f"WITH {TOPS_SQL} SELECT feature FROM ta INTERSECT SELECT feature FROM tb"))
@@ -40,12 +37,12 @@ def compare_common_features(spark, sf_dir):
 @query(
     "compare_specific_features",
     on_loans(
-        f"WITH {SHORT_SQL} SELECT feature, 'first' AS side FROM ta WHERE feature NOT IN (SELECT feature FROM tb) UNION ALL "
+        f"WITH {TOPS_SQL} SELECT feature, 'first' AS side FROM ta WHERE feature NOT IN (SELECT feature FROM tb) UNION ALL "
         "SELECT feature, 'second' FROM tb WHERE feature NOT IN (SELECT feature FROM ta)"
     ),
 )
 def compare_specific_features(spark, sf_dir):
-    return compare.specific_features(*tops(spark, sf_dir, SHORT))
+    return compare.specific_features(*tops(spark, sf_dir))
 
 
 LINES = ["int_rate", "dti", "pct_protected", "annual_inc"]
@@ -123,7 +120,26 @@ def compare_summary_record(spark, sf_dir):
 
 @query("compare_permutation_builtin")
 def compare_permutation_builtin(spark, sf_dir):
-    """Permutation importance of the scorer beside the impurity importance of its tree surrogate."""
+    """Permutation importance of the scorer beside the impurity importance of its tree surrogate,
+    column by column."""
     df = prepared(spark, sf_dir)
     model = fitted(df, models.tree_surrogate())
-    return compare.importance_comparison(f1_importance(spark, sf_dir), models.importance_table(model, model.transform(df)))
+    builtin = models.importance_by_column(models.importance_table(model, model.transform(df)), TEXT)
+    return compare.importance_comparison(f1_importance(spark, sf_dir), builtin)
+
+
+@query(
+    "compare_permutation_side",
+    on_loans(
+        f"""WITH {F1_IMPORTANCE}, k AS (SELECT feature, importance_mean AS v FROM im)
+        SELECT feature, {r('v')} AS permutation_importance, CAST(rank() OVER (ORDER BY v DESC) AS INTEGER) AS permutation_rank,
+          CAST(1 AS DOUBLE) AS builtin_total, CAST(5 AS BIGINT) AS n_met FROM k"""
+    ),
+)
+def compare_permutation_side(spark, sf_dir):
+    """The permutation side of the comparison, the built-in side's total, and how many features meet."""
+    both = stored(compare_permutation_builtin(spark, sf_dir), "comparison")
+    total = both.agg(F.round(F.sum("builtin_importance"), 9)).scalar()
+    met = both.agg(F.count_if(F.col("permutation_rank").isNotNull() & F.col("builtin_rank").isNotNull())).scalar()
+    mine = both.filter(F.col("permutation_rank").isNotNull())
+    return rounded(mine.select("feature", "permutation_importance", "permutation_rank", total.alias("builtin_total"), met.alias("n_met")))

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from auditlens.functions.expr import decide, sigmoid
 from auditlens.operators import metrics, models, split, stability
 from auditlens.operators.encode import fit_categories
-from auditlens.operators.explain import dependence, permutation
+from auditlens.operators.explain import dependence, permutation, shapley
 from auditlens.operators.metrics import fidelity
+from auditlens.operators.ordering import hash_sample
 from auditlens.operators.scorers import MLScorer
 from auditlens.plans.frames import rounded
 from auditlens.plans.registry import query
@@ -171,9 +172,86 @@ def model_tree_summary(spark, sf_dir):
     return models.tree_summary(fitted(prepared(spark, sf_dir), models.tree_surrogate(depth=4, min_leaf=10)), spark)
 
 
+def shallow_tree(df):
+    return fitted(df, models.tree_surrogate(depth=4, min_leaf=10))
+
+
+@query("model_tree_nodes")
+def model_tree_nodes(spark, sf_dir):
+    return models.tree_nodes(shallow_tree(prepared(spark, sf_dir)), spark)
+
+
 @query("model_tree_rules")
 def model_tree_rules(spark, sf_dir):
-    return models.tree_rules(fitted(prepared(spark, sf_dir), models.tree_surrogate(depth=4, min_leaf=10)), spark)
+    """One row per leaf with its merged conditions."""
+    df = prepared(spark, sf_dir)
+    model = shallow_tree(df)
+    return models.tree_rules(model, model.transform(df))
+
+
+@query("model_rules_applied", on_loans("SELECT count(*) AS n_rows, count(*) AS n_same_leaf, CAST(0 AS DOUBLE) AS max_difference FROM ok"))
+def model_rules_applied(spark, sf_dir):
+    """Rows whose only matching rule is the leaf that the tree itself puts them in."""
+    df = prepared(spark, sf_dir)
+    model = shallow_tree(df)
+    scored = model.transform(df)
+    rules = stored(models.tree_rules(model, scored), "rules")
+    by_rule = models.rule_leaves(scored, rules, ID).groupBy(ID).agg(F.count("*").alias("k"), F.max("leaf").alias("rule_leaf"), F.max("prediction").alias("p"))
+    both = scored.select(ID, "leaf", "prediction").join(by_rule, ID, "left")
+    same = (F.col("k") == 1) & (F.col("rule_leaf") == F.col("leaf").cast("int"))
+    return both.agg(F.count("*").alias("n_rows"), F.count_if(same).alias("n_same_leaf"), F.max(F.abs(F.col("p") - F.col("prediction"))).alias("max_difference"))
+
+
+LEAF_CHECK = """SELECT CAST({depth} AS INTEGER) AS depth, (SELECT count(*) FROM ok WHERE issue_d NOT IN (1999,2000,2001)) AS n_rows, CAST(0 AS DOUBLE) AS max_difference, true AS large_enough, true AS pure_bound"""
+
+
+@query("model_leaf_checks", on_loans(" UNION ALL ".join(LEAF_CHECK.format(depth=d) for d in (4, 6))))
+def model_leaf_checks(spark, sf_dir):
+    """Over the training rows of both tree surrogates: leaf sizes add up to the rows, a leaf predicts
+    its mean, no leaf is below the minimum, and there are at most 2^depth leaves."""
+    df = prepared(spark, sf_dir)
+    parts = []
+    for depth, least in ((4, 10), (6, 50)):
+        model = fitted(df, models.tree_surrogate(depth=depth, min_leaf=least))
+        leaves = models.leaf_summary(model.transform(train_of(df)), "score")
+        gap = F.max(F.abs(F.col("prediction") - F.col("mean_label")))
+        checks = [F.sum("n").alias("n_rows"), (F.round(gap, 9) + 0.0).alias("max_difference"), (F.min("n") >= least).alias("large_enough"), (F.count("*") <= 2**depth).alias("pure_bound")]
+        parts.append(leaves.agg(*checks).select(F.lit(depth).alias("depth"), "*"))
+    return parts[0].unionByName(parts[1])
+
+
+@query("model_additive_store_round_trip", on_loans("SELECT CAST(0 AS DOUBLE) AS max_difference, count(*) AS n FROM ok"))
+def model_additive_store_round_trip(spark, sf_dir):
+    """Largest difference between an additive model and its reloaded copy."""
+    df = prepared(spark, sf_dir)
+    train = train_of(df)
+    model, _ = models.fit_additive(train, df.filter("split = 'test'"), SCORER_NUMERIC, fit_categories(train, TEXT))
+    again = models.AdditiveModel.load(spark, model.save(spark, fresh_path(spark, "additive")))
+    cols = {c: F.col(c) for c in model.scorer().inputs}
+    return df.agg(F.max(F.abs(model.predict(cols) - again.predict(cols))).alias("max_difference"), F.count("*").alias("n"))
+
+
+@query("model_fitted_attributions")
+def model_fitted_attributions(spark, sf_dir):
+    """Margin-scale attributions of the fitted black box for 2,000 sampled rows of the test years."""
+    df = prepared(spark, sf_dir)
+    scorer = MLScorer(fitted_black_box(df), [*SCORER_NUMERIC, *TEXT], output="margin")
+    test = df.filter("split = 'test'")
+    explained = hash_sample(test, ID, 2000, 42)
+    return rounded(shapley.sampled_attributions(explained, scorer, ID, shapley.background(train_of(df), ID)))
+
+
+@query("model_subgroup_stability")
+def model_subgroup_stability(spark, sf_dir):
+    """Fit, threshold of the best F1 on the training years, quality per subgroup of the test years:
+    grades, home ownership, and quartiles of income and amount."""
+    df = prepared(spark, sf_dir)
+    scored = stored(models_scored(df, fitted_black_box(df), "split", "grade", "home_ownership", "annual_inc", "funded_amnt"), "fitted-scores")
+    cut = metrics.best_f1_threshold(train_of(scored)).first()["threshold"]
+    test = scored.filter("split = 'test'").withColumn("y_hat", decide("score", cut))
+    named = stability.quality_by_subgroup(test, {c: c for c in TEXT})
+    bands = {"annual_inc": ("income_quartile", stability.INCOME_LABELS), "funded_amnt": ("loan_amount_quartile", stability.AMOUNT_LABELS)}
+    return rounded(named.unionByName(stability.quality_by_quartile(test, bands)).withColumn("threshold", F.lit(cut)))
 
 
 @query("model_leaf_rows")
