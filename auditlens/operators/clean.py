@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auditlens.functions import expr as X
-from auditlens.operators.ordering import row_numbers, with_lookup
+from auditlens.operators.ordering import global_positions, with_lookup
 from auditlens.session import stored
 
 # Columns that are never features.
@@ -82,21 +82,24 @@ def with_outcome(df: DataFrame, score: str, target: str, threshold: float, keep:
     )
 
 
-def unique_clean_names(
-    df: DataFrame, name: str, position: str, out: str = "clean_name", width: int = 100_000
-) -> DataFrame:
+def unique_clean_names(df: DataFrame, name: str, position: str, out: str = "clean_name") -> DataFrame:
     """Sanitised texts; repeats get the suffix ``_1``, ``_2``, ... in order of ``position``, and a
     suffixed name that another row has already is suffixed again, until all names differ. The
-    first row of a name keeps it; a missing text is named by its position."""
+    first row of a name keeps it; a missing text is named by its position.
+
+    An occurrence's number is its position among all rows ordered by name less that of the name's
+    first row, so neither one name nor the way positions are spread decides the size of a task.
+    """
     clean = F.coalesce(X.clean_name(F.col(name), F.col(position)), F.concat(F.lit("feature_"), F.col(position).cast("string")))
     names = df.withColumn(out, clean)
     while True:
-        numbered = row_numbers(names, [out], position, width, "_nth")
-        again = F.concat_ws("_", F.col(out), (F.col("_nth") - 1).cast("string"))
-        names = stored(numbered.withColumn("_moved", F.col("_nth") > 1).withColumn(out, F.when(F.col("_moved"), again).otherwise(F.col(out))), "names")
-        if names.filter("_moved").isEmpty():
-            return names.drop("_nth", "_moved")
-        names = names.drop("_nth", "_moved")
+        placed = stored(global_positions(names, [out, position], "_at"), "names")
+        repeated = placed.groupBy(out).agg(F.min("_at").alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
+        if repeated.isEmpty():
+            return placed.drop("_at")
+        nth = F.col("_at") - F.col("_first")
+        again = F.when(nth > 0, F.concat_ws("_", F.col(out), nth.cast("string"))).otherwise(F.col(out))
+        names = with_lookup(placed, repeated, [out], "left").withColumn(out, again).drop("_at", "_first", "_n")
 
 
 def with_clean_columns(df: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
 """Local linear explanations: a weighted ridge model around every explained row.
 
 All explained rows and all their perturbed samples are one exploded plan. Samples are added
-up per agreement pattern, patterns into the sums of each instance's normal equations, and
-only those small rows are solved.
+up per agreement pattern; an instance's patterns (at most as many as its samples) become its
+normal equations, and the equations of a whole Arrow batch are solved at once.
 """
 
 from __future__ import annotations
@@ -11,21 +11,22 @@ import math
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from auditlens.functions.expr import constant_rows, is_numeric
-from auditlens.operators.ordering import QUARTILES, bucket_index, fit_quantiles
+from auditlens.operators.encode import ONE_HOT_LIMIT
+from auditlens.operators.ordering import QUARTILES, bucket_index, fit_quantiles, global_positions
+from auditlens.operators.profile import bounded_distinct_counts
+from auditlens.session import stored
 
 SAMPLES = 5000
-TEXT_LIMIT = 1000
 SHOWN = 10
 
 
 class Bin(NamedTuple):
-    """One quartile of a number or one text value, with its cumulative share."""
+    """One quartile of a number or one value of a narrow text, with its cumulative share."""
 
     code: str
     upto: float
@@ -35,9 +36,9 @@ class Bin(NamedTuple):
     hi: float | None
 
 
-def fit_bins(train: DataFrame, numeric: list[str], text: list[str], edges) -> dict[str, list[Bin]]:
-    """Shares and moments per bin: 4 rows per number and one per text value reach the driver,
-    at most ``TEXT_LIMIT`` of these."""
+def fit_bins(train: DataFrame, numeric: list[str], narrow: list[str], edges) -> dict[str, list[Bin]]:
+    """Shares and moments per bin: 4 rows per number and below ``ONE_HOT_LIMIT`` per narrow text
+    reach the driver."""
     null = F.lit(None).cast("double")
     entries = [
         F.struct(
@@ -46,30 +47,27 @@ def fit_bins(train: DataFrame, numeric: list[str], text: list[str], edges) -> di
             F.col(c).cast("double").alias("x"),
         )
         for c in numeric
-    ] + [F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("code"), null.alias("x")) for c in text]
-    most = 4 * len(numeric) + TEXT_LIMIT
+    ] + [F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("code"), null.alias("x")) for c in narrow]
+    out: dict[str, list[Bin]] = {c: [] for c in [*numeric, *narrow]}
+    if not entries:
+        return out
     rows = (
         train.select(F.inline(F.array(*entries)))
         .filter(F.col("code").isNotNull())
         .groupBy("feature", "code")
         .agg(F.count("*").alias("n"), F.avg("x"), F.stddev_pop("x"), F.min("x"), F.max("x"))
-        .limit(most + 1)
         .collect()
     )
-    if len(rows) > most:
-        raise ValueError("too many text values for local explanations, encode them first")
-    out: dict[str, list[Bin]] = {}
-    for c in [*numeric, *text]:
+    for c in out:
         mine = sorted((r for r in rows if r["feature"] == c), key=lambda r: r["code"])
         total, seen = sum(r["n"] for r in mine), 0
-        out[c] = []
         for r in mine:
             seen += r["n"]
             out[c].append(Bin(r["code"], seen / total, *list(r)[3:]))
     return out
 
 
-def _position(bins: list[Bin], u):
+def _position(bins: list[Bin], u: Column) -> Column:
     """Zero-based position of the first bin whose cumulative share exceeds ``u``."""
     uptos = constant_rows([b.upto for b in bins[:-1]], "double")
     if len(bins) > 8:
@@ -77,7 +75,7 @@ def _position(bins: list[Bin], u):
     return sum(((u >= F.lit(b.upto)).cast("int") for b in bins[:-1]), F.lit(0))
 
 
-def _inside(bins: list[Bin], at, u):
+def _inside(bins: list[Bin], at: Column, u: Column) -> Column:
     """Draw within a bin: a normal cut to [lo, hi], by the logistic approximation of its
     distribution function (scale 1.702), which inverts in closed form. The constants of each
     bin are looked up by position, which keeps the generated code short enough to compile."""
@@ -94,11 +92,70 @@ def _inside(bins: list[Bin], at, u):
     return F.least(F.greatest(value, look([b.lo for b in bins])), look([b.hi for b in bins]))
 
 
-def _unit(*parts):
+def _unit(*parts) -> Column:
     """Reproducible draw from [0, 1)."""
     return F.shiftrightunsigned(F.xxhash64(*parts), 11) / F.lit(float(2**53))
 
 
+def _from_rows(drawn: DataFrame, train: DataFrame, c: str, u: Column, out: str) -> DataFrame:
+    """Add the value of a random training row: the rows with a value are numbered in the order of
+    their values, and the drawn number is joined. No list of values is ever made."""
+    values = train.select(F.col(c).cast("string").alias(out)).filter(F.col(out).isNotNull())
+    numbered = stored(global_positions(values, [out], "_row"), "values")
+    n = numbered.count()
+    return drawn.withColumn("_row", F.floor(u * n).cast("long")).join(numbered, "_row", "left").drop("_row")
+
+
+FITS = "feature string, weight double, rank int, intercept double, local_r2 double"
+
+
+def _solver(features: list[str], id_col: str, shown: int):
+    """Fits from patterns that are sorted by instance."""
+    by_name = np.argsort(features, kind="stable")
+    width = 0.75 * math.sqrt(len(features))
+
+    def fitted(ids, z, n, y, yy):
+        start = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+        x = np.hstack([np.ones((len(z), 1)), z])
+        w = np.sqrt(np.exp(-(len(features) - z.sum(1)) / width**2))
+        gram = np.empty((len(start), x.shape[1], x.shape[1]))
+        for i, (lo, hi) in enumerate(zip(start, [*start[1:], len(x)])):
+            gram[i] = x[lo:hi].T @ (x[lo:hi] * (w * n)[lo:hi, None])
+        xy, syy = np.add.reduceat(x * (w * y)[:, None], start), np.add.reduceat(w * yy, start)
+        total = gram[:, 0, 0]
+        mean, centre = gram[:, 0, 1:] / total[:, None], xy[:, 0] / total
+        xx = gram[:, 1:, 1:] - total[:, None, None] * mean[:, :, None] * mean[:, None, :]
+        xy = xy[:, 1:] - (total * centre)[:, None] * mean
+        spread = syy - total * centre**2
+        coef = np.linalg.solve(xx + np.eye(len(features)), xy[:, :, None])[:, :, 0]
+        sse = spread - 2 * (coef * xy).sum(1) + np.einsum("ij,ijk,ik->i", coef, xx, coef)
+        intercept = centre - (coef * mean).sum(1)
+        r2 = np.where(spread > 0, 1 - sse / np.where(spread > 0, spread, 1), np.nan)
+        best = by_name[np.argsort(-np.abs(coef[:, by_name]), axis=1, kind="stable")[:, :shown]]
+        k, m = best.shape
+        columns = [pa.array(np.repeat(ids[start], m)), pa.array(np.array(features, object)[best.ravel()], pa.string()), pa.array(np.take_along_axis(coef, best, 1).ravel()),
+                   pa.array(np.tile(np.arange(1, m + 1, dtype=np.int32), k)), pa.array(np.repeat(intercept, m)), pa.array(np.repeat(r2, m), mask=np.repeat(np.isnan(r2), m))]
+        return pa.RecordBatch.from_arrays(columns, [id_col, "feature", "weight", "rank", "intercept", "local_r2"])
+
+    def solve(batches):
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            z = np.frombuffer("".join(batch.column(1).to_pylist()).encode(), np.uint8).reshape(batch.num_rows, -1) - 48.0
+            rows = [batch.column(0).to_numpy(zero_copy_only=False), z, *(batch.column(i).to_numpy() for i in (2, 3, 4))]
+            if held is not None:
+                rows = [np.concatenate(pair) for pair in zip(held, rows)]
+            last = int(np.flatnonzero(rows[0] != rows[0][-1])[-1]) + 1 if rows[0][0] != rows[0][-1] else 0
+            if last:
+                yield fitted(*(r[:last] for r in rows))
+            held = [r[last:] for r in rows]  # one instance, which may go on
+        if held is not None:
+            yield fitted(*held)
+
+    return solve
+
+
 def local_explanations(
     train: DataFrame,
     instances: DataFrame,
@@ -112,105 +169,47 @@ def local_explanations(
 
     Samples agree with the explained row in a feature when they fall in its quartile (or have
     its text); agreement is the regressor, the scorer's value the response. Sample 0 is the row
-    itself. Explode factor: ``samples`` per instance, all within the instance's task.
+    itself. Explode factor: ``samples`` per instance. Numbers and texts below ``ONE_HOT_LIMIT``
+    values are drawn from constants; a text with more takes the value of a random training row by a
+    join. A missing value of the explained row agrees with nothing but itself.
     """
     features = scorer.inputs
     types = {f.name: f.dataType for f in train.schema.fields}
     numeric = [c for c in features if is_numeric(types[c])]
     text = [c for c in features if c not in numeric]
-    edges = fit_quantiles(train, numeric, QUARTILES)
-    bins = fit_bins(train, numeric, text, edges)
-    own = {}
-    for c in features:
-        codes = constant_rows([b.code for b in bins[c]], "string")
-        mine = bucket_index(F.col(c).cast("double"), edges[c]).cast("string") if c in numeric else F.col(c)
-        own[c] = (F.array_position(codes, mine) - 1).cast("int").alias(f"own_{c}")
-    base = instances.select(id_col, *[F.col(c).alias(f"x_{c}") for c in features], *own.values())
+    counts = bounded_distinct_counts(train, text, ONE_HOT_LIMIT) if text else {}
+    narrow = [c for c in text if counts[c] < ONE_HOT_LIMIT]
+    edges = fit_quantiles(train, numeric, QUARTILES) if numeric else {}
+    bins = fit_bins(train, numeric, narrow, edges)
+    own = {c: bucket_index(F.col(c).cast("double"), edges[c]) - 1 for c in numeric}
+    base = instances.select(id_col, *[F.col(c).alias(f"x_{c}") for c in features], *[b.cast("int").alias(f"own_{c}") for c, b in own.items()])
     drawn = base.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(samples - 1))))
+    unit = {c: _unit(id_col, "_s", F.lit(2 * i), F.lit(seed)) for i, c in enumerate(features)}
+    for c in text:
+        if c not in narrow:
+            drawn = _from_rows(drawn, train, c, unit[c], f"t_{c}")
     first = F.col("_s") == 0
-    places = {
-        f"at_{c}": F.when(first, F.col(f"own_{c}")).otherwise(
-            _position(bins[c], _unit(id_col, "_s", F.lit(2 * i), F.lit(seed)))
-        )
-        for i, c in enumerate(features)
-    }
-    drawn = drawn.withColumns(places)
-    made = {}
+    places = {f"at_{c}": F.when(first, F.col(f"own_{c}")).otherwise(_position(bins[c], unit[c])) for c in numeric}
+    places |= {f"t_{c}": F.get(constant_rows([b.code for b in bins[c]], "string"), _position(bins[c], unit[c])) for c in narrow}
+    drawn = drawn.withColumns(places) if places else drawn
+    made, agree = {}, []
     for i, c in enumerate(features):
-        at = F.col(f"at_{c}")
-        made[f"z_{c}"] = (at == F.col(f"own_{c}")).cast("int")
         if c in numeric:
+            at = F.col(f"at_{c}")
             value = _inside(bins[c], at, _unit(id_col, "_s", F.lit(2 * i + 1), F.lit(seed)))
             made[c] = F.when(first, F.col(f"x_{c}").cast("double")).otherwise(value)
+            agree.append(at.eqNullSafe(F.col(f"own_{c}")))
         else:
-            code = F.get(constant_rows([b.code for b in bins[c]], "string"), at)
-            made[c] = F.when(first, F.col(f"x_{c}")).otherwise(code)
-    scored = scorer.score(drawn.withColumns(made).select(id_col, *made))
+            made[c] = F.when(first, F.col(f"x_{c}")).otherwise(F.col(f"t_{c}"))
+            agree.append(first | F.col(f"t_{c}").eqNullSafe(F.col(f"x_{c}")))
+    pattern = F.concat(*[F.when(z, "1").otherwise("0") for z in agree])
+    scored = scorer.score(drawn.withColumns({**made, "_z": pattern}).select(id_col, "_z", *made))
     # weight and regressors depend on the agreement pattern only: add the samples up per pattern
-    zs = [f"z_{c}" for c in features]
-    patterns = scored.groupBy(id_col, *zs).agg(
+    patterns = scored.groupBy(id_col, "_z").agg(
         F.count("*").cast("double").alias("_n"),
         F.sum("score").alias("_y"),
         F.sum(F.col("score") * F.col("score")).alias("_yy"),
     )
-    apart = sum((1.0 - F.col(z) for z in zs), F.lit(0.0))
-    width = 0.75 * math.sqrt(len(features))
-    patterns = patterns.withColumn("_w", F.sqrt(F.exp(-apart / F.lit(width * width))))
-    x = [F.lit(1.0), *[F.col(z).cast("double") for z in zs]]
-    size = len(x) + 1
-    w = F.col("_w")
-    sums = []
-    for i in range(size):
-        for j in range(i, size):
-            if j < size - 1:
-                cell = w * F.col("_n") * x[i] * x[j]
-            elif i < size - 1:
-                cell = w * F.col("_y") * x[i]
-            else:
-                cell = w * F.col("_yy")
-            sums.append(F.sum(cell).alias(f"s_{i}_{j}"))
-    equations = patterns.groupBy(id_col).agg(*sums)
-    names = [f"s_{i}_{j}" for i in range(size) for j in range(i, size)]
-    solved = T.StructType(
-        [
-            T.StructField("weights", T.ArrayType(T.DoubleType())),
-            T.StructField("intercept", T.DoubleType()),
-            T.StructField("local_r2", T.DoubleType()),
-        ]
-    )
-
-    @F.pandas_udf(solved)
-    def solve(packed: pd.Series) -> pd.DataFrame:
-        out = []
-        for cells in packed:
-            full = np.zeros((size, size))
-            full[np.triu_indices(size)] = cells
-            full = full + np.triu(full, 1).T
-            total = full[0, 0]
-            mean = full[0, 1:] / total
-            centred = full[1:, 1:] - total * np.outer(mean, mean)
-            xx, xy, yy = centred[:-1, :-1], centred[:-1, -1], centred[-1, -1]
-            coef = np.linalg.solve(xx + np.eye(len(xx)), xy)
-            sse = yy - 2 * coef @ xy + coef @ xx @ coef
-            out.append((coef.tolist(), float(mean[-1] - coef @ mean[:-1]), float(1 - sse / yy) if yy > 0 else None))
-        return pd.DataFrame(out, columns=["weights", "intercept", "local_r2"])
-
-    fitted = equations.select(id_col, solve(F.array(*names)).alias("fit"))
-    named = F.arrays_zip(F.array(*[F.lit(c) for c in features]).alias("feature"), F.col("fit.weights").alias("weight"))
-    items = F.transform(
-        named, lambda x: F.struct((-F.abs(x["weight"])).alias("o"), x["feature"].alias("feature"), x["weight"].alias("weight"))
-    )
-    ordered = fitted.select(
-        id_col,
-        F.col("fit.intercept").alias("intercept"),
-        F.col("fit.local_r2").alias("local_r2"),
-        F.posexplode(F.slice(F.array_sort(items), 1, shown)).alias("_pos", "_item"),
-    )
-    return ordered.select(
-        id_col,
-        F.col("_item.feature").alias("feature"),
-        F.col("_item.weight").alias("weight"),
-        (F.col("_pos") + 1).alias("rank"),
-        "intercept",
-        "local_r2",
-    )
+    ordered = patterns.repartition(F.col(id_col)).sortWithinPartitions(id_col)
+    kind = instances.schema[id_col].dataType.simpleString()
+    return ordered.mapInArrow(_solver(features, id_col, shown), f"`{id_col}` {kind}, {FITS}")

@@ -4,16 +4,20 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auditlens.functions.expr import is_numeric, ratio, uniform_bin
+from auditlens.operators.blocks import array_total
 from auditlens.operators.ordering import (
     exact_quantiles,
+    global_positions,
     long_values,
     running_totals,
     with_lookup,
 )
+from auditlens.session import stored
 
 
 def describe(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -124,14 +128,76 @@ def pearson(x, y):
 
 
 def correlations(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Pearson correlation of every pair of columns, all in one pass."""
+    """Pearson correlation of every pair of columns over the rows where both have a value.
+
+    Columns are standardised, missing cells set to 0, and four products of the matrix and its mask
+    (counts, sums, squares, cross products) give every pair's moments. Each task adds up its own, and
+    these blocks are added in a tree: 4 x columns^2 numbers, whatever the number of rows.
+    """
+    x = [F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols]
+    first = df.agg(*[f(v) for v in x for f in (F.avg, F.stddev_pop)]).first()
+    mean = np.array([v if v is not None else 0.0 for v in first[::2]])
+    scale = np.array([v or 1.0 for v in first[1::2]])
+    p = len(cols)
+
+    def work(batches):
+        total = np.zeros((4, p, p))
+        for batch in batches:
+            values = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns], axis=1).reshape(-1, p)
+            there = ~np.isnan(values)
+            z, m = np.where(there, (values - mean) / scale, 0.0), there.astype(float)
+            total += np.stack([m.T @ m, z.T @ m, (z * z).T @ m, z.T @ z])
+        return total
+
+    count, sums, squares, cross = array_total(df.select(*[v.alias(f"_{i}") for i, v in enumerate(x)]), work, (4, p, p))
+    rows = []
+    for i in range(p):
+        for j in range(i + 1, p):
+            n, value = count[i, j], None
+            if n > 0:
+                a, b = sums[i, j] / n, sums[j, i] / n
+                va, vb = squares[i, j] / n - a * a, squares[j, i] / n - b * b
+                if va > 1e-9 * squares[i, j] / n and vb > 1e-9 * squares[j, i] / n:
+                    value = float((cross[i, j] / n - a * b) / math.sqrt(va * vb))
+            rows.append((cols[i], cols[j], value))
+    return df.sparkSession.createDataFrame(rows, "feature_x string, feature_y string, correlation double")
+
+
+def mid_ranks(df: DataFrame, cols: list[str], id_col: str) -> DataFrame:
+    """(id, columns): every value replaced by its mean rank among the column's values, equal values
+    sharing one. Ranks come from counts per distinct value in ranges of sampled splitters."""
+    long = long_values(df, cols, keep=[id_col])
+    counts = long.groupBy("feature", "value").agg(F.count("*").alias("n")).repartitionByRange("feature", "value")
+    counts = stored(counts.withColumn("_bin", F.spark_partition_id()), "values")
+    rank = F.col("cum_n") - F.col("n") + (F.col("n") + 1) / 2
+    ranks = running_totals(counts, ["feature"], "_bin", "value", ["n"]).select("feature", "value", rank.alias("rank"))
+    ranked = with_lookup(long, ranks, ["feature", "value"])
+    return ranked.groupBy(id_col).agg(*[F.max(F.when(F.col("feature") == c, F.col("rank"))).alias(c) for c in cols])
+
+
+def rank_correlations(df: DataFrame, cols: list[str], id_col: str) -> DataFrame:
+    """Spearman correlation of every pair of columns; ``id_col`` is unique."""
+    return correlations(stored(mid_ranks(df, cols, id_col), "ranks"), cols)
+
+
+def text_associations(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Cramer's V of every pair of text columns, NULL where one has a single value.
+
+    Rows collapse to one cell per pair of values before the shuffle; margins are sums of cells.
+    """
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1 :]]
-    aggs = [pearson(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}") for i, (a, b) in enumerate(pairs)]
-    rows = [
-        F.struct(F.lit(a).alias("feature_x"), F.lit(b).alias("feature_y"), F.col(f"r{i}").alias("correlation"))
-        for i, (a, b) in enumerate(pairs)
-    ]
-    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+    entries = [F.struct(F.lit(a).alias("feature_x"), F.lit(b).alias("feature_y"), F.col(a).cast("string").alias("x"), F.col(b).cast("string").alias("y")) for a, b in pairs]
+    key = ["feature_x", "feature_y"]
+    rows = df.select(F.inline(F.array(*entries))).filter(F.col("x").isNotNull() & F.col("y").isNotNull())
+    cells = stored(rows.groupBy(*key, "x", "y").agg(F.count("*").alias("n")), "cells")
+    side = lambda v: cells.groupBy(*key, v).agg(F.sum("n").alias(f"n_{v}"))
+    met = with_lookup(with_lookup(cells, side("x"), [*key, "x"]), side("y"), [*key, "y"])
+    share = F.col("n") * F.col("n") / (F.col("n_x") * F.col("n_y"))
+    phi = met.groupBy(*key).agg(F.sum(share).alias("_s"))
+    sizes = cells.groupBy(*key).agg(F.countDistinct("x").alias("_r"), F.countDistinct("y").alias("_c"))
+    least = F.least("_r", "_c") - 1
+    value = F.when(least > 0, F.sqrt(F.greatest(F.col("_s") - 1, F.lit(0.0)) / least))
+    return phi.join(sizes, key).select(*key, value.alias("cramers_v"))
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
@@ -204,26 +270,42 @@ def joint_histogram(df: DataFrame, x: str, y: str, bins: int) -> DataFrame:
     )
 
 
-def density_curve(df: DataFrame, col: str, key: str, points: int = 200, bins: int = 1000) -> DataFrame:
+CELLS = 64  # cells per bandwidth
+REACH = 8  # bandwidths after which a kernel ends
+
+
+def density_curve(df: DataFrame, col: str, key: str, points: int = 200) -> DataFrame:
     """Gaussian kernel density per group on ``points`` positions from the group's minimum to
-    its maximum, Scott bandwidth. Rows are first counted in cells of width 1 / ``bins``; the
-    kernels run over those counts, so the work after the count does not grow with the rows.
+    its maximum, Scott bandwidth.
+
+    Rows are counted on a grid tied to each group's bandwidth, whatever the scale of its values: a
+    row between two grid points counts for both in proportion (linear binning), and a grid point
+    serves only the positions that its kernel reaches. So the work after the count is bounded by
+    cells within reach of a position, and does not grow with the rows.
     """
-    data = df.filter(F.col(col).isNotNull())
-    cells = data.groupBy(key, open_bin(F.col(col), bins).alias("_b")).agg(F.count("*").alias("_c"))
+    x = F.col(col).cast("double")
+    data = df.select(key, x.alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
     stats = data.groupBy(key).agg(
-        F.count("*").alias("_n"),
-        F.stddev_samp(col).alias("_s"),
-        F.min(col).alias("_lo"),
-        F.max(col).alias("_hi"),
+        F.count("*").alias("_n"), F.stddev_samp("_x").alias("_s"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi")
+    )
+    stats = stored(stats.filter(F.col("_s") > 0).withColumn("_h", F.col("_s") * F.pow(F.col("_n").cast("double"), F.lit(-0.2))), "bandwidths")
+    at = (F.col("_x") - F.col("_lo")) / (F.col("_h") / CELLS)
+    cells = data.join(stats, key).groupBy(key, F.floor(at).alias("_b")).agg(F.count("*").alias("_c"), F.sum(at - F.floor(at)).alias("_f"))
+    halves = F.array(F.struct(F.col("_b"), (F.col("_c") - F.col("_f")).alias("_m")), F.struct((F.col("_b") + 1).alias("_b"), F.col("_f").alias("_m")))
+    weights = cells.select(key, F.inline(halves)).groupBy(key, "_b").agg(F.sum("_m").alias("_m"))
+    step = (F.col("_hi") - F.col("_lo")) / (points - 1)
+    side = lambda reach: (F.col("_b") / CELLS + reach) * F.col("_h") / step
+    first = F.greatest(F.ceil(side(-REACH)), F.lit(0)).cast("int")
+    last = F.least(F.floor(side(REACH)), F.lit(points - 1)).cast("int")
+    met = weights.join(stats, key).withColumn("_first", first).withColumn("_last", last).filter("_first <= _last")
+    met = met.withColumn("grid_pos", F.explode(F.sequence("_first", "_last")))
+    z = F.col("grid_pos") * step / F.col("_h") - F.col("_b") / CELLS
+    sums = met.groupBy(key, "grid_pos").agg(F.sum(F.col("_m") * F.exp(-z * z / 2)).alias("_k"))
+    grid = stats.withColumn("grid_pos", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+    scale = F.col("_n") * F.col("_h") * math.sqrt(2 * math.pi)
+    return grid.join(sums, [key, "grid_pos"], "left").select(
+        key, "grid_pos", (F.col("_lo") + F.col("grid_pos") * step).alias("grid_value"), (F.coalesce("_k", F.lit(0.0)) / scale).alias("density")
     )
-    stats = stats.filter(F.col("_s") > 0).withColumn("_h", F.col("_s") * F.pow(F.col("_n").cast("double"), F.lit(-0.2)))
-    spread = cells.join(stats, key).withColumn("grid_pos", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-    x = F.col("_lo") + F.col("grid_pos") * ((F.col("_hi") - F.col("_lo")) / (points - 1))
-    centre = (F.col("_b") + 0.5) / bins
-    z = (x - centre) / F.col("_h")
-    kernel = F.col("_c") * F.exp(-z * z / 2) / (F.col("_n") * F.col("_h") * math.sqrt(2 * math.pi))
-    return spread.groupBy(key, "grid_pos").agg(F.max(x).alias("grid_value"), F.sum(kernel).alias("density"))
 
 
 def box_summary(df: DataFrame, col: str, key: str) -> DataFrame:
@@ -266,11 +348,10 @@ def correlation_ranking(df: DataFrame, numeric: list[str], text: list[str], scor
             .groupBy("feature", "value")
             .agg(F.count("*").alias("n"), F.sum("_s").alias("s"), F.sum(F.col("_s") * F.col("_s")).alias("ss"))
         )
-        # the first two characters are a monotone bin of the text
-        cells = cells.withColumn("_bin", F.coalesce(F.substring("value", 1, 2), F.lit("")))
-        cells = cells.withColumn("_one", F.when(F.col("value").isNull(), 0).otherwise(1))
-        coded = running_totals(cells, ["feature"], "_bin", "value", ["_one"])
-        code = F.when(F.col("value").isNull(), F.lit(-1.0)).otherwise((F.col("cum__one") - 1).cast("double"))
+        placed = stored(global_positions(cells, [F.col("feature"), F.col("value").asc_nulls_last()], "_at"), "codes")
+        first = placed.groupBy("feature").agg(F.min("_at").alias("_first"))
+        coded = placed.join(F.broadcast(first), "feature")  # one row per column name
+        code = F.when(F.col("value").isNull(), F.lit(-1.0)).otherwise((F.col("_at") - F.col("_first")).cast("double"))
         sums = coded.groupBy("feature").agg(
             F.sum("n").cast("double").alias("n"),
             F.sum(code * F.col("n")).alias("c"),

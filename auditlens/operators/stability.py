@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from auditlens.operators.metrics import group_quality
-from auditlens.operators.ordering import with_quartiles
+from auditlens.operators.ordering import QUARTILES, fit_quantiles, with_quartiles
 
 # Quartile labels and limits of the verdict.
 INCOME_LABELS = ["Q1", "Q2", "Q3", "Q4"]
@@ -54,10 +54,10 @@ def quality_of_frequent(df: DataFrame, col: str, k: int = 5, least: int = SUBGRO
 
 
 def quality_by_quartile(df: DataFrame, cols: dict[str, tuple[str, list[str]]], least: int = SUBGROUP_ROWS) -> DataFrame:
-    """``cols`` maps column to (subgroup name, four labels)."""
-    marked = df
+    """``cols`` maps column to (subgroup name, four labels). One fit gives the edges of all columns."""
+    edges, marked = fit_quantiles(df, list(cols), QUARTILES), df
     for c, (name, labels) in cols.items():
-        marked = with_quartiles(marked, c, labels, f"_{name}")
+        marked = with_quartiles(marked, c, labels, f"_{name}", edges=edges[c])
     return quality_by_subgroup(marked, {f"_{name}": name for name, _ in cols.values()}, least)
 
 

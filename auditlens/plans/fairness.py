@@ -38,6 +38,21 @@ def fairness_protected_fallback(spark, sf_dir):
     return fairness.protected_candidates(complete_loans(spark, sf_dir), CANDIDATE_COLS, 0, 8)
 
 
+@query(
+    "fairness_protected_choice",
+    on_loans(
+        f"WITH {DISTINCT_SQL}, k AS (SELECT feature FROM d WHERE n_distinct BETWEEN 2 AND 10 ORDER BY position LIMIT 1) "
+        "SELECT 'named' AS asked, 'purpose' AS chosen UNION ALL SELECT 'known', 'Ethnicity' UNION ALL SELECT 'neither', feature FROM k"
+    ),
+)
+def fairness_protected_choice(spark, sf_dir):
+    """The attribute chosen when one is named, when a column has a known name, and when neither holds."""
+    df = complete_loans(spark, sf_dir)
+    known = df.withColumnRenamed("home_ownership", "Ethnicity")
+    found = [("named", fairness.choose_protected(known, "purpose")), ("known", fairness.choose_protected(known, "absent")), ("neither", fairness.choose_protected(df))]
+    return spark.createDataFrame(found, "asked string, chosen string")
+
+
 @query(
     "fairness_listed_groups",
     on_loans("SELECT loan_id, CASE WHEN trim(grade) IN ('1-URGENT','2-HIGH') THEN 'minority' ELSE 'majority' END AS \"group\" FROM ok"),
@@ -123,6 +138,18 @@ RECORD_SQL = f"""WITH {TOTALS_SQL}, {CAL_SQL} SELECT {PARITY_OUT}, {ODDS_OUT},
   {r('(SELECT e FROM cal WHERE g=ng)')} AS calibration_min, {r('(SELECT e FROM cal WHERE g=jg)')} AS calibration_maj FROM pr"""
 
 
+CHOSEN_SQL = "WITH au2 AS (SELECT sc.*, CAST(issue_d AS VARCHAR) AS \"group\" FROM sc), " + RECORD_SQL.removeprefix("WITH ").replace("FROM aud", "FROM au2")
+
+
+@query("fairness_chosen_metrics", on_loans(CHOSEN_SQL.replace("ng AS group_minority", "'issue_d' AS attribute, ng AS group_minority")))
+def fairness_chosen_metrics(spark, sf_dir):
+    """The audit of an attribute that nobody named: chosen, grouped, and put through all metrics."""
+    df = scored(spark, sf_dir)
+    chosen = fairness.choose_protected(df)
+    record = fairness.fairness_metrics(fairness.with_protected(df, chosen))
+    return rounded(record.withColumn("attribute", F.lit(chosen)))
+
+
 @query("fairness_metrics", on_loans(RECORD_SQL))
 def fairness_metrics(spark, sf_dir):
     return rounded(fairness.fairness_metrics(audited(spark, sf_dir)))

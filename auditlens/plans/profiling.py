@@ -69,6 +69,34 @@ def profile_correlations(spark, sf_dir):
     return rounded(profile.correlations(complete_loans(spark, sf_dir), [*NUMERIC, "score"]))
 
 
+RANKED = ["funded_amnt", "int_rate", "dti", "open_acc", "annual_inc", "score"]
+RANKS_SQL = "rk AS (SELECT " + ", ".join(f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0::DOUBLE AS {c}" for c in RANKED) + " FROM ok)"
+
+
+@query(
+    "profile_rank_correlations",
+    on_loans(
+        f"WITH {RANKS_SQL} "
+        + union(f"SELECT '{a}' AS feature_x, '{b}' AS feature_y, {r(f'corr({a}, {b})')} AS correlation FROM rk" for i, a in enumerate(RANKED) for b in RANKED[i + 1 :])
+    ),
+)
+def profile_rank_correlations(spark, sf_dir):
+    return rounded(profile.rank_correlations(complete_loans(spark, sf_dir), RANKED, ID))
+
+
+def _cramers_sql(a: str, b: str) -> str:
+    return (
+        f"SELECT '{a}' AS feature_x, '{b}' AS feature_y, {r(f'sqrt(greatest(sum(n*n/(x.k*y.k::DOUBLE)) - 1, 0) / (least(count(DISTINCT c.{a}), count(DISTINCT c.{b})) - 1))')} AS cramers_v "
+        f"FROM (SELECT {a}, {b}, count(*) AS n FROM ok GROUP BY ALL) c JOIN (SELECT {a}, count(*) AS k FROM ok GROUP BY ALL) x ON x.{a} = c.{a} "
+        f"JOIN (SELECT {b}, count(*) AS k FROM ok GROUP BY ALL) y ON y.{b} = c.{b}"
+    )
+
+
+@query("profile_text_associations", on_loans(union(_cramers_sql(a, b) for i, a in enumerate(STRINGS) for b in STRINGS[i + 1 :])))
+def profile_text_associations(spark, sf_dir):
+    return rounded(profile.text_associations(complete_loans(spark, sf_dir), STRINGS))
+
+
 @query(
     "profile_value_counts",
     on_loans(f"SELECT purpose, count(*) AS n, {r('count(*)*1.0::DOUBLE/(SELECT count(*) FROM ok)')} AS fraction FROM ok GROUP BY purpose"),
@@ -202,11 +230,13 @@ def profile_histogram(spark, sf_dir):
 @query(
     "profile_density_curve",
     on_loans(
-        f"""WITH c AS (SELECT "group" AS g, {_bins('score', '0.0::DOUBLE', '1.0::DOUBLE', 1000)} AS b, count(*) AS k FROM aud GROUP BY ALL),
-        s AS (SELECT "group" AS g, count(*) AS n, stddev_samp(score)*pow(count(*)::DOUBLE, -0.2) AS h, min(score) AS lo, max(score) AS hi FROM aud GROUP BY ALL),
+        f"""WITH s AS (SELECT "group" AS g, count(*) AS n, stddev_samp(score)*pow(count(*)::DOUBLE, -0.2) AS h, min(score) AS lo, max(score) AS hi FROM aud GROUP BY ALL),
+        a AS (SELECT g, (score-lo)/(h/64) AS t FROM aud JOIN s ON aud."group" = s.g),
+        b AS (SELECT g, floor(t) AS b, count(*)-sum(t-floor(t)) AS near, sum(t-floor(t)) AS far FROM a GROUP BY ALL),
+        c AS (SELECT g, b, sum(m) AS m FROM (SELECT g, b, near AS m FROM b UNION ALL SELECT g, b+1, far FROM b) GROUP BY ALL),
         p AS (SELECT s.*, i AS grid_pos, lo+i*((hi-lo)/199.0::DOUBLE) AS x FROM s, range(200) t(i))
         SELECT p.g AS "group", CAST(grid_pos AS INTEGER) AS grid_pos, {r('max(x)')} AS grid_value,
-        {r('sum(k*exp(-((x-(b+0.5::DOUBLE)/1000)/h)*((x-(b+0.5::DOUBLE)/1000)/h)/2)/(n*h*sqrt(2*pi())))')} AS density
+        {r('coalesce(sum(m*exp(-((x-lo)/h-b/64)*((x-lo)/h-b/64)/2)) FILTER (WHERE abs((x-lo)/h-b/64) <= 8), 0)/max(n*h*sqrt(2*pi()))')} AS density
         FROM p JOIN c ON p.g = c.g GROUP BY p.g, grid_pos"""
     ),
 )
@@ -242,12 +272,17 @@ def profile_score_range(spark, sf_dir):
     return rounded(profile.value_range(complete_loans(spark, sf_dir), ["score", "margin"]))
 
 
+def _open_bin(x: str, n: int) -> str:
+    """Cell of width 1 / n without limits; 1 itself ends the last cell of [0, 1]."""
+    return f"CAST(CASE WHEN {x} = 1 THEN {n - 1} ELSE floor({x}/(1.0::DOUBLE/{n})) END AS INTEGER)"
+
+
 @query(
     "profile_predicted_actual",
     on_loans(
         f"""WITH l AS (SELECT regr_slope(score, dti) AS b, regr_intercept(score, dti) AS a FROM ok),
         p AS (SELECT score AS x, a + b*dti AS y FROM ok, l)
-        SELECT {_bins('x', '0.0::DOUBLE', '1.0::DOUBLE', 50)} AS x_bin, {_bins('y', '0.0::DOUBLE', '1.0::DOUBLE', 50)} AS y_bin, count(*) AS n
+        SELECT {_open_bin('x', 50)} AS x_bin, {_open_bin('y', 50)} AS y_bin, count(*) AS n
         FROM p GROUP BY ALL"""
     ),
 )

@@ -59,7 +59,7 @@ def test_names_are_cleaned_and_made_unique(spark):
     df = spark.createDataFrame(list(enumerate(names)), "i long, name string")
     cleaned = [r[0] for r in df.orderBy("i").select(clean_name(F.col("name"), F.col("i"))).collect()]
     assert cleaned == ["1_year", "1_year", "emp_1", "emp_1", "feature_4", "feature_5"]
-    unique = clean.unique_clean_names(df, "name", "i", width=2).orderBy("i").select("clean_name")
+    unique = clean.unique_clean_names(df, "name", "i").orderBy("i").select("clean_name")
     assert [r[0] for r in unique.collect()] == ["1_year", "1_year_1", "emp_1", "emp_1_1", "feature_4", "feature_5"]
     wide = spark.createDataFrame([(1, 2, 3)], ["a b", "a_b_1", "a[b"])
     assert clean.with_clean_columns(wide).columns == ["a_b", "a_b_1", "a_b_2"]
@@ -93,17 +93,17 @@ def test_small_groups_are_left_out(spark):
         assert sorted(r["g"] for r in clean.supported_groups(df, ["g"], least).collect()) == list(kept)
 
 
-@pytest.mark.parametrize("exact_rows", [5, 10**6])
-def test_quantiles_equal_the_exact_aggregate(spark, exact_rows):
+@pytest.mark.parametrize("most", [5, 10**6])
+def test_quantiles_equal_the_exact_aggregate(spark, most):
     df = spark.range(20000).select(
         (F.pmod(F.xxhash64("id"), F.lit(3000)) / 7).alias("x"), (F.col("id") % 3).alias("k"), F.lit(2.0).alias("flat")
     )
     probs = [0.0, 0.05, 0.25, 0.5, 0.9, 1.0]
     want = df.select(F.percentile("x", F.array(*[F.lit(p) for p in probs]))).first()[0]
-    got = exact_quantiles(df, ["x", "flat"], probs, exact_rows=exact_rows).collect()
+    got = exact_quantiles(df, ["x", "flat"], probs, most=most).collect()
     assert {r["feature"]: r["q"] for r in got}["x"] == pytest.approx(want, abs=1e-9)
     assert {r["feature"]: r["q"] for r in got}["flat"] == [2.0] * 6
-    keyed = exact_quantiles(df, ["x"], [0.25, 0.5], keys=["k"], exact_rows=exact_rows)
+    keyed = exact_quantiles(df, ["x"], [0.25, 0.5], keys=["k"], most=most)
     true = {r["k"]: r["q"] for r in df.groupBy("k").agg(F.expr("percentile(x, array(0.25, 0.5)) q")).collect()}
     for r in keyed.collect():
         assert r["q"] == pytest.approx(true[r["k"]], abs=1e-9)
