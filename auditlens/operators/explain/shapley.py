@@ -26,14 +26,14 @@ def additive_attributions(df: DataFrame, scorer: AdditiveScorer, id_col: str, re
 
     Wide rows (id, base_value, phi_<feature>...), one per input row, no shuffle.
     """
-    terms = scorer.terms({c: F.col(c) for c in scorer.inputs})
+    terms = scorer.terms({c: F.col(f"`{c}`") for c in scorer.inputs})
     means = reference.agg(*[F.avg(t).alias(f) for f, t in terms.items()]).first()
     base = scorer.intercept + sum(means)
     return df.select(
         id_col,
         F.lit(base).alias("base_value"),
         *[(t - F.lit(means[f])).alias(f"phi_{f}") for f, t in terms.items()],
-        *scorer.inputs,
+        *[F.col(f"`{c}`") for c in scorer.inputs],
     )
 
 
@@ -91,7 +91,7 @@ def sampled_attributions(df: DataFrame, scorer, id_col: str, reference: DataFram
 
 def long_attributions(wide: DataFrame, features: list[str], id_col: str) -> DataFrame:
     """Rows (id, base_value, feature, phi)."""
-    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"phi_{f}").alias("phi")) for f in features])
+    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"`phi_{f}`").alias("phi")) for f in features])
     return wide.select(id_col, "base_value", F.inline(pairs))
 
 
@@ -176,9 +176,9 @@ def dependence_pairs(wide: DataFrame, features: list[str], values: list[str], id
         *[
             F.struct(
                 F.lit(f).alias("feature"),
-                (F.col(f) if f in values else F.lit(None)).cast("double").alias("num"),
-                (F.lit(None) if f in values else F.col(f)).cast("string").alias("text"),
-                F.col(f"phi_{f}").alias("phi"),
+                (F.col(f"`{f}`") if f in values else F.lit(None)).cast("double").alias("num"),
+                (F.lit(None) if f in values else F.col(f"`{f}`")).cast("string").alias("text"),
+                F.col(f"`phi_{f}`").alias("phi"),
             )
             for f in features
         ]

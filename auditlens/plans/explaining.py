@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from auditlens.operators import profile, split
+from auditlens.operators import encode, profile, split
 from auditlens.operators.explain import dependence, local_linear, permutation, shapley
+from auditlens.operators.scorers import AdditiveScorer
 from auditlens.plans.frames import rounded
 from auditlens.plans.registry import query
 from auditlens.plans.sql import draw, margin, model, on_loans, r, unit
@@ -255,6 +256,47 @@ TERMS = {
     "annual_inc": "-0.00008::DOUBLE*(annual_inc-4500.0::DOUBLE)",
     "grade": "CASE grade WHEN '1-URGENT' THEN -0.6::DOUBLE WHEN '5-LOW' THEN 0.8::DOUBLE ELSE 0.0::DOUBLE END",
 }
+WIDE_TERMS = TERMS | {
+    "open_acc": "0.02::DOUBLE*(open_acc-4.0::DOUBLE)",
+    "funded_amnt": "0.000002::DOUBLE*(funded_amnt-150000.0::DOUBLE)",
+}
+del WIDE_TERMS["grade"]
+LEVELS = {
+    "grade": {"1-URGENT": -0.6, "2-HIGH": -0.2, "3-MEDIUM": 0.1, "4-NOT SPECIFIED": 0.3, "5-LOW": 0.8},
+    "home_ownership": {"AUTOMOBILE": 0.05, "BUILDING": -0.15, "FURNITURE": 0.25, "HOUSEHOLD": -0.35, "MACHINERY": 0.45},
+}
+WIDE_TERMS |= {f"{c}_{v}": f"CASE WHEN {c}='{v}' THEN {w}::DOUBLE ELSE 0.0::DOUBLE END" for c, levels in LEVELS.items() for v, w in levels.items()}
+
+
+def wide_terms(cols: dict) -> dict:
+    """Terms of a scorer over numbers and the 0/1 columns of texts: sixteen inputs."""
+    numbers = {
+        "int_rate": 0.45 * (cols["int_rate"] - 5.0),
+        "dti": 0.06 * (cols["dti"] - 25.0),
+        "pct_protected": 0.25 * (cols["pct_protected"] - 4.0),
+        "annual_inc": -0.00008 * (cols["annual_inc"] - 4500.0),
+        "open_acc": 0.02 * (cols["open_acc"] - 4.0),
+        "funded_amnt": 0.000002 * (cols["funded_amnt"] - 150000.0),
+    }
+    return numbers | {f"{c}_{v}": cols[f"{c}_{v}"] * F.lit(w) for c, levels in LEVELS.items() for v, w in levels.items()}
+
+
+WIDE = AdditiveScorer(list(WIDE_TERMS), wide_terms, -1.6)
+
+
+def phi_sql(terms: dict[str, str]) -> str:
+    """Background, attributions and importances of an additive scorer as CTEs."""
+    total = "+".join(f'"m_{c}"' for c in terms)
+    return (
+        f"bg AS (SELECT * FROM ok ORDER BY {unit('loan_id', '42')}, loan_id LIMIT 100), bm AS (SELECT "
+        + ", ".join(f'avg({t}) AS "m_{c}"' for c, t in terms.items())
+        + " FROM bg), ph AS ("
+        + " UNION ALL ".join(f"SELECT loan_id, -1.6::DOUBLE+{total} AS base_value, '{c}' AS feature, ({t})-\"m_{c}\" AS phi FROM ok, bm" for c, t in terms.items())
+        + "), ai AS (SELECT feature, avg(abs(phi)) AS importance, avg(phi) AS mean_shap, stddev_pop(phi) AS std_shap, count(*) AS n, var_pop(phi) AS v FROM ph GROUP BY feature)"
+    )
+
+
+WIDE_SQL = phi_sql(WIDE_TERMS)
 PHI_SQL = (
     f"bg AS (SELECT * FROM ok ORDER BY {unit('loan_id', '42')}, loan_id LIMIT 100), bm AS (SELECT "
     + ", ".join(f"avg({t}) AS m_{c}" for c, t in TERMS.items())
@@ -272,6 +314,14 @@ def wide_phi(spark, sf_dir):
     return shapley.additive_attributions(df, ADDITIVE, ID, shapley.background(df, ID))
 
 
+def sixteen_phi(spark, sf_dir):
+    """Attributions of the scorer with sixteen inputs."""
+    df = complete_loans(spark, sf_dir)
+    coded = df.withColumns(encode.hot_columns({c: list(levels) for c, levels in LEVELS.items()}))
+    quoted = shapley.additive_attributions(coded, WIDE, ID, shapley.background(coded, ID))
+    return quoted
+
+
 def long_phi(spark, sf_dir):
     return shapley.long_attributions(wide_phi(spark, sf_dir), SCORER_INPUTS, ID)
 
@@ -370,39 +420,49 @@ def explain_top_factors(spark, sf_dir):
 @query(
     "explain_attribution_statistics",
     on_loans(
-        f"""WITH {PHI_SQL}, t AS (SELECT v FROM ai ORDER BY importance DESC, feature LIMIT 3)
+        f"""WITH {WIDE_SQL}, t AS (SELECT v FROM ai ORDER BY round(importance, 9) DESC, feature LIMIT 10)
         SELECT {r('(SELECT sum(v) FROM t)/(SELECT sum(v) FROM ai)')} AS top_variance_share, {r('avg(phi)')} AS mean_shap, {r('stddev_pop(phi)')} AS std_shap,
         {r('avg(base_value)')} AS base_value FROM ph"""
     ),
 )
 def explain_attribution_statistics(spark, sf_dir):
-    return rounded(shapley.attribution_statistics(long_phi(spark, sf_dir), k=3))
+    return rounded(shapley.attribution_statistics(shapley.long_attributions(sixteen_phi(spark, sf_dir), WIDE.inputs, ID)))
 
 
 @query(
     "explain_waterfall",
     on_loans(
-        f"""WITH {PHI_SQL}, k AS (SELECT *, row_number() OVER (PARTITION BY loan_id ORDER BY round(abs(phi), 9) DESC, feature) AS rk, count(*) OVER (PARTITION BY loan_id) AS sz FROM ph),
-        l AS (SELECT loan_id, CASE WHEN sz > 4 AND rk >= 4 THEN 4 ELSE rk END AS step, CASE WHEN sz > 4 AND rk >= 4 THEN 'other features' ELSE feature END AS label,
+        f"""WITH {WIDE_SQL}, k AS (SELECT *, row_number() OVER (PARTITION BY loan_id ORDER BY round(abs(phi), 9) DESC, feature) AS rk, count(*) OVER (PARTITION BY loan_id) AS sz FROM ph),
+        l AS (SELECT loan_id, CASE WHEN sz > 15 AND rk >= 15 THEN 15 ELSE rk END AS step, CASE WHEN sz > 15 AND rk >= 15 THEN 'other features' ELSE feature END AS label,
           sum(phi) AS phi, max(base_value) AS base_value FROM k GROUP BY ALL)
         SELECT loan_id, CAST(step AS INTEGER) AS step, label, {r('phi', 9)} AS phi, {r('base_value', 9)} AS base_value,
         {r('base_value + sum(phi) OVER (PARTITION BY loan_id ORDER BY step)', 9)} AS running_total FROM l"""
     ),
 )
 def explain_waterfall(spark, sf_dir):
-    return rounded(shapley.waterfall(long_phi(spark, sf_dir), ID, shown=4), 9)
+    return rounded(shapley.waterfall(shapley.long_attributions(sixteen_phi(spark, sf_dir), WIDE.inputs, ID), ID), 9)
+
+
+def _value_sql(c: str) -> str:
+    for text in LEVELS:
+        if c.startswith(f"{text}_"):
+            return f"CASE WHEN {text}='{c.removeprefix(text + '_')}' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END"
+    return f"CAST({c} AS DOUBLE)"
+
+
+VALUES_SQL = "CASE ph.feature " + " ".join(f"WHEN '{c}' THEN {_value_sql(c)}" for c in WIDE_TERMS) + " END"
 
 
 @query(
     "explain_attribution_pairs",
     on_loans(
-        f"""WITH {PHI_SQL}, t AS (SELECT feature FROM ai ORDER BY round(importance, 9) DESC, feature LIMIT 3)
-        SELECT ph.loan_id, ph.feature, {r("CASE ph.feature WHEN 'int_rate' THEN int_rate WHEN 'dti' THEN dti WHEN 'pct_protected' THEN pct_protected WHEN 'annual_inc' THEN annual_inc END")} AS num,
-        CASE WHEN ph.feature='grade' THEN grade END AS text, {r('phi')} AS phi FROM ph JOIN t ON ph.feature=t.feature JOIN ok ON ok.loan_id=ph.loan_id"""
+        f"""WITH {WIDE_SQL}, t AS (SELECT feature FROM ai ORDER BY round(importance, 9) DESC, feature LIMIT 10)
+        SELECT ph.loan_id, ph.feature, {r(VALUES_SQL)} AS num, CAST(NULL AS VARCHAR) AS text, {r('phi')} AS phi
+        FROM ph JOIN t ON ph.feature=t.feature JOIN ok ON ok.loan_id=ph.loan_id"""
     ),
 )
 def explain_attribution_pairs(spark, sf_dir):
-    pairs = shapley.dependence_pairs(wide_phi(spark, sf_dir), SCORER_INPUTS, SCORER_NUMERIC, ID, k=3)
+    pairs = shapley.dependence_pairs(sixteen_phi(spark, sf_dir), WIDE.inputs, WIDE.inputs, ID)
     return rounded(pairs.select(ID, "feature", "num", "text", "phi"))
 
 

@@ -194,9 +194,33 @@ def fairness_equivalence_statistics(spark, sf_dir):
     return rounded(fairness.equivalence_test(pair).drop("p_value"))
 
 
-@query("fairness_equivalence_test")
+SIMPSON = "CASE WHEN i = 0 OR i = 2000 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
+
+
+def student_sql(t: str, dof: str) -> str:
+    """Upper tail of Student's t by Simpson's rule on its density."""
+    scale = f"exp(lgamma(({dof}+1)/2.0::DOUBLE) - lgamma({dof}/2.0::DOUBLE)) / sqrt({dof}*pi())"
+    area = f"(SELECT sum({SIMPSON} * pow(1 + pow(abs({t})*i/2000, 2)/{dof}, -({dof}+1)/2.0::DOUBLE)) * abs({t})/2000/3 FROM range(2001) s(i))"
+    return f"(0.5::DOUBLE - sign({t}) * {scale} * {area})"
+
+
+def chi2_tail_sql(x: str, dof: str) -> str:
+    """Upper tail of chi-squared by Simpson's rule; with u = sqrt(x) the density has no pole."""
+    u = f"(sqrt({x})*i/2000)"
+    density = f"CASE WHEN {u} = 0 AND {dof} > 1 THEN 0 ELSE exp(CASE WHEN {dof} > 1 THEN ({dof}-1)*ln({u}) ELSE 0 END - {u}*{u}/2 - ({dof}/2.0::DOUBLE-1)*ln(2) - lgamma({dof}/2.0::DOUBLE)) END"
+    return f"CASE WHEN {dof} = 0 THEN 1 ELSE greatest(1 - (SELECT sum({SIMPSON} * {density}) * sqrt({x})/2000/3 FROM range(2001) s(i)), 0) END"
+
+
+@query(
+    "fairness_equivalence_test",
+    on_loans(
+        f"WITH {TOST_SQL}, tp AS (SELECT *, greatest({student_sql('tl', 'dof')}, {student_sql('(-tu)', 'dof')}) AS p FROM tv) "
+        f"SELECT ng AS group_minority, jg AS group_majority, {r('d')} AS mean_diff, 0.1::DOUBLE AS delta, dof, {r('tl')} AS t_lower, {r('tu')} AS t_upper, "
+        f"{r('p')} AS p_value, CASE WHEN p < 0.05 THEN 'Equivalence Accepted' ELSE 'Equivalence Rejected' END AS result FROM tp"
+    ),
+)
 def fairness_equivalence_test(spark, sf_dir):
-    return fairness.equivalence_test(fairness.top_two(fairness.group_totals(audited(spark, sf_dir))))
+    return rounded(fairness.equivalence_test(fairness.top_two(fairness.group_totals(audited(spark, sf_dir)))))
 
 
 def chi2_sql(source: str, keys: str) -> str:
@@ -213,9 +237,9 @@ def chi2_sql(source: str, keys: str) -> str:
 CHI_OUT = f"CAST(n AS BIGINT) AS n_samples, {r('chi2')} AS chi2, CAST(dof AS INTEGER) AS dof, degenerate"
 
 
-@query("fairness_independence", on_loans(f"WITH x AS ({chi2_sql('aud', '')}) SELECT {CHI_OUT} FROM x"))
+@query("fairness_independence", on_loans(f"WITH x AS ({chi2_sql('aud', '')}) SELECT {CHI_OUT}, {r(chi2_tail_sql('chi2', 'dof'))} AS p_value FROM x"))
 def fairness_independence(spark, sf_dir):
-    return rounded(fairness.independence_test(audited(spark, sf_dir)).drop("p_value"))
+    return rounded(fairness.independence_test(audited(spark, sf_dir)))
 
 
 @query(
@@ -255,14 +279,27 @@ def fairness_candidate_statistics(spark, sf_dir):
     return rounded(fairness.candidate_statistics(audited(spark, sf_dir), CANDIDATES))
 
 
-@query("fairness_candidate_variables")
+TESTED_SQL = f"{CANDIDATE_SQL}, al AS ({chi2_sql('aud', '')}), ov AS (SELECT {chi2_tail_sql('chi2', 'dof')} AS overall FROM al), te AS (SELECT *, {chi2_tail_sql('chi2', 'dof')} AS p FROM x)"
+
+
+@query(
+    "fairness_candidate_variables",
+    on_loans(f"WITH {TESTED_SQL} SELECT feature, value, {CHI_OUT}, {r('p')} AS p_value, p >= 0.05 AS restored, {r('overall')} AS overall_p FROM te, ov"),
+)
 def fairness_candidate_variables(spark, sf_dir):
-    return fairness.candidate_variables(audited(spark, sf_dir), CANDIDATES)
+    return rounded(fairness.candidate_variables(audited(spark, sf_dir), CANDIDATES))
 
 
-@query("fairness_candidate_ranking")
+@query(
+    "fairness_candidate_ranking",
+    on_loans(
+        f"WITH {TESTED_SQL}, named AS (SELECT * FROM (VALUES {', '.join(f'({c!r})' for c in CANDIDATES)}) v(feature)) "
+        f"SELECT named.feature, {r("coalesce(max(p), 0)")} AS max_p_value, coalesce(bool_or(p >= 0.05 AND overall < 0.05), false) AS is_candidate, "
+        "count(*) FILTER (WHERE p >= 0.05) AS n_restored FROM named LEFT JOIN te ON te.feature = named.feature CROSS JOIN ov GROUP BY named.feature"
+    ),
+)
 def fairness_candidate_ranking(spark, sf_dir):
-    return fairness.candidate_ranking(fairness.candidate_variables(audited(spark, sf_dir), CANDIDATES), CANDIDATES)
+    return rounded(fairness.candidate_ranking(fairness.candidate_variables(audited(spark, sf_dir), CANDIDATES), CANDIDATES))
 
 
 @query(

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from auditlens.functions.expr import decide, sigmoid
 from auditlens.operators import metrics, models, split, stability
 from auditlens.operators.encode import fit_categories
-from auditlens.operators.explain import dependence, permutation, shapley
+from auditlens.operators.explain import dependence, local_linear, permutation, shapley
+from auditlens.operators.fairness import QUARTILE_LABELS
 from auditlens.operators.metrics import fidelity
-from auditlens.operators.ordering import hash_sample
+from auditlens.operators.ordering import hash_sample, with_quartiles
 from auditlens.operators.scorers import MLScorer
 from auditlens.plans.frames import rounded
 from auditlens.plans.registry import query
@@ -19,7 +20,7 @@ from auditlens.sources import tables
 from auditlens.sources.loans import ID, SCORER_NUMERIC, TEST_YEARS, complete_loans
 
 TEXT = ["grade", "home_ownership"]
-ROUNDS = 5
+ROUNDS, DEPTH, RATE = 20, 7, 0.08
 
 
 def prepared(spark, sf_dir):
@@ -33,9 +34,25 @@ def train_of(df):
     return df.filter("split = 'train'")
 
 
-def fitted_black_box(df, rounds=ROUNDS, depth=4):
-    estimator = models.black_box(rounds=rounds, depth=depth, rate=0.3)
-    return models.fit_model(train_of(df), estimator, SCORER_NUMERIC, TEXT)
+_models: dict[tuple[str, str], str] = {}
+
+
+def fitted_black_box(spark, sf_dir):
+    """The boosted trees of the training years, fitted once per session and source and kept in the
+    model store. ``ROUNDS`` is the only setting below that of a full study."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _models:
+        estimator = models.black_box(rounds=ROUNDS, depth=DEPTH, rate=RATE)
+        model = models.fit_model(train_of(prepared(spark, sf_dir)), estimator, SCORER_NUMERIC, TEXT)
+        _models[key] = tables.save_model(model, fresh_path(spark, "black-box"))
+    return tables.load_model(_models[key])
+
+
+INPUTS = [*SCORER_NUMERIC, *TEXT]
+
+
+def black_box_scorer(spark, sf_dir, output="score"):
+    return MLScorer(fitted_black_box(spark, sf_dir), INPUTS, output=output)
 
 
 def fitted(df, estimator):
@@ -81,47 +98,77 @@ def model_forest_surrogate(spark, sf_dir):
 
 @query("model_black_box")
 def model_black_box(spark, sf_dir):
+    return models_scored(prepared(spark, sf_dir), fitted_black_box(spark, sf_dir))
+
+
+@query(
+    "model_black_box_checks",
+    on_loans("SELECT count(*) AS n, true AS in_range, true AS ranks_targets, true AS separates FROM ok"),
+)
+def model_black_box_checks(spark, sf_dir):
+    """Scores of the fitted black box are probabilities, rank targets better than chance on the test
+    years, and separate the training rows at least as well."""
     df = prepared(spark, sf_dir)
-    return models_scored(df, fitted_black_box(df))
+    scored = stored(models_scored(df, fitted_black_box(spark, sf_dir), "split"), "fitted-scores")
+    auc = {r["split"]: r["auc"] for r in metrics.roc_auc(scored, ["split"]).collect()}
+    ok = F.min((F.col("score") >= 0) & (F.col("score") <= 1))
+    return scored.agg(F.count("*").alias("n"), ok.alias("in_range"), F.lit(auc["test"] > 0.5).alias("ranks_targets"), F.lit(auc["train"] >= auc["test"]).alias("separates"))
 
 
 @query("model_fitted_dependence")
 def model_fitted_dependence(spark, sf_dir):
-    """Partial dependence of the fitted black box over the test years."""
+    """Partial dependence of the fitted black box over the test years, all inputs."""
+    test = prepared(spark, sf_dir).filter("split = 'test'")
+    return rounded(dependence.partial_dependence(test, black_box_scorer(spark, sf_dir), INPUTS))
+
+
+@query("model_fitted_curves")
+def model_fitted_curves(spark, sf_dir):
+    """Individual curves of the fitted black box for 1,000 sampled rows of the test years."""
+    test = prepared(spark, sf_dir).filter("split = 'test'")
+    return rounded(dependence.individual_curves(test, black_box_scorer(spark, sf_dir), SCORER_NUMERIC, ID, rows=1000))
+
+
+@query("model_fitted_local_linear")
+def model_fitted_local_linear(spark, sf_dir):
+    """Local models of the fitted black box around five loans of the test years, 5,000 samples each."""
     df = prepared(spark, sf_dir)
-    scorer = MLScorer(fitted_black_box(df), [*SCORER_NUMERIC, *TEXT])
-    return rounded(dependence.partial_dependence(df.filter("split = 'test'"), scorer, ["int_rate", "dti", "grade"]))
+    chosen = df.filter("split = 'test'").orderBy(ID).limit(5)
+    return local_linear.local_explanations(train_of(df), chosen, black_box_scorer(spark, sf_dir), ID)
+
+
+@query("model_fitted_group_dependence")
+def model_fitted_group_dependence(spark, sf_dir):
+    """Partial dependence of the fitted black box inside each protected quartile of the test years."""
+    test = with_quartiles(prepared(spark, sf_dir).filter("split = 'test'"), "pct_protected", QUARTILE_LABELS, "group")
+    return rounded(dependence.group_dependence(test, black_box_scorer(spark, sf_dir), INPUTS, "group"))
 
 
 @query("model_fitted_importance")
 def model_fitted_importance(spark, sf_dir):
     """Permutation importance of the fitted black box over the test years."""
-    df = prepared(spark, sf_dir)
-    inputs = [*SCORER_NUMERIC, *TEXT]
-    scorer = MLScorer(fitted_black_box(df), inputs)
-    return permutation.importance_by_f1(df.filter("split = 'test'"), scorer, ID, "target", inputs, repeats=2, threshold=0.3)
+    test = prepared(spark, sf_dir).filter("split = 'test'")
+    return permutation.importance_by_f1(test, black_box_scorer(spark, sf_dir), ID, "target", INPUTS, threshold=0.3)
 
 
 @query("model_threshold_stability")
 def model_threshold_stability(spark, sf_dir):
     """Fit, threshold of the best F1 on the training years, quality per test year at it."""
     df = prepared(spark, sf_dir)
-    scored = stored(models_scored(df, fitted_black_box(df), "issue_d", "split"), "fitted-scores")
+    scored = stored(models_scored(df, fitted_black_box(spark, sf_dir), "issue_d", "split"), "fitted-scores")
     cut = metrics.best_f1_threshold(train_of(scored)).first()["threshold"]
     decided = scored.filter("split = 'test'").withColumn("y_hat", decide("score", cut))
     return rounded(stability.quality_by_year(decided, "issue_d").withColumn("threshold", F.lit(cut)))
 
 
 def models_scored(df, model, *keep):
-    return MLScorer(model, [*SCORER_NUMERIC, *TEXT]).score(df).select(ID, "target", "score", *keep)
+    return MLScorer(model, INPUTS).score(df).select(ID, "target", "score", *keep)
 
 
 @query("model_batch_scoring")
 def model_batch_scoring(spark, sf_dir):
     """Class and probability from a logistic-loss tree ensemble loaded from the model store."""
-    df = prepared(spark, sf_dir)
-    path = tables.save_model(fitted_black_box(df, rounds=2), fresh_path(spark, "model"))
-    scored = models_scored(df, tables.load_model(path))
+    scored = models_scored(prepared(spark, sf_dir), fitted_black_box(spark, sf_dir))
     return scored.withColumn("y_hat", (F.col("score") >= 0.5).cast("int"))
 
 
@@ -235,7 +282,7 @@ def model_additive_store_round_trip(spark, sf_dir):
 def model_fitted_attributions(spark, sf_dir):
     """Margin-scale attributions of the fitted black box for 2,000 sampled rows of the test years."""
     df = prepared(spark, sf_dir)
-    scorer = MLScorer(fitted_black_box(df), [*SCORER_NUMERIC, *TEXT], output="margin")
+    scorer = black_box_scorer(spark, sf_dir, output="margin")
     test = df.filter("split = 'test'")
     explained = hash_sample(test, ID, 2000, 42)
     return rounded(shapley.sampled_attributions(explained, scorer, ID, shapley.background(train_of(df), ID)))
@@ -246,7 +293,7 @@ def model_subgroup_stability(spark, sf_dir):
     """Fit, threshold of the best F1 on the training years, quality per subgroup of the test years:
     grades, home ownership, and quartiles of income and amount."""
     df = prepared(spark, sf_dir)
-    scored = stored(models_scored(df, fitted_black_box(df), "split", "grade", "home_ownership", "annual_inc", "funded_amnt"), "fitted-scores")
+    scored = stored(models_scored(df, fitted_black_box(spark, sf_dir), "split", "grade", "home_ownership", "annual_inc", "funded_amnt"), "fitted-scores")
     cut = metrics.best_f1_threshold(train_of(scored)).first()["threshold"]
     test = scored.filter("split = 'test'").withColumn("y_hat", decide("score", cut))
     named = stability.quality_by_subgroup(test, {c: c for c in TEXT})

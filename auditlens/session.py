@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -35,17 +36,22 @@ def tune(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
 
 
+_made: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
+    """The folder named by ``spark.checkpoint.dir``; a temporary one, kept for the application, only
+    in local mode (the setting itself cannot be changed in a running session)."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
-    made = tempfile.mkdtemp(prefix="auditlens-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    spark.sparkContext.setCheckpointDir(made)
-    return made
+    app = spark.sparkContext.applicationId
+    if app not in _made:
+        _made[app] = tempfile.mkdtemp(prefix="auditlens-")
+        spark.sparkContext.setCheckpointDir(_made[app])
+    return _made[app]
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from auditlens.functions import tails
 from auditlens.functions.expr import clean_name, cubic_basis
-from auditlens.operators import clean, encode, fairness, metrics, profile
+from auditlens import session
+from auditlens.operators import clean, compare, encode, fairness, metrics, models, profile
 from auditlens.operators.ordering import exact_quantiles, fit_quantiles, with_quartiles
 
 
@@ -167,3 +168,49 @@ def test_ranking_needs_the_overall_test(spark):
 def test_one_hot_of_a_column_with_many_values(spark):
     frame = spark.range(120).select(F.concat(F.lit("v"), "id").alias("c"))
     assert len(encode.one_hot(frame, encode.fit_categories(frame, ["c"]), []).columns) == 120
+
+
+def test_specific_features_are_those_of_one_list_only(spark):
+    a = spark.createDataFrame([("dti", 3.0), ("int_rate", 2.0), ("grade", 1.0)], "feature string, importance double")
+    b = spark.createDataFrame([("dti", 0.9), ("open_acc", 0.5), ("grade", 0.4)], "feature string, correlation double")
+    assert sorted(rows(compare.specific_features(a, b))) == [("int_rate", "first"), ("open_acc", "second")]
+    assert sorted(rows(compare.common_features(a, b))) == [("dti",), ("grade",)]
+
+
+def test_slots_of_a_text_add_up_to_its_column(spark):
+    slots = spark.createDataFrame([("dti", 0.5), ("grade_oh_a", 0.2), ("grade_oh_b", 0.1), ("grade_ohm", 0.2)], "feature string, importance double")
+    got = {r["feature"]: round(r["importance"], 9) for r in models.importance_by_column(slots, ["grade"]).collect()}
+    assert got == {"dti": 0.5, "grade": 0.3, "grade_ohm": 0.2}
+
+
+def test_working_folder_without_a_setting(spark):
+    """In local mode a folder is made once per application; elsewhere the setting is required."""
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        applicationId = "app-of-a-test"
+        master = "local[2]"
+
+        def setCheckpointDir(self, path):
+            self.path = path
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    first = session.shared_dir(Session)
+    assert first == session.shared_dir(Session) == Session.sparkContext.path
+    Session.sparkContext.master = "local-cluster[2,1,1024]"
+    with pytest.raises(ValueError):
+        session.shared_dir(Session)
+
+
+def test_attributes_are_chosen_by_name_then_by_size(spark):
+    df = spark.createDataFrame([(i, i % 3, "x" if i % 2 else "y") for i in range(40)], "id long, Race_Desc int, kind string")
+    assert fairness.choose_protected(df, "kind") == "kind"
+    assert fairness.choose_protected(df, "absent") == "Race_Desc"
+    assert fairness.choose_protected(df.withColumnRenamed("Race_Desc", "target")) == "kind"
+    with pytest.raises(ValueError):
+        fairness.choose_protected(df.select("id"))
