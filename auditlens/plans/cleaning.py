@@ -44,7 +44,7 @@ def on_dirty(body: str) -> str:
     "source_csv_scan",
     on_loans(
         f"SELECT loan_id, issue_d, {r('funded_amnt')} AS funded_amnt, {r('int_rate')} AS int_rate, grade, purpose, "
-        "score, target FROM ok"
+        f"{r('score')} AS score, target FROM ok"
     ),
 )
 def source_csv_scan(spark, sf_dir):
@@ -66,7 +66,7 @@ def source_csv_row_id(spark, sf_dir):
 
 @query(
     "sink_scored_table",
-    on_loans(f"SELECT loan_id, grade, {r('dti')} AS dti, score AS y_pred_bb FROM ok"),
+    on_loans(f"SELECT loan_id, grade, {r('dti')} AS dti, {r('score')} AS y_pred_bb FROM ok"),
 )
 def sink_scored_table(spark, sf_dir):
     path = fresh_path(spark, "scored")
@@ -74,7 +74,7 @@ def sink_scored_table(spark, sf_dir):
     return rounded(spark.read.parquet(path))
 
 
-@query("source_preview", on_loans(f"SELECT loan_id, issue_d, grade, {r('dti')} AS dti, score, target FROM ok ORDER BY loan_id LIMIT 5"))
+@query("source_preview", on_loans(f"SELECT loan_id, issue_d, grade, {r('dti')} AS dti, {r('score')} AS score, target FROM ok ORDER BY loan_id LIMIT 5"))
 def source_preview(spark, sf_dir):
     df = complete_loans(spark, sf_dir).select(ID, "issue_d", "grade", "dti", "score", "target")
     return rounded(tables.preview(df, ID, 5))
