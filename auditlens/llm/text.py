@@ -2,9 +2,9 @@
 
 A text column is used as its UTF-8 buffer and offsets; no Python string is made per row.
 Words are maximal runs of bytes other than 0x20 and 0x09-0x0D, which cannot be part of a
-longer UTF-8 sequence. Hashes are polynomials modulo 2^64, taken from one running sum per
-slice and finished with a mixing step, so equal byte strings have equal hashes wherever
-they stand.
+longer UTF-8 sequence. Hashes are polynomials modulo 2^64 over short pieces, taken from one
+running sum per slice and finished with a mixing step, so equal byte strings have equal hashes
+wherever they stand.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
+PIECE = 256
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -69,6 +70,11 @@ def _power(kind: str, n: int) -> np.ndarray:
     return have[:n]
 
 
+def forget_tables() -> None:
+    """Drop the powers that hashing keeps; they are made again when needed."""
+    _powers.clear()
+
+
 def running(data: np.ndarray, lower: bool = False) -> np.ndarray:
     """Sums from which ``span_hash`` takes the hash of any span of ``data``."""
     out = np.empty(len(data) + 1, np.uint64)
@@ -77,10 +83,28 @@ def running(data: np.ndarray, lower: bool = False) -> np.ndarray:
     return out
 
 
-def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def _short_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mix((sums[end] - sums[start]) * _power("down", len(sums))[start] + (end - start).astype(np.uint64))
 
 
+def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of each span. A polynomial modulo 2^64 has colliding texts of regular structure from
+    1,024 bytes on, so longer spans are sums over pieces of ``PIECE`` bytes, each hashed and mixed
+    on its own and weighted by a mixed, not a geometric, number of its place."""
+    out = _short_hash(sums, start, end)
+    long = np.flatnonzero(end - start > PIECE)
+    if len(long):
+        a, b = start[long].astype(np.int64), end[long].astype(np.int64)
+        n = -(-(b - a) // PIECE)
+        first = np.cumsum(n) - n
+        place = np.arange(int(n.sum())) - np.repeat(first, n)
+        lo = np.repeat(a, n) + place * PIECE
+        weight = mix(place.astype(np.uint64) + _BASE) | np.uint64(1)
+        parts = _short_hash(sums, lo, np.minimum(lo + PIECE, np.repeat(b, n))) * weight
+        out[long] = mix(np.add.reduceat(parts, first) + (b - a).astype(np.uint64))
+    return out
+
+
 def window_hash(sums: np.ndarray, width: int) -> np.ndarray:
     """Hash of every span of ``width`` bytes."""
     n = len(sums) - width
