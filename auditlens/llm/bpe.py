@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auditlens.llm.packed import tuned
+from auditlens.llm.packed import thrifty, tuned
 
 CACHED_WORDS = 300_000
 _END = "\ue000"  # stands for the word-end suffix; no byte character has this code
@@ -201,4 +201,4 @@ def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     ddl = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(encode, ddl)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(thrifty(encode), ddl)

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from auditlens.llm.components import components
-from auditlens.llm.packed import BLOCK_DDL, parts_of, row_blocks, scatter, stored, tuned, unpack
+from auditlens.llm.packed import BLOCK_DDL, parts_of, row_blocks, scatter, stored, swept, thrifty, thrifty_group, tuned, unpack
 from auditlens.llm.text import column_bytes, mix, shingle_hashes, slices, word_hashes
 
 SHINGLE = 5
@@ -46,6 +46,7 @@ PERCENT = 80
 HEAVY_KEYS = 1 << 20
 HEAVY_LEAST = 16
 LOCAL_LEAST = 3
+COUNTED = 1_000_000
 BOUNDARIES = (4, 9, 14)
 
 
@@ -85,20 +86,19 @@ def bits_allow(x: bytes, y: bytes, n: int, m: int, percent: int) -> bool:
 
 def _profile(docs: DataFrame, k: int) -> DataFrame:
     """One scan: rows (0, doc_id, class, n, bitmap) for texts, and (1, null, shingle, texts)
-    for shingles that several texts of a task hold."""
+    for shingles that several of the texts counted together hold. Counts leave after every
+    ``COUNTED`` shingles, so a task's memory does not grow with its text; a shingle that is heavy
+    in the corpus is among several of them."""
 
     def scan(batches):
-        counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        waiting, size, seen = [], 0, set()
 
-        def merged(waiting):
-            key = np.concatenate([counts[0], *waiting])
-            n = np.concatenate([counts[1], np.ones(len(key) - len(counts[0]), np.int64)])
-            order = np.argsort(key, kind="stable")
-            key, n = key[order], n[order]
-            cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-            return key[cut], np.add.reduceat(n, cut) if len(cut) else n
+        def shared():
+            key, n = np.unique(np.concatenate(waiting), return_counts=True)
+            often = n >= LOCAL_LEAST
+            none = [None] * int(often.sum())
+            return _rows(1, pa.nulls(len(none), pa.int64()), key[often].view(np.int64), n[often], none)
 
-        waiting, size, seen = [], 0, set()
         for batch in batches:
             keys, ns, bits = [], [], []
             for s in shingle_sets(batch.column(1), k):
@@ -109,23 +109,18 @@ def _profile(docs: DataFrame, k: int) -> DataFrame:
                     seen.add(key)
                     waiting.append(s)
                     size += len(s)
-                    if size > 3_000_000:
-                        counts = merged(waiting)
-                        # once in a task of millions is no sign of a heavy shingle
-                        waiting, size = [], 0
-                        if len(counts[0]) > 8_000_000:
-                            often = counts[1] > 1
-                            counts = counts[0][often], counts[1][often]
+                    if size > COUNTED:
+                        yield shared()
+                        waiting, size, seen = [], 0, set()
             yield _rows(0, batch.column(0), keys, ns, bits)
-        key, n = merged(waiting)
-        often = n >= LOCAL_LEAST
-        yield _rows(1, pa.nulls(int(often.sum()), pa.int64()), key[often].view(np.int64), n[often], [None] * int(often.sum()))
+        if waiting:
+            yield shared()
 
     def _rows(kind, ids, keys, ns, bits):
         columns = [pa.array(np.full(len(ns), kind, np.int8)), ids, pa.array(keys, pa.int64()), pa.array(ns, pa.int64()), pa.array(bits, pa.binary())]
         return pa.RecordBatch.from_arrays(columns, ["kind", "doc_id", "key", "n", "bits"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(scan, "kind byte, doc_id long, key long, n long, bits binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(thrifty(scan), "kind byte, doc_id long, key long, n long, bits binary")
 
 
 def _heavy(profile: DataFrame) -> np.ndarray:
@@ -212,7 +207,7 @@ def _entries(docs: DataFrame, heavy: np.ndarray, boundary: int, k: int, percent:
 
         yield from scatter(tables())
 
-    return docs.select("text").mapInArrow(scan, BLOCK_DDL)
+    return docs.select("text").mapInArrow(thrifty(scan), BLOCK_DDL)
 
 
 LIST_DDL = "kind int, key long, a long, b long, n int"
@@ -287,23 +282,35 @@ def _crossing(boundary: int, percent: int, every: bool):
 
     def allowed(n, root, cells, bits):
         """Places (i, j) of allowed pairs of one list; members are in order of size, so the
-        bitmaps of a pair have equal lengths, or the second one's is folded once."""
+        bitmaps of a pair have equal lengths, or the second one's is folded once. Of two members
+        of different components at most one is in the list's largest, so only the other members
+        are walked: a list that one component fills costs no pairs of that component."""
+        names, size = np.unique(root, return_counts=True)
+        largest = names[size.argmax()]
         for c in np.unique(cells):
             own, wide = np.flatnonzero(cells == c), np.flatnonzero(cells == 2 * c)
+            members = np.concatenate([own, wide])
+            most = root[members] == largest
+            others = np.flatnonzero(~most)
+            if not len(others):
+                continue
             maps = np.frombuffer(b"".join(bits[i] for i in own), np.uint8).reshape(len(own), -1)
             if len(wide):
                 double = np.frombuffer(b"".join(bits[i] for i in wide), np.uint8).reshape(len(wide), 2, -1)
                 maps = np.concatenate([maps, double[:, 0] ^ double[:, 1]])
-            members = np.concatenate([own, wide])
-            for at, i in enumerate(own):
-                j = members[at + 1 :]
-                ok = (n[j] <= 100 * n[i] // percent) & (n[j] > boundary) & (root[j] != root[i])
-                j, near = j[ok], maps[at + 1 :][ok]
-                if len(j):
+            most = np.flatnonzero(most[: len(own)])
+            for at in others:
+                before, after = most[: np.searchsorted(most, at)], np.arange(at + 1, len(members)) if at < len(own) else most[:0]
+                with_ = np.concatenate([before, after])
+                mine, i = members[at], members[with_]
+                less, more = np.minimum(n[i], n[mine]), np.maximum(n[i], n[mine])
+                ok = (more <= 100 * less // percent) & (more > boundary) & (root[i] != root[mine])
+                i, near = i[ok], maps[with_[ok]]
+                if len(i):
                     apart = np.bitwise_count(near ^ maps[at]).sum(1, dtype=np.int64)
-                    ok = (100 + percent) * (n[i] + n[j] - apart) >= 2 * percent * (n[i] + n[j])
-                    j, apart = j[ok], apart[ok]
-                    yield np.full(len(j), i), j, apart / (n[i] + n[j])
+                    ok = (100 + percent) * (n[i] + n[mine] - apart) >= 2 * percent * (n[i] + n[mine])
+                    i, apart = i[ok], apart[ok]
+                    yield np.full(len(i), mine), i, apart / (n[i] + n[mine])
 
     def chosen(lists, root):
         """All pairs, or the forest of them, in pieces of bounded size."""
@@ -356,7 +363,7 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, per
                 yield batch.select(["a", "b"]).filter(pa.array([bits_allow(*c, percent) for c in zip(x, y, n, m)]))
 
     small = lambda c: classes.select(F.col("key").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
-    likely = stored(pairs.join(small("a"), "a").join(small("b"), "b").mapInArrow(allow, "a long, b long"), "likely")
+    likely = stored(pairs.join(small("a"), "a").join(small("b"), "b").mapInArrow(thrifty(allow), "a long, b long"), "likely")
     row_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))  # a null id is found like any other
     needed = likely.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(classes, "key").select(row_id.alias("doc_id"), "key")
 
@@ -374,8 +381,8 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, per
             yield pa.RecordBatch.from_arrays([batch.column(0), keys, batch.column(1)], ["doc_id", "key", "text"])
 
     # texts move once, compressed; only those of the wanted ids are cut into shingles
-    texts = docs.select(row_id.alias("doc_id"), "text").mapInArrow(shrunk, "doc_id long, text binary")
-    texts = texts.join(needed.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(keyed, "doc_id long, key long, text binary")
+    texts = docs.select(row_id.alias("doc_id"), "text").mapInArrow(thrifty(shrunk), "doc_id long, text binary")
+    texts = texts.join(needed.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(thrifty(keyed), "doc_id long, key long, text binary")
     texts = stored(texts.join(needed, ["doc_id", "key"], "left_semi").dropDuplicates(["doc_id", "key"]).select("key", "text"), "sets")
     side = lambda c: texts.select(F.col("key").alias(c), F.col("text").alias(f"text_{c}"))
 
@@ -389,7 +396,7 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, per
                 yield batch.select(["a", "b"]).filter(pa.array(hit))
 
     joined = likely.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b")
-    return joined.mapInArrow(reach, "a long, b long")
+    return joined.mapInArrow(thrifty(reach), "a long, b long")
 
 
 def _open_pairs(met: DataFrame, found: DataFrame, classes: DataFrame, crossing, parts: int) -> DataFrame:
@@ -398,7 +405,7 @@ def _open_pairs(met: DataFrame, found: DataFrame, classes: DataFrame, crossing,
     lists = lists.withColumn("root", F.coalesce("root", "a")).withColumn("part", F.pmod(F.xxhash64("key"), F.lit(parts)).cast("int"))
     open_keys = lists.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("key")
     members = lists.join(open_keys, "key", "left_semi").join(classes.select(F.col("key").alias("a"), "bits"), "a")
-    return members.groupBy("part").applyInArrow(crossing, "a long, b long").distinct()
+    return members.groupBy("part").applyInArrow(thrifty_group(crossing), "a long, b long").distinct()
 
 
 def ngram_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -412,12 +419,14 @@ def ngram_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT)
     sizes = {r[0]: r[1] for r in classes.filter(F.col("n") <= max(BOUNDARIES)).groupBy("n").count().collect()}
     boundary = _boundary(sizes, percent)
     blocks = _entries(docs, _heavy(profile), boundary, k, percent, parts)
-    met = stored(blocks.groupBy("part").applyInArrow(_met(boundary, percent), LIST_DDL), "lists")
+    met = stored(blocks.groupBy("part").applyInArrow(thrifty_group(_met(boundary, percent)), LIST_DDL), "lists")
+    swept(spark)
     first = stored(met.filter("kind = 1").select("a", "b").distinct(), "pairs")
     links = stored(met.filter("kind = 0").select("a", "b").union(_verified(docs, classes, first, k, percent)), "links")
     found = stored(components(links), "components")
     tested = first
     for every in (False, True):
+        swept(spark)
         second = stored(_open_pairs(met, found, classes, _crossing(boundary, percent, every), parts).join(tested, ["a", "b"], "left_anti"), "pairs")
         if second.isEmpty():
             continue
@@ -425,9 +434,11 @@ def ngram_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT)
         links, tested = stored(links.union(more), "links"), tested.union(second)
         if not more.isEmpty():
             found = stored(components(links), "components")
+    swept(spark)
     root = rows.join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     root = stored(root, "rooted")
-    least = root.filter("n_shingles > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    # written, so that the join below has a shuffle on either side and a large component is split
+    least = stored(root.filter("n_shingles > 0").groupBy("root").agg(F.min("doc_id").alias("component_id")), "least")
     return root.join(least, "root", "left").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), F.col("key").alias("class_key")
     )
@@ -448,7 +459,7 @@ def one_of_each_group(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT)
             yield pa.RecordBatch.from_arrays([batch.column(at_id).cast(pa.int64()), keys, *batch.columns], ["_id", "_key", *columns])
 
     ddl = "_id long, _key long, " + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    rows = row_blocks(docs.mapInArrow(keyed, ddl).select(uid.alias("_uid"), "_key", *[F.col(f"`{c}`") for c in columns]), parts)
+    rows = row_blocks(docs.mapInArrow(thrifty(keyed), ddl).select(uid.alias("_uid"), "_key", *[F.col(f"`{c}`") for c in columns]), parts)
     kept = ngram_components(docs, k, percent).filter("n_shingles = 0 OR doc_id <=> component_id")
     kept = kept.select(F.xxhash64("doc_id", "class_key").alias("_uid")).distinct()
 
@@ -463,4 +474,4 @@ def one_of_each_group(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT)
         return table.filter(pa.array(hit)).select(columns)
 
     empty = to_arrow_schema(schema).empty_table()
-    return rows.groupBy("part").cogroup(row_blocks(kept, parts).groupBy("part")).applyInArrow(keep, schema)
+    return rows.groupBy("part").cogroup(row_blocks(kept, parts).groupBy("part")).applyInArrow(thrifty_group(keep), schema)

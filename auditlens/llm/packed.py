@@ -4,6 +4,9 @@ sender has combined its own equal keys before."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import inspect
 import itertools
 from collections.abc import Iterator
 
@@ -11,12 +14,49 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from auditlens.llm.text import mix
+from auditlens.llm.text import forget_tables, mix
 from auditlens.session import fresh_path
 
 BLOCK = pa.schema([("part", pa.int32()), ("block", pa.binary())])
 BLOCK_DDL = "part int, block binary"
-FLUSH_BYTES = 24 << 20
+FLUSH_BYTES = 16 << 20
+
+
+def release_memory() -> None:
+    """Give memory back to the system: Python workers stay alive between tasks and stages. What an
+    earlier task brought along is a cycle of functions and their tables until it is collected."""
+    forget_tables()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # absent outside glibc
+    if trim:
+        trim(0)
+
+
+def thrifty(scan):
+    """``scan`` of Arrow batches that releases its memory at its end."""
+
+    def scanned(batches):
+        yield from scan(batches)
+        release_memory()
+
+    return scanned
+
+
+def thrifty_group(work):
+    """``work`` on a group (one or two tables) that releases its memory at its end."""
+
+    def one(group):
+        out = work(group)
+        release_memory()
+        return out
+
+    def two(left, right):
+        out = work(left, right)
+        release_memory()
+        return out
+
+    return one if len(inspect.signature(work).parameters) == 1 else two
 
 
 def tuned(spark: SparkSession) -> SparkSession:
@@ -37,6 +77,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def swept(spark: SparkSession) -> None:
+    """Have the shuffle files of finished steps removed: Spark does so once the driver's garbage
+    collection finds their plans gone, which in a long job may be after the disks are full."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def pack(table: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
@@ -81,4 +127,4 @@ def row_blocks(rows: DataFrame, parts: int) -> DataFrame:
 
         yield from scatter(tables())
 
-    return rows.mapInArrow(scan, BLOCK_DDL)
+    return rows.mapInArrow(thrifty(scan), BLOCK_DDL)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auditlens.llm.packed import BLOCK_DDL, scatter, tuned, unpack
+from auditlens.llm.packed import BLOCK_DDL, scatter, thrifty, thrifty_group, tuned, unpack
 from auditlens.llm.text import column_bytes, mix, running, slices, span_hash, window_hash, word_hashes
 
 NGRAM = 3
@@ -74,7 +74,7 @@ def bucket_counts(docs: DataFrame, n: int = NGRAM, buckets: int = BUCKETS) -> Da
         rows = unpack(group.column("block"))
         return rows.group_by("bucket").aggregate([("n", "sum")]).rename_columns(["bucket", "n"]).cast(COUNT)
 
-    return docs.select("text").mapInArrow(count, BLOCK_DDL).groupBy("part").applyInArrow(add, "bucket long, n long")
+    return docs.select("text").mapInArrow(thrifty(count), BLOCK_DDL).groupBy("part").applyInArrow(thrifty_group(add), "bucket long, n long")
 
 
 def log_ratios(trusted: DataFrame, corpus: DataFrame, n: int = NGRAM, buckets: int = BUCKETS) -> np.ndarray:
@@ -172,7 +172,7 @@ def quality_scores(
                 columns = [pa.array(np.concatenate([g[k] for g in got])) for k in names[1:]]
                 yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(score, SCORES_DDL)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(thrifty(score), SCORES_DDL)
 
 
 def trusted_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -195,4 +195,4 @@ def quality_filter(docs: DataFrame, trusted: DataFrame) -> DataFrame:
             if got:
                 yield batch.filter(pa.array(np.concatenate(got)))
 
-    return docs.mapInArrow(keep, schema)
+    return docs.mapInArrow(thrifty(keep), schema)

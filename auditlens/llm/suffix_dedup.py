@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from auditlens.llm.packed import BLOCK_DDL, parts_of, row_blocks, scatter, stored, tuned, unpack
+from auditlens.llm.packed import BLOCK_DDL, parts_of, row_blocks, scatter, stored, thrifty, thrifty_group, tuned, unpack
 from auditlens.llm.text import column_bytes, mix, running, slices, span_hash, window_hash
 
 WIDTH = 200
@@ -127,7 +127,7 @@ def _anchor_blocks(keyed: DataFrame, width: int, gram: int, parts: int) -> DataF
         if got:
             yield from combined(got)
 
-    return keyed.select("uid", "text").mapInArrow(scan, KIND_DDL)
+    return keyed.select("uid", "text").mapInArrow(thrifty(scan), KIND_DDL)
 
 
 def _states(parts: int, bucket: int):
@@ -173,7 +173,7 @@ def _text_blocks(keyed: DataFrame, parts: int) -> DataFrame:
 
         yield from scatter(tables())
 
-    return keyed.select("uid", "text").mapInArrow(scan, BLOCK_DDL)
+    return keyed.select("uid", "text").mapInArrow(thrifty(scan), BLOCK_DDL)
 
 
 def _texts(group: pa.Table) -> dict[int, np.ndarray]:
@@ -330,7 +330,7 @@ def _window_blocks(wide: DataFrame, width: int, parts: int) -> DataFrame:
 
         yield from scatter(tables())
 
-    return wide.mapInArrow(scan, BLOCK_DDL)
+    return wide.mapInArrow(thrifty(scan), BLOCK_DDL)
 
 
 def _compare_windows(width: int):
@@ -363,16 +363,16 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, bucket
     parts = parts_of(spark)
     keyed = docs.select(row_uid().alias("uid"), "text")
     blocks = stored(_anchor_blocks(keyed, width, gram, parts), "anchors")
-    judged = blocks.filter("kind = 0").groupBy("part").applyInArrow(_states(parts, bucket), BLOCK_DDL)
+    judged = blocks.filter("kind = 0").groupBy("part").applyInArrow(thrifty_group(_states(parts, bucket)), BLOCK_DDL)
     states = judged.union(blocks.filter("kind = 1").select("part", "block"))
     texts = _text_blocks(keyed, parts)
-    cut = states.groupBy("part").cogroup(texts.groupBy("part")).applyInArrow(_open_contexts(width, gram), FOUND_DDL)
+    cut = states.groupBy("part").cogroup(texts.groupBy("part")).applyInArrow(thrifty_group(_open_contexts(width, gram)), FOUND_DDL)
     found = stored(cut, "contexts")
     opened = found.filter("kind = 1").select("uid", "at", "lead", "tail")
     leading = F.substring("lead", 1, gram)
-    buckets = opened.repartitionByRange(parts, leading).mapInArrow(_compare_bucket(width, gram), SPAN_DDL)
+    buckets = opened.repartitionByRange(parts, leading).mapInArrow(thrifty(_compare_bucket(width, gram)), SPAN_DDL)
     wide = _window_blocks(found.filter("kind = 2").select("uid", "lo", "lead", "tail"), width, parts)
-    across = wide.groupBy("part").applyInArrow(_compare_windows(width), SPAN_DDL)
+    across = wide.groupBy("part").applyInArrow(thrifty_group(_compare_windows(width)), SPAN_DDL)
     return stored(found.filter("kind = 0").select("uid", "lo", "hi").union(buckets).union(across), "spans")
 
 
@@ -403,7 +403,7 @@ def _rows_with_spans(docs: DataFrame, spans: DataFrame, work, ddl: str, parts: i
         got = unpack(left.column("block"))
         return work(got, _grouped_spans(right))
 
-    return rows.groupBy("part").cogroup(row_blocks(spans, parts).groupBy("part")).applyInArrow(both, ddl)
+    return rows.groupBy("part").cogroup(row_blocks(spans, parts).groupBy("part")).applyInArrow(thrifty_group(both), ddl)
 
 
 RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
