@@ -26,8 +26,10 @@ table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +55,11 @@ PART_NAMES = set(
     "cookie cookies consent notice notices alert popup modal overlay newsletter subscribe signup login search share sharing social related "
     "recommended comment comments disqus reply replies respond widget toolbar pagination pager form".split()
 )
+# Words that may stand beside a part's name in a class or id without changing what it says.
+NEUTRAL = set(
+    "site page main top bottom left right global primary secondary wrapper wrap container content box bar block section area list item items inner outer "
+    "header head links link icons icon buttons button posts panel slot unit widget js row col text title".split()
+)
 ROLES = set("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
 _TOKEN = re.compile(
@@ -72,6 +79,13 @@ def host_of(url: str | None) -> str:
     return found[1].lower() if found else ""
 
 
+def _names_part(name: str) -> bool:
+    """Whether a class or id as a whole says that its element is no part of the article: all its
+    words are names of parts, or neutral beside one. ``share-price`` says something else."""
+    words = [w for w in _PARTS.split(_CAMEL.sub("-", name).lower()) if w and not w.isdigit()]
+    return not PART_NAMES.isdisjoint(words) and all(w in PART_NAMES or w in NEUTRAL for w in words)
+
+
 def _is_boilerplate(tag: str, attributes: str, in_article: bool) -> tuple[bool, str]:
     """Whether an element is no part of the article, and its name for paths."""
     if not attributes or "=" not in attributes:
@@ -83,13 +97,17 @@ def _is_boilerplate(tag: str, attributes: str, in_article: bool) -> tuple[bool,
             bad |= value.lower() in ROLES
         else:
             names.append(value)
-            bad |= tag not in ("body", "html", "article", "main") and not PART_NAMES.isdisjoint(_PARTS.split(_CAMEL.sub("-", value).lower()))
+            bad |= tag not in ("body", "html", "article", "main") and any(map(_names_part, value.split()))
     return bad, tag + "." + ".".join(names) if names else tag
 
 
 def page_tokens(page: str) -> tuple[list[str], list[tuple[str, str, bool]]]:
-    """Tags by their path, and text blocks outside boilerplate as (path, text, inside an article)."""
+    """Tags by their path, and text blocks outside boilerplate as (path, text, inside an article).
+
+    Paths are digests of the path above and the element's name, so nesting may be of any depth.
+    """
     stack: list[tuple[str, str, bool, bool]] = []  # tag, path, boilerplate, in article
+    opened: Counter[str] = Counter()
     tags, blocks, words = [], [], []
     path, bad, article = "", False, False
 
@@ -102,6 +120,8 @@ def page_tokens(page: str) -> tuple[list[str], list[tuple[str, str, bool]]]:
 
     def close(depth: int):
         nonlocal path, bad, article
+        for gone, *_ in stack[depth:]:
+            opened[gone] -= 1
         del stack[depth:]
         _, path, bad, article = stack[-1] if stack else ("", "", False, False)
 
@@ -121,7 +141,7 @@ def page_tokens(page: str) -> tuple[list[str], list[tuple[str, str, bool]]]:
         elif tag in ("br", "td", "th"):
             words.append(" ")
         if whole[1] == "/":
-            for depth in range(len(stack) - 1, -1, -1):
+            for depth in range(len(stack) - 1, -1, -1) if opened[tag] else ():
                 if stack[depth][0] == tag:
                     tags.append(f"{stack[depth][1]}/.")
                     close(depth)
@@ -139,13 +159,12 @@ def page_tokens(page: str) -> tuple[list[str], list[tuple[str, str, bool]]]:
                 if open_tag in BLOCKS:
                     break
         silent, name = _is_boilerplate(tag, m[3], article)
-        path = f"{path}/{name}"
+        path = hashlib.blake2b(f"{path}/{name}".encode(), digest_size=8).hexdigest()
         bad = bad or silent or tag in SILENT
         article = article or (tag in ("article", "main") and not bad)
         stack.append((tag, path, bad, article))
+        opened[tag] += 1
         tags.append(path)
-        if len(stack) > 400:  # markup that never closes does not nest without end
-            close(200)
     if at < len(page) and not bad:
         words.append(page[at:])
     flush()
