@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from auditlens.llm.packed import stored, tuned
+from auditlens.llm.packed import stored, thrifty, tuned
 from auditlens.llm.text import column_bytes, slices, word_spans
 
 # Weights of the sources in their order, repeating; the limit of repetition.
@@ -114,7 +114,7 @@ def _sized(docs: DataFrame, sources: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(n))], ["doc_id", "pattern", "size"])
 
     keyed = docs.select(F.col("doc_id").cast("long"), F.to_json(F.array_sort(F.array_distinct(sources)), {"ignoreNullFields": "false"}).alias("pattern"), "text")
-    sized = keyed.mapInArrow(count, "doc_id long, pattern string, size long")
+    sized = keyed.mapInArrow(thrifty(count), "doc_id long, pattern string, size long")
     return sized.withColumn("place", place(F.col("doc_id")))
 
 
@@ -186,20 +186,20 @@ def _mixed(docs: DataFrame, sources: str, weights=WEIGHTS, most: int = MAX_REPEA
     passes = stored(passes, "mix-plan")
     repeats = F.coalesce("passes", F.lit(0)) + (F.col("place") < F.coalesce("end", F.lit(0))).cast("long")
     mixed = sized.join(passes, "pattern", "left").select("doc_id", "pattern", "size", "place", repeats.alias("repeats"))
-    return mixed.withColumn("taken", F.col("size") * F.col("repeats")), sizes, targets, passes
+    return mixed.withColumn("taken", F.col("size") * F.col("repeats")), members, sizes, targets, passes
 
 
 def mix_by_source(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target, taken of documents with one ``source`` each."""
-    mixed, sizes, targets, _ = _mixed(docs.withColumn("__mix_sources", F.array("source")), "__mix_sources")
-    rows = [(json.dumps([s], ensure_ascii=False, separators=(",", ":")), sizes[s], round(targets[s], 6)) for s in sizes]
+    mixed, members, sizes, targets, _ = _mixed(docs.withColumn("__mix_sources", F.array("source")), "__mix_sources")
+    rows = [(pattern, sizes[s], round(targets[s], 6)) for pattern, (s,) in members.items()]  # patterns as Spark wrote them
     table = docs.sparkSession.createDataFrame(rows or [], "pattern string, source_size long, target double")
     return mixed.join(table, "pattern", "left").select("doc_id", "size", "source_size", "target", "taken")
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` as the mix takes them: left out, once, or repeated."""
-    _, _, _, passes = _mixed(docs.withColumn("__mix_sources", F.array("source")), "__mix_sources")
+    *_, passes = _mixed(docs.withColumn("__mix_sources", F.array("source")), "__mix_sources")
     pattern = F.to_json(F.array("source"), {"ignoreNullFields": "false"})
     kept = docs.withColumns({"__mix_pattern": pattern, "__mix_place": place(F.col("doc_id").cast("long"))})
     kept = kept.join(passes.withColumnsRenamed({"pattern": "__mix_pattern", "passes": "__mix_passes", "end": "__mix_end"}), "__mix_pattern", "left")
