@@ -16,8 +16,8 @@ and equal queries are searched once.
 
 Defined results: vectors that are null, all zero, of another length than most, or with null or
 non-finite components take no part, nor do rows without an id; a row is its id, so repeated rows
-count once; fewer candidates than k are all returned; an empty table gives an empty result; other
-columns are ignored.
+count once, and of an id's different vectors the smallest counts; fewer candidates than k are
+all returned; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -149,9 +149,9 @@ def nearest(vectors: DataFrame, queries, k: int = 10) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest other rows of each row that the condition
     ``queries`` on vec_id chooses."""
     spark = tuned(vectors.sparkSession)
-    rows = usable(vectors).withColumn("vector", F.xxhash64("embedding"))
+    rows = usable(vectors).groupBy("vec_id").agg(F.min("embedding").alias("embedding")).withColumn("vector", F.xxhash64("embedding"))
     copies = Window.partitionBy("vector").orderBy("vec_id")
-    searched = stored(rows.dropDuplicates(["vec_id"]).withColumn("copy", F.row_number().over(copies)).filter(F.col("copy") <= k + 1), "vectors")
+    searched = stored(rows.withColumn("copy", F.row_number().over(copies)).filter(F.col("copy") <= k + 1), "vectors")
     asked = rows.filter(queries).select(F.col("vec_id").alias("query_id"), "vector").distinct()
     n = searched.count()
     wanted = searched.filter("copy = 1").select("vector", "embedding").join(asked.select("vector").distinct(), "vector", "left_semi")
