@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from auditlens.functions.expr import hash_long, hash_unit, ratio
-from auditlens.operators.ordering import hash_sample
+from auditlens.operators.ordering import TASK_ROWS, dealt, hash_sample
 from auditlens.operators.scorers import AdditiveScorer
 
 BACKGROUND_ROWS = 100
@@ -152,9 +152,11 @@ def attribution_statistics(long: DataFrame, k: int = 10) -> DataFrame:
     )
 
 
-def waterfall(long: DataFrame, id_col: str, shown: int = 15) -> DataFrame:
+def waterfall(long: DataFrame, id_col: str, shown: int = 15, task_rows: int = TASK_ROWS) -> DataFrame:
     """Contributions of each row, largest first, with the running total from the base value.
-    Beyond ``shown`` lines the rest is summed in one last line. Partitions are one row's features."""
+    Beyond ``shown`` lines the rest is summed in one last line. Partitions are one row's features;
+    a task sorts about ``task_rows`` of them."""
+    long = dealt(long, id_col, long.count(), task_rows)
     order = Window.partitionBy(id_col).orderBy(F.round(F.abs("phi"), 9).desc(), "feature")
     size = Window.partitionBy(id_col)
     ranked = long.withColumn("_rank", F.row_number().over(order)).withColumn("_size", F.count("*").over(size))

@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from auditlens.operators.explain import dependence
+from auditlens.operators import profile
+from auditlens.operators.explain import dependence, shapley
 from auditlens.operators.scorers import ExprScorer
 
 
@@ -25,3 +26,33 @@ def test_dependence_never_sorts_the_repeated_rows(spark, keys):
     assert len(rows) == 23 * (2 if keys else 1)
     texts = {r["text"] for r in rows if r["feature"] == "t"}
     assert texts == {"t0", "t1", "t2"} and all((r["num"] is None) == (r["feature"] == "t") for r in rows)
+
+
+@pytest.fixture
+def dealt_tables(monkeypatch):
+    """Numbers of partitions that operators ask for, as they ask."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    asked, plain = [], DataFrame.repartition
+
+    def noted(self, parts, *by):
+        asked.append(parts)
+        return plain(self, parts, *by)
+
+    monkeypatch.setattr(DataFrame, "repartition", noted)
+    return asked
+
+
+def test_waterfall_sorts_a_bounded_number_of_lines_in_a_task(spark, dealt_tables):
+    ids = spark.range(300).select(F.col("id"), F.lit(0.5).alias("base_value"))
+    phi = F.array(*[F.struct(F.lit(f"f{j:02d}").alias("feature"), (F.pmod(F.col("id") * (j + 3), F.lit(11)) - 5.0).alias("phi")) for j in range(16)])
+    long = ids.select("id", "base_value", F.inline(phi))
+    order = ["id", "step"]
+    whole, parted = (shapley.waterfall(long, "id", task_rows=n).orderBy(*order).collect() for n in (10_000, 300))
+    assert dealt_tables == [16] and whole == parted and len(whole) == 300 * 15
+
+
+def test_ranks_are_put_together_by_a_bounded_number_of_rows(spark, dealt_tables):
+    df = mixed(spark).withColumn("y", F.pmod(F.col("id") * 7, F.lit(19)).cast("double"))
+    whole, parted = (sorted(profile.mid_ranks(df, ["x", "y"], "id", task_rows=n).collect()) for n in (10_000, 50))
+    assert 16 in dealt_tables and whole == parted and len(whole) == 400
