@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from auditlens.operators import profile
+from auditlens.operators import models, profile
 from auditlens.operators.explain import dependence, shapley
 from auditlens.operators.scorers import ExprScorer
 
@@ -43,6 +43,17 @@ def dealt_tables(monkeypatch):
     return asked
 
 
+def test_fit_deals_rows_that_a_file_holds_in_one_piece(spark, dealt_tables):
+    df = mixed(spark).coalesce(1)
+    again = [models.fit_model(df, models.black_box(label="g", rounds=2, depth=2), ["x"], ["t"], task_rows=n) for n in (50, 400)]
+    assert dealt_tables == [8]  # 400 rows, 50 a task; one partition holds 400
+    assert all(m.transform(df).count() == 400 for m in again)
+
+
+def test_black_box_keeps_no_table_of_node_ids():
+    assert not models.black_box().getCacheNodeIds()
+
+
 def test_waterfall_sorts_a_bounded_number_of_lines_in_a_task(spark, dealt_tables):
     ids = spark.range(300).select(F.col("id"), F.lit(0.5).alias("base_value"))
     phi = F.array(*[F.struct(F.lit(f"f{j:02d}").alias("feature"), (F.pmod(F.col("id") * (j + 3), F.lit(11)) - 5.0).alias("phi")) for j in range(16)])
