@@ -1,8 +1,9 @@
 """Local linear explanations: a weighted ridge model around every explained row.
 
-All explained rows and all their perturbed samples are one exploded plan. Samples are added
-up per agreement pattern; an instance's patterns (at most as many as its samples) become its
-normal equations, and the equations of a whole Arrow batch are solved at once.
+All explained rows and all their perturbed samples are one exploded plan. The explained rows are
+dealt and sorted by id before they are repeated, so an instance's samples follow each other and never
+move. Samples are added up per agreement pattern; an instance's patterns (at most as many as its
+samples) become its normal equations, and the equations of a whole Arrow batch are solved at once.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from auditlens.session import stored
 
 SAMPLES = 5000
 SHOWN = 10
+TASK_SAMPLES = 10_000_000  # samples of one task
+PATTERN_BITS = 62  # features in one number of a pattern
 
 
 class Bin(NamedTuple):
@@ -75,21 +78,31 @@ def _position(bins: list[Bin], u: Column) -> Column:
     return sum(((u >= F.lit(b.upto)).cast("int") for b in bins[:-1]), F.lit(0))
 
 
-def _inside(bins: list[Bin], at: Column, u: Column) -> Column:
-    """Draw within a bin: a normal cut to [lo, hi], by the logistic approximation of its
-    distribution function (scale 1.702), which inverts in closed form. The constants of each
-    bin are looked up by position, which keeps the generated code short enough to compile."""
-    lows, spans, scales = [], [], []
-    for b in bins:
-        scale = (b.std or 1.0) / 1.702
+def _look(values: list, at: Column) -> Column:
+    """Constant of a bin by position, which keeps the generated code short enough to compile."""
+    return F.get(constant_rows(values, "double"), at)
+
+
+def _scales(bins: list[Bin]) -> list[float]:
+    return [(b.std or 1.0) / 1.702 for b in bins]
+
+
+def _chance(bins: list[Bin], at: Column, u: Column) -> Column:
+    """Draw between the distribution function's values at the ends of a bin."""
+    lows, spans = [], []
+    for b, scale in zip(bins, _scales(bins)):
         low, high = (1.0 / (1.0 + math.exp(-(v - b.mean) / scale)) for v in (b.lo, b.hi))
         lows.append(low)
         spans.append(high - low)
-        scales.append(scale if b.std else 0.0)
-    look = lambda values: F.get(constant_rows(values, "double"), at)
-    p = look(lows) + u * look(spans)
-    value = look([b.mean for b in bins]) + look(scales) * F.log(p / (1.0 - p))
-    return F.least(F.greatest(value, look([b.lo for b in bins])), look([b.hi for b in bins]))
+    return _look(lows, at) + u * _look(spans, at)
+
+
+def _inside(bins: list[Bin], at: Column, p: Column) -> Column:
+    """Draw within a bin: a normal cut to [lo, hi], by the logistic approximation of its
+    distribution function (scale 1.702), which inverts in closed form."""
+    scales = [scale if b.std else 0.0 for b, scale in zip(bins, _scales(bins))]
+    value = _look([b.mean for b in bins], at) + _look(scales, at) * F.log(p / (1.0 - p))
+    return F.least(F.greatest(value, _look([b.lo for b in bins], at)), _look([b.hi for b in bins], at))
 
 
 def _unit(*parts) -> Column:
@@ -110,11 +123,16 @@ FITS = "feature string, weight double, rank int, intercept double, local_r2 doub
 
 
 def _solver(features: list[str], id_col: str, shown: int):
-    """Fits from patterns that are sorted by instance."""
+    """Fits from samples that are sorted by instance."""
     by_name = np.argsort(features, kind="stable")
     width = 0.75 * math.sqrt(len(features))
+    numbers = -(-len(features) // PATTERN_BITS)
+    bits = [np.arange(min(PATTERN_BITS, len(features) - i * PATTERN_BITS)) for i in range(numbers)]
 
-    def fitted(ids, z, n, y, yy):
+    def fitted(kind, ids, *rows):
+        codes, (n, known, y, yy) = rows[:numbers], rows[numbers:]
+        z = np.hstack([code[:, None] >> bit & 1 for code, bit in zip(codes, bits)]).astype(float)
+        y, yy = (np.where(known > 0, v, np.nan) for v in (y, yy))  # a pattern without any score
         start = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
         x = np.hstack([np.ones((len(z), 1)), z])
         w = np.sqrt(np.exp(-(len(features) - z.sum(1)) / width**2))
@@ -133,25 +151,43 @@ def _solver(features: list[str], id_col: str, shown: int):
         r2 = np.where(spread > 0, 1 - sse / np.where(spread > 0, spread, 1), np.nan)
         best = by_name[np.argsort(-np.abs(coef[:, by_name]), axis=1, kind="stable")[:, :shown]]
         k, m = best.shape
-        columns = [pa.array(np.repeat(ids[start], m)), pa.array(np.array(features, object)[best.ravel()], pa.string()), pa.array(np.take_along_axis(coef, best, 1).ravel()),
+        columns = [pa.array(np.repeat(ids[start], m), kind), pa.array(np.array(features, object)[best.ravel()], pa.string()), pa.array(np.take_along_axis(coef, best, 1).ravel()),
                    pa.array(np.tile(np.arange(1, m + 1, dtype=np.int32), k)), pa.array(np.repeat(intercept, m)), pa.array(np.repeat(r2, m), mask=np.repeat(np.isnan(r2), m))]
         return pa.RecordBatch.from_arrays(columns, [id_col, "feature", "weight", "rank", "intercept", "local_r2"])
 
+    def patterns(start, ids, codes, counts):
+        """Rows of one instance and one pattern added up, in the order of the instances."""
+        instance = np.cumsum(start) - 1
+        key = instance
+        for code in codes:
+            dense = np.unique(code, return_inverse=True)[1]
+            key = key * (dense.max() + 1) + dense
+        _, first, key = np.unique(key, return_index=True, return_inverse=True)
+        return [ids[first], *(code[first] for code in codes), *(np.bincount(key, weights=v) for v in counts)]
+
     def solve(batches):
         held = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            z = np.frombuffer("".join(batch.column(1).to_pylist()).encode(), np.uint8).reshape(batch.num_rows, -1) - 48.0
-            rows = [batch.column(0).to_numpy(zero_copy_only=False), z, *(batch.column(i).to_numpy() for i in (2, 3, 4))]
+            at, *codes = batch.columns[: 1 + numbers]
+            ids = np.array(at.to_pylist(), object) if at.null_count else at.to_numpy(zero_copy_only=False)
+            counts = [c.to_numpy(zero_copy_only=False) for c in batch.columns[1 + numbers :]]
+            if len(counts) == 1:  # samples, each a pattern of its own
+                known = batch.columns[-1].is_valid().to_numpy(zero_copy_only=False)
+                y = np.where(known, counts[0], 0.0)
+                counts = [np.ones(len(y)), known.astype(float), y, y * y]
+            rows = [ids, *(c.to_numpy() for c in codes), *counts]
             if held is not None:
                 rows = [np.concatenate(pair) for pair in zip(held, rows)]
-            last = int(np.flatnonzero(rows[0] != rows[0][-1])[-1]) + 1 if rows[0][0] != rows[0][-1] else 0
+            rows = patterns(np.r_[True, rows[0][1:] != rows[0][:-1]], rows[0], rows[1 : 1 + numbers], rows[1 + numbers :])
+            new = rows[0][1:] != rows[0][:-1]
+            last = int(np.flatnonzero(new)[-1]) + 1 if new.any() else 0
             if last:
-                yield fitted(*(r[:last] for r in rows))
+                yield fitted(at.type, *(r[:last] for r in rows))
             held = [r[last:] for r in rows]  # one instance, which may go on
         if held is not None:
-            yield fitted(*held)
+            yield fitted(at.type, *held)
 
     return solve
 
@@ -164,12 +200,13 @@ def local_explanations(
     samples: int = SAMPLES,
     shown: int = SHOWN,
     seed: int = 42,
+    task_samples: int = TASK_SAMPLES,
 ) -> DataFrame:
     """Rows (id, feature, weight, rank, intercept, local_r2): the ``shown`` largest weights.
 
     Samples agree with the explained row in a feature when they fall in its quartile (or have
     its text); agreement is the regressor, the scorer's value the response. Sample 0 is the row
-    itself. Explode factor: ``samples`` per instance. Numbers and texts below ``ONE_HOT_LIMIT``
+    itself. Explode factor: ``samples`` per instance, about ``task_samples`` in a task. Numbers and texts below ``ONE_HOT_LIMIT``
     values are drawn from constants; a text with more takes the value of a random training row by a
     join. A missing value of the explained row agrees with nothing but itself.
     """
@@ -183,33 +220,43 @@ def local_explanations(
     bins = fit_bins(train, numeric, narrow, edges)
     own = {c: bucket_index(F.col(c).cast("double"), edges[c]) - 1 for c in numeric}
     base = instances.select(id_col, *[F.col(c).alias(f"x_{c}") for c in features], *[b.cast("int").alias(f"own_{c}") for c, b in own.items()])
+    wide = [c for c in text if c not in narrow]
+    if not wide:
+        parts = max(math.ceil(instances.count() * samples / task_samples), instances.sparkSession.sparkContext.defaultParallelism)
+        base = base.repartition(parts, id_col).sortWithinPartitions(id_col)
     drawn = base.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(samples - 1))))
     unit = {c: _unit(id_col, "_s", F.lit(2 * i), F.lit(seed)) for i, c in enumerate(features)}
-    for c in text:
-        if c not in narrow:
-            drawn = _from_rows(drawn, train, c, unit[c], f"t_{c}")
+    for c in wide:
+        drawn = _from_rows(drawn, train, c, unit[c], f"t_{c}")
+    # every draw is a column of its own, so that no branch of an expression hashes again
+    drawn = drawn.withColumns({f"u_{c}": unit[c] for c in [*numeric, *narrow]} | {f"v_{c}": _unit(id_col, "_s", F.lit(2 * i + 1), F.lit(seed)) for i, c in enumerate(features) if c in numeric})
     first = F.col("_s") == 0
-    places = {f"at_{c}": F.when(first, F.col(f"own_{c}")).otherwise(_position(bins[c], unit[c])) for c in numeric}
-    places |= {f"t_{c}": F.get(constant_rows([b.code for b in bins[c]], "string"), _position(bins[c], unit[c])) for c in narrow}
+    places = {f"at_{c}": F.when(first, F.col(f"own_{c}")).otherwise(_position(bins[c], F.col(f"u_{c}"))) for c in numeric}
+    places |= {f"t_{c}": F.get(constant_rows([b.code for b in bins[c]], "string"), _position(bins[c], F.col(f"u_{c}"))) for c in narrow}
     drawn = drawn.withColumns(places) if places else drawn
+    drawn = drawn.withColumns({f"p_{c}": _chance(bins[c], F.col(f"at_{c}"), F.col(f"v_{c}")) for c in numeric})
     made, agree = {}, []
-    for i, c in enumerate(features):
+    for c in features:
         if c in numeric:
             at = F.col(f"at_{c}")
-            value = _inside(bins[c], at, _unit(id_col, "_s", F.lit(2 * i + 1), F.lit(seed)))
+            value = _inside(bins[c], at, F.col(f"p_{c}"))
             made[c] = F.when(first, F.col(f"x_{c}").cast("double")).otherwise(value)
             agree.append(at.eqNullSafe(F.col(f"own_{c}")))
         else:
             made[c] = F.when(first, F.col(f"x_{c}")).otherwise(F.col(f"t_{c}"))
             agree.append(first | F.col(f"t_{c}").eqNullSafe(F.col(f"x_{c}")))
-    pattern = F.concat(*[F.when(z, "1").otherwise("0") for z in agree])
-    scored = scorer.score(drawn.withColumns({**made, "_z": pattern}).select(id_col, "_z", *made))
-    # weight and regressors depend on the agreement pattern only: add the samples up per pattern
-    patterns = scored.groupBy(id_col, "_z").agg(
-        F.count("*").cast("double").alias("_n"),
-        F.sum("score").alias("_y"),
-        F.sum(F.col("score") * F.col("score")).alias("_yy"),
-    )
-    ordered = patterns.repartition(F.col(id_col)).sortWithinPartitions(id_col)
+    codes = {}
+    for at in range(0, len(agree), PATTERN_BITS):
+        codes[f"_z{at}"] = sum((F.when(z, F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, z in enumerate(agree[at : at + PATTERN_BITS])), F.lit(0).cast("long"))
+    ordered = scorer.score(drawn.withColumns({**made, **codes}).select(id_col, *codes, *made)).select(id_col, *codes, F.col("score").cast("double").alias("_y"))
+    if wide:
+        # the join has moved the samples: they are added up per pattern before they meet again
+        patterns = ordered.groupBy(id_col, *codes).agg(
+            F.count("*").cast("double").alias("_n"),
+            F.count("_y").cast("double").alias("_known"),
+            F.sum("_y").alias("_y"),
+            F.sum(F.col("_y") * F.col("_y")).alias("_yy"),
+        )
+        ordered = patterns.repartition(F.col(id_col)).sortWithinPartitions(id_col)
     kind = instances.schema[id_col].dataType.simpleString()
     return ordered.mapInArrow(_solver(features, id_col, shown), f"`{id_col}` {kind}, {FITS}")

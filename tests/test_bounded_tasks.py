@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from auditlens.operators import models, profile
-from auditlens.operators.explain import dependence, shapley
+from auditlens.operators.explain import dependence, local_linear, shapley
 from auditlens.operators.scorers import ExprScorer
 
 
@@ -67,3 +67,24 @@ def test_ranks_are_put_together_by_a_bounded_number_of_rows(spark, dealt_tables)
     df = mixed(spark).withColumn("y", F.pmod(F.col("id") * 7, F.lit(19)).cast("double"))
     whole, parted = (sorted(profile.mid_ranks(df, ["x", "y"], "id", task_rows=n).collect()) for n in (10_000, 50))
     assert 16 in dealt_tables and whole == parted and len(whole) == 400
+
+
+def test_samples_of_local_models_never_move(spark, dealt_tables):
+    df = mixed(spark).withColumn("x", F.when(F.col("id") % 29 != 0, F.col("x")))
+    twice = df.limit(20).unionByName(df.limit(5))
+    scorer = ExprScorer(["x", "t"], lambda c: F.coalesce(c["x"], F.lit(0.0)) / 10 + F.when(c["t"] == "t1", 1.0).otherwise(0.0))
+    fits = [local_linear.local_explanations(df, twice, scorer, "id", samples=50, task_samples=n) for n in (10_000, 25)]
+    assert dealt_tables[-2:] == [8, 50]  # 25 rows, 50 samples each
+    assert all(plan(f).count("Exchange hashpartitioning(id") == 1 and "Aggregate" not in plan(f) for f in fits)
+    whole, parted = ({(r["id"], r["feature"]): r["weight"] for r in f.collect()} for f in fits)
+    assert len(whole) == 40 and whole.keys() == parted.keys()
+    assert all(abs(whole[k] - parted[k]) < 1e-9 for k in whole)
+
+
+def test_walks_are_scored_side_by_side(spark):
+    scorer = ExprScorer(["x", "y", "z"], lambda c: c["x"] * c["y"] + c["z"])
+    df = mixed(spark, 60).select("id", "x", (F.col("id") % 5.0).alias("y"), (F.col("id") % 3.0).alias("z"))
+    wide = shapley.sampled_attributions(df, scorer, "id", shapley.background(df, "id", rows=10))
+    assert plan(wide).count("Generate ") == 1  # background rows; prefixes are columns
+    total = wide.join(scorer.score(df), "id").agg(F.max(F.abs(F.col("base_value") + F.col("phi_x") + F.col("phi_y") + F.col("phi_z") - F.col("score"))))
+    assert total.first()[0] < 1e-9 and wide.count() == 60
