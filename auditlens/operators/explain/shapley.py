@@ -63,30 +63,34 @@ def sampled_attributions(df: DataFrame, scorer, id_col: str, reference: DataFram
     base_value, the mean score of the whole background; an additive scorer gets its exact values; and
     a feature that the scorer ignores gets 0, its two sums being the same numbers in the same order.
 
-    Explode factor rows of ``reference`` x (features + 1). A row's walks lie in one task and are
-    added up before the shuffle. ``reference`` is at most some hundred rows and travels as one array;
-    ``id_col`` is unique.
+    Explode factor rows of ``reference``. A walk begins at its background row and ends at the row itself,
+    whose scores are taken once for all walks; the prefixes between them are scored side by side. A
+    row's walks lie in one task and are added up before the shuffle. ``reference`` is at most some
+    hundred rows and travels as one array; ``id_col`` is unique.
     """
     features = scorer.inputs
-    rows = reference.agg(F.array_sort(F.collect_list(F.struct(F.col(id_col).alias("_id"), *features)))).scalar()
+    given = scorer.score(reference.select(F.col(id_col).alias("_id"), *[F.col(f).alias(f"_x{i}") for i, f in enumerate(features)], *features))
+    rows = given.agg(F.array_sort(F.collect_list(F.struct("_id", *[f"_x{i}" for i in range(len(features))], F.col("score").alias("_s"))))).scalar()
     n = reference.count()
     places = F.expr("array(" + ", ".join(f"array({', '.join(map(str, w))})" for w in walks(features, n, seed)) + ")")
     own = [F.col(f).alias(f"_x{i}") for i, f in enumerate(features)]
-    start = df.select(id_col, *own, hash_long(id_col, F.lit(seed)).alias("_h"), rows.alias("_bg"))
+    named = df.select(F.col(id_col).alias("_id"), *own, hash_long(id_col, F.lit(seed)).alias("_h"), *features)
+    start = scorer.score(named).select("_id", *[f"_x{i}" for i in range(len(features))], "_h", F.col("score").alias("_last"), rows.alias("_bg"))
     met = start.select("*", F.posexplode("_bg").alias("_r", "_b"))
-    met = met.withColumn("_p", F.get(places, F.pmod(F.col("_r") + F.col("_h"), F.lit(n)).cast("int")))
-    walk = met.select("*", F.explode(F.sequence(F.lit(0), F.lit(len(features)))).alias("_k"))
+    walk = met.withColumn("_p", F.get(places, F.pmod(F.col("_r") + F.col("_h"), F.lit(n)).cast("int"))).drop("_bg")
     place = [F.get("_p", F.lit(i)) for i in range(len(features))]
-    mixed = [F.when(p <= F.col("_k"), F.col(f"_x{i}")).otherwise(F.col("_b")[f]).alias(f) for i, (f, p) in enumerate(zip(features, place))]
-    scored = scorer.score(walk.select(id_col, "_k", "_p", *mixed))
-    s, k = F.col("score"), F.col("_k")
-    sums = scored.groupBy(id_col).agg(
-        F.sum(F.when(k == 0, s)).alias("_base"),
-        *[F.sum(F.when(p == k, s)).alias(f"_with{i}") for i, p in enumerate(place)],
-        *[F.sum(F.when(p == k + 1, s)).alias(f"_without{i}") for i, p in enumerate(place)],
+    for k in range(1, len(features)):
+        mixed = [F.when(p <= k, F.col(f"_x{i}")).otherwise(F.col(f"_b._x{i}")).alias(f) for i, (f, p) in enumerate(zip(features, place))]
+        walk = scorer.score(walk.select("*", *mixed)).withColumnRenamed("score", f"_s{k}").drop(*features)
+    scores = F.array(F.col("_b._s"), *[F.col(f"_s{k}") for k in range(1, len(features))], F.col("_last"))
+    scored = walk.select("_id", "_p", scores.alias("_s"))
+    sums = scored.groupBy("_id").agg(
+        F.sum(F.get("_s", F.lit(0))).alias("_base"),
+        *[F.sum(F.get("_s", p)).alias(f"_with{i}") for i, p in enumerate(place)],
+        *[F.sum(F.get("_s", p - 1)).alias(f"_without{i}") for i, p in enumerate(place)],
     )
     mean = [((F.col(f"_with{i}") - F.col(f"_without{i}")) / n).alias(f"phi_{f}") for i, f in enumerate(features)]
-    return sums.select(id_col, (F.col("_base") / n).alias("base_value"), *mean)
+    return sums.select(F.col("_id").alias(id_col), (F.col("_base") / n).alias("base_value"), *mean)
 
 
 def long_attributions(wide: DataFrame, features: list[str], id_col: str) -> DataFrame:
