@@ -10,10 +10,11 @@ heavy-light join finds the links between classes:
 * large sets scan inverted lists, each over its first n - ceil(s n) + 1 shingles in an order
   that puts the corpus's heavy shingles last, which is enough to meet every partner. The
   candidates of neighbouring list members are verified first; what they connect need not be
-  compared again. A second scan takes the pairs that would connect components, the most similar
-  first, and a last one all pairs that are still between components. Candidates first pass a
-  bound on small parity bitmaps of their sets, inside the lists already: two bitmaps differ in
-  no more bits than the sets have elements apart, so no link is lost.
+  compared again; lists of up to three members are done with that. A second scan takes the pairs
+  that would connect components, the most similar first, and notes the lists of which it left
+  pairs out; a last one takes all pairs of those lists that are still between components.
+  Candidates first pass a bound on small parity bitmaps of their sets, inside the lists already:
+  two bitmaps differ in no more bits than the sets have elements apart, so no link is lost.
 
 The boundary between small and large is the size with the lowest estimated cost. All
 candidates are verified on whole sets. Heavy shingles only change the order, never a result.
@@ -48,6 +49,8 @@ HEAVY_LEAST = 16
 LOCAL_LEAST = 3
 COUNTED = 1_000_000
 BOUNDARIES = (4, 9, 14)
+#: A list's member is compared with so many next ones at once.
+NEIGHBOURS = 2
 
 
 def kept_least(n, percent: int):
@@ -70,8 +73,8 @@ def class_key(s: np.ndarray) -> int:
 
 
 def parity_bits(s: np.ndarray) -> bytes:
-    """One bit for each of at least 2 len(s) cells: whether it holds an odd number of elements."""
-    cells = 1 << max(6, int(2 * len(s) - 1).bit_length())
+    """One bit for each of at least len(s) cells: whether it holds an odd number of elements."""
+    cells = 1 << max(6, int(len(s) - 1).bit_length())
     return np.packbits(np.bincount((mix(s) % np.uint64(cells)).astype(np.int64), minlength=cells) & 1 == 1, bitorder="little").tobytes()
 
 
@@ -215,7 +218,7 @@ LIST_DDL = "kind int, key long, a long, b long, n int"
 
 def _met(boundary: int, percent: int):
     """Of one destination: links from subsets (kind 0), candidates of neighbours in a list
-    (1), and the members of lists that two classes share (2)."""
+    (1), and the members of the lists that neighbours do not cover (2)."""
 
     def out(kind, key, a, b, n):
         m = len(a)
@@ -241,7 +244,7 @@ def _met(boundary: int, percent: int):
         links = out(0, np.zeros(len(at), np.int64), cls[at], cls[first[at]], n[at])
         lists = np.flatnonzero(many & (k == 0))
         pairs = [(no, no)]
-        for step in (1, 2):
+        for step in range(1, NEIGHBOURS + 1):
             i = lists[: len(lists) - step] if len(lists) > step else no
             j = lists[step:]
             ok = (key[i] == key[j]) & (100 * n[i].astype(np.int64) >= percent * n[j].astype(np.int64)) & (n[j] > boundary)
@@ -250,6 +253,7 @@ def _met(boundary: int, percent: int):
         if len(a):
             a, b = np.unique(np.stack([a, b]), axis=1)
         near = out(1, np.zeros(len(a), np.int64), a, b, np.zeros(len(a)))
+        lists = np.flatnonzero(np.repeat(size > NEIGHBOURS + 1, size) & (k == 0))
         member = out(2, key[lists].view(np.int64), cls[lists], np.zeros(len(lists), np.int64), n[lists])
         return pa.concat_tables([links, near, member])
 
@@ -277,8 +281,8 @@ def _forest(i: np.ndarray, j: np.ndarray, weight: np.ndarray, root: np.ndarray)
 
 
 def _crossing(boundary: int, percent: int, every: bool):
-    """Pairs of one list's members of different components that sizes and bitmaps allow:
-    ``every`` one, or as many as connect what can be connected."""
+    """Pairs (a, b) of one list's members of different components that sizes and bitmaps allow:
+    ``every`` one, or as many as connect what can be connected and the keys of lists with more."""
 
     def allowed(n, root, cells, bits):
         """Places (i, j) of allowed pairs of one list; members are in order of size, so the
@@ -313,22 +317,23 @@ def _crossing(boundary: int, percent: int, every: bool):
                     yield np.full(len(i), mine), i, apart / (n[i] + n[mine])
 
     def chosen(lists, root):
-        """All pairs, or the forest of them, in pieces of bounded size."""
-        held, size = [], 0
+        """All pairs, or the forest of them, in pieces of bounded size, and whether pairs are left out."""
+        held, size, less = [], 0, False
         for piece in lists:
             held.append(piece)
             if (size := size + len(piece[0])) > 1_000_000:
                 i, j, w = (np.concatenate(c) for c in zip(*held))
                 if every:
-                    yield i, j
+                    yield i, j, False
                     held, size = [], 0
                 else:
                     k = _forest(i, j, w, root)
+                    less |= len(k) < len(i)
                     held, size = [(i[k], j[k], w[k])], len(k)
         if size:
             i, j, w = (np.concatenate(c) for c in zip(*held))
-            k = slice(None) if every else _forest(i, j, w, root)
-            yield i[k], j[k]
+            k = np.arange(len(i)) if every else _forest(i, j, w, root)
+            yield i[k], j[k], less or len(k) < len(i)
 
     def cross(group: pa.Table) -> pa.Table:
         rows = group.combine_chunks()
@@ -338,17 +343,21 @@ def _crossing(boundary: int, percent: int, every: bool):
         bits = rows.column("bits").take(pa.array(order)).to_pylist()
         cells = np.array([len(x) for x in bits])
         head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else []
-        found, size = [np.zeros((2, 0), np.int64)], 0
+        found, size, more = [np.zeros((2, 0), np.int64)], 0, []
         for lo, hi in zip(head, [*head[1:], len(key)]):
             if (root[lo:hi] == root[lo]).all():
                 continue
-            for i, j in chosen(allowed(n[lo:hi], root[lo:hi], cells[lo:hi], bits[lo:hi]), root[lo:hi]):
+            for i, j, less in chosen(allowed(n[lo:hi], root[lo:hi], cells[lo:hi], bits[lo:hi]), root[lo:hi]):
+                if less:
+                    more.append(key[lo])
                 a, b = cls[lo + i], cls[lo + j]
                 found.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
                 if (size := size + len(j)) > 2_000_000:
                     found, size = [np.unique(np.concatenate(found, axis=1), axis=1)], 0
         a, b = np.unique(np.concatenate(found, axis=1), axis=1)
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        pairs = pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "key": pa.nulls(len(a), pa.int64())})
+        none = pa.nulls(len(more), pa.int64())
+        return pa.concat_tables([pairs, pa.table({"a": none, "b": none, "key": pa.array(more, pa.int64())})])
 
     return cross
 
@@ -399,13 +408,13 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, per
     return joined.mapInArrow(thrifty(reach), "a long, b long")
 
 
-def _open_pairs(met: DataFrame, found: DataFrame, classes: DataFrame, crossing, parts: int) -> DataFrame:
-    """Pairs (a, b) that ``crossing`` makes of lists with members of several components."""
-    lists = met.filter("kind = 2").select("key", "a", "n").join(found.select(F.col("node").alias("a"), "root"), "a", "left")
+def _open_pairs(lists: DataFrame, found: DataFrame, classes: DataFrame, crossing, parts: int) -> DataFrame:
+    """Rows (a, b, key) that ``crossing`` makes of lists with members of several components."""
+    lists = lists.join(found.select(F.col("node").alias("a"), "root"), "a", "left")
     lists = lists.withColumn("root", F.coalesce("root", "a")).withColumn("part", F.pmod(F.xxhash64("key"), F.lit(parts)).cast("int"))
     open_keys = lists.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("key")
     members = lists.join(open_keys, "key", "left_semi").join(classes.select(F.col("key").alias("a"), "bits"), "a")
-    return members.groupBy("part").applyInArrow(thrifty_group(crossing), "a long, b long").distinct()
+    return members.groupBy("part").applyInArrow(thrifty_group(crossing), "a long, b long, key long")
 
 
 def ngram_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -424,10 +433,13 @@ def ngram_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT)
     first = stored(met.filter("kind = 1").select("a", "b").distinct(), "pairs")
     links = stored(met.filter("kind = 0").select("a", "b").union(_verified(docs, classes, first, k, percent)), "links")
     found = stored(components(links), "components")
-    tested = first
+    tested, lists = first, met.filter("kind = 2").select("key", "a", "n")
     for every in (False, True):
         swept(spark)
-        second = stored(_open_pairs(met, found, classes, _crossing(boundary, percent, every), parts).join(tested, ["a", "b"], "left_anti"), "pairs")
+        crossed = stored(_open_pairs(lists, found, classes, _crossing(boundary, percent, every), parts), "crossed")
+        # pairs of other lists have all been taken, or are inside a component
+        lists = lists.join(crossed.filter("key IS NOT NULL").select("key"), "key", "left_semi")
+        second = stored(crossed.filter("key IS NULL").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
         if second.isEmpty():
             continue
         more = stored(_verified(docs, classes, second, k, percent), "links")
