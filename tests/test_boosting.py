@@ -45,6 +45,17 @@ def test_registered_black_box_has_the_rounds_of_a_full_study(spark, small):
     assert max(t.depth for t in trees.trees) == 7
 
 
+def test_importance_scores_all_trees(spark, small):
+    scorer = modelling.black_box_scorer(spark, small, output="margin")
+    assert scorer._trees.values.shape == (800, 128) and scorer._trees.words == 2
+    df = modelling.prepared(spark, small)
+    want = scorer.model.transform(df).select("loan_id", (2 * vector_to_array("rawPrediction")[1]).alias("m"))
+    wrong = F.count_if(F.abs(F.col("m") - F.col("score")) > 1e-12)
+    assert scorer.score(df).select("loan_id", "score").join(want, "loan_id").agg(F.count("*") - df.count(), wrong).first() == (0, 0)
+    own = {name: sum(bin(int(word)).count("1") for word in row) for name, row in (("all open", scorer._trees.tables[0][0]), ("of a row", np.bitwise_and.reduce([t[0] for t in scorer._trees.tables])))}
+    assert own["of a row"] == 800 < own["all open"]  # one leaf of every tree
+
+
 def test_trees_equal_those_of_plain_loops(spark):
     """All rows and all slots: every split by trying all, labels first and then gradients."""
     df = table(spark, 500).withColumn("x", F.floor(F.col("x") / 50).cast("double"))
